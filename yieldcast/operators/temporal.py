@@ -152,9 +152,23 @@ def lag_exprs(cols: Sequence[str], lags: Sequence[int] = S.LAG_WEEKS, w=None) ->
     return [F.first(c).over(w.rangeBetween(-n, -n)).alias(f"{c}_lag_{n}w") for c in cols for n in lags]
 
 
+def _running(agg, c: str, w, upto: int) -> Column:
+    """Running aggregate of rows with position <= pos - upto (incremental frame)."""
+    return agg(F.col(c)).over(w.rangeBetween(Window.unboundedPreceding, -upto))
+
+
 def _rolling(c: str, n: int, min_periods: int, w) -> Column:
-    frame = w.rangeBetween(-n, -1)
-    return F.when(F.count(c).over(frame) >= min_periods, F.avg(c).over(frame))
+    """Mean of the rows at positions pos-n .. pos-1, when at least ``min_periods`` exist.
+
+    Written as the difference of two running sums (and counts): unbounded
+    preceding frames advance incrementally, whereas a sliding frame is
+    re-aggregated for every row. The add/subtract scheme is the same one
+    incremental rolling means use; for integer columns it is exact.
+    """
+    cnt = _running(F.count, c, w, 1) - _running(F.count, c, w, n + 1)
+    total = (F.coalesce(_running(F.sum, c, w, 1), F.lit(0))
+             - F.coalesce(_running(F.sum, c, w, n + 1), F.lit(0)))
+    return F.when(cnt >= min_periods, total / cnt)
 
 
 def rolling_exprs(cols: Sequence[str], sizes: Sequence[int] = S.ROLLING_WEEKS, w=None) -> list[Column]:
@@ -193,15 +207,17 @@ def ewma_exprs(cols: Sequence[str], alphas: Sequence[float] = S.EWMA_ALPHAS,
     """
     w = w or position_window()
     frame = w.rangeBetween(Window.unboundedPreceding, -1)
-    prev = w.rangeBetween(-1, -1)
     out = []
     for c in cols:
         x = F.col(c).cast("double")
+        # the same expressions as the lag-1 and rolling counts: computed once
+        prev_present = F.first(c).over(w.rangeBetween(-1, -1)).isNotNull()
+        seen = _running(F.count, c, w, 1)
         for a in alphas:
             weight = F.exp((F.col(POS) - F.col(MID)) * F.lit(math.log(1.0 / (1.0 - a))))
             num = F.sum(x * weight).over(frame)
             den = F.sum(F.when(x.isNotNull(), weight)).over(frame)
-            ok = (F.count(x).over(frame) >= min_periods) & F.first(x).over(prev).isNotNull()
+            ok = (seen >= min_periods) & prev_present
             out.append(F.when(ok, num / den).alias(f"{c}_ewma_{ewma_suffix(a)}"))
     return out
 
