@@ -32,9 +32,12 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     come from the submit configuration and should be left ``None``.
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(DEFAULT_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            # local mode runs everything in the driver JVM
+            conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
