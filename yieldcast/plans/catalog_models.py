@@ -7,12 +7,17 @@ rate, saved and in-memory models score alike) instead.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from yieldcast.models import attribution as AT
+from yieldcast.models import glassbox as G
 from yieldcast.models import score as SC
 from yieldcast.models import train as T
+from yieldcast.models.features import STAGE1_FEATURES, STAGE2_FEATURES
+from yieldcast.operators import baseline as B
 from yieldcast.operators import clean as C
 from yieldcast.plans.common import TEST_YEARS, TRAIN_YEARS, VALID_YEARS, raw
 from yieldcast.plans.features import feature_table
-from yieldcast.session import cut_lineage
 from yieldcast.sources.fixture import with_carried_columns
 
 # Small forests keep the registered queries quick; production uses the
@@ -23,8 +28,20 @@ QUERY_ROUNDS = 10
 
 
 def published_features(spark, sf):
-    """The feature table, published as a reliable checkpoint in the shared folder."""
-    return cut_lineage(feature_table(with_carried_columns(raw(spark, sf))))
+    """The feature table as a stage table in the shared checkpoint folder.
+
+    Built and written once per application and input folder, then read back:
+    model steps see a plain parquet scan instead of the ~700-expression
+    feature plan, and a lost executor recomputes from the stored table.
+    """
+    import hashlib
+    import yieldcast
+    from yieldcast.session import checkpoint_dir
+    from yieldcast.sources.stage import stage_table
+    key = hashlib.sha1(f"{sf}|{yieldcast.__version__}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:16]
+    path = f"{checkpoint_dir(spark)}/features-{key}"
+    return stage_table(spark, path, lambda: feature_table(with_carried_columns(raw(spark, sf))),
+                       partition_by=("year",))
 
 
 def q_predict_two_stage(spark, sf):
@@ -50,9 +67,98 @@ def q_param_search(spark, sf):
     return T.search_stage1(train, VALID_YEARS, n_trials=3, max_iter=5).limit(10)
 
 
+ROW_KEYS = ["hashed_fc", "gl_product_group", "year", "month", "week"]
+
+
+def _stage2_attr(spark, sf):
+    """Stage 1 and 2 fitted on the training years; stage-2 attributions of the test year."""
+    ft = published_features(spark, sf)
+    train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
+    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
+    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
+    s1 = SC.score_stage1(m1, test)
+    pri = {k: m2.lookups[f"prior_{k}"] for k in ("gl", "site", "global")}
+    ext = B.fill_baseline(B.join_baseline(s1, m2.lookups["site_gl_baseline"]), pri)
+    attr = AT.attribute(m2, ext, ROW_KEYS)
+    return attr, AT.feature_names(m2), s1.select(*ROW_KEYS, "p_nonzero")
+
+
+def q_attribution(spark, sf):
+    attr, names, _ = _stage2_attr(spark, sf)
+    return attr
+
+
+def q_attribution_decomposition(spark, sf):
+    attr, names, p1 = _stage2_attr(spark, sf)
+    return AT.decompose(attr, names, p1, ROW_KEYS).drop("shap")
+
+
+def q_top_drivers(spark, sf):
+    attr, names, p1 = _stage2_attr(spark, sf)
+    return AT.top_drivers(AT.decompose(attr, names, p1, ROW_KEYS), names, ROW_KEYS, 6)
+
+
+def q_extreme_rows(spark, sf):
+    attr, names, p1 = _stage2_attr(spark, sf)
+    return AT.extreme_rows(AT.decompose(attr, names, p1, ROW_KEYS), ROW_KEYS, 10)
+
+
+def q_mean_abs_attribution(spark, sf):
+    attr, names, _ = _stage2_attr(spark, sf)
+    return AT.mean_abs_attribution(attr, names, 20)
+
+
+def _additive(spark, sf, kind="regressor"):
+    ft = published_features(spark, sf)
+    train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
+    if kind == "classifier":
+        data = train.withColumn("label", C.binary_label())
+        return G.fit_additive(data, STAGE1_FEATURES, "label", "classifier"), data, test
+    nz = C.positive_rate(train)
+    bl = B.site_gl_baseline(nz)
+    pri = B.baseline_priors(nz)
+    from yieldcast.functions.scalar import clipped_logit, sample_weight
+    from yieldcast import schema as S
+    data = B.fill_baseline(B.join_baseline(nz, bl), pri).select(
+        "*", clipped_logit(S.RATE, S.LOGIT_EPS_STAGE2).alias("label"), sample_weight(S.RATE).alias("weight"))
+    test_nz = B.fill_baseline(B.join_baseline(C.positive_rate(test), bl), pri)
+    return G.fit_additive(data, STAGE2_FEATURES, "label", "regressor", weight="weight"), data, test_nz
+
+
+def q_additive_model(spark, sf):
+    m, data, _ = _additive(spark, sf, "classifier")
+    return G.importance(m, data, 20)
+
+
+def q_shape_function(spark, sf):
+    m, data, _ = _additive(spark, sf)
+    return G.shape_function(m, "site_gl_mean_rate")
+
+
+def q_interactions(spark, sf):
+    m, data, _ = _additive(spark, sf)
+    return G.interactions(data, m, "label", "regressor", weight="weight", top_features=4, top_n=10)
+
+
+def q_additive_contributions(spark, sf):
+    from yieldcast.operators.baseline import band_sample
+    m, data, test_nz = _additive(spark, sf)
+    picks = band_sample(test_nz, 5, ROW_KEYS)
+    return G.contributions(m, picks, ROW_KEYS)
+
+
 QUERIES = {
     "predict_two_stage": q_predict_two_stage,
     "predict_channels": q_predict_channels,
     "param_search": q_param_search,
+    "attribution": q_attribution,
+    "attribution_decomposition": q_attribution_decomposition,
+    "top_drivers": q_top_drivers,
+    "extreme_rows": q_extreme_rows,
+    "mean_abs_attribution": q_mean_abs_attribution,
+    "additive_model": q_additive_model,
+    "shape_function": q_shape_function,
+    "interactions": q_interactions,
+    "additive_contributions": q_additive_contributions,
 }
 ORACLES: dict = {}

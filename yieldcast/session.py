@@ -72,3 +72,34 @@ def cut_lineage(df, eager: bool = True):
     """Materialise ``df`` with a reliable checkpoint in the shared folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``yieldcast`` importable on executors (for mapInPandas closures).
+
+    A zip of the package is written once per application into the shared
+    checkpoint folder and registered with ``addPyFile``; on a cluster that
+    was started with the package on ``--py-files`` this is a no-op re-add.
+    """
+    import io
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    path = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"yieldcast-{app}.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
