@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from yieldcast import schema as S
 
 __all__ = [
-    "col_", "round_half_away", "safe_div", "ieee_div", "nan_to_zero", "round_floats", "iso_week_monday",
+    "col_", "round_half_away", "fixed_point_mean", "safe_div", "ieee_div", "nan_to_zero", "round_floats", "iso_week_monday",
     "cyclic_week", "clipped_logit", "sigmoid", "sample_weight", "rate_bucket",
     "rate_bucket_order", "volume_bucket", "volume_bucket_order", "quarter", "horizontal_sum",
     "abs_error", "fmt_value", "majority_flag", "nan_to_null",
@@ -63,6 +63,19 @@ def round_half_away(c, decimals: int = S.ROUND_DECIMALS) -> Column:
     return F.round(col_(c) * F.lit(scale), 0) / F.lit(scale)
 
 
+def fixed_point_mean(c, decimals: int = S.ROUND_DECIMALS) -> Column:
+    """Mean of a column already rounded to ``decimals`` places, summed as integers.
+
+    The sum of round(x * 10^d) is exact in any order, so the result does not
+    depend on partitioning or summation order (a double sum does, in its last
+    bit, which matters when a mean lands on a rounding tie):
+    (sum / n) / 10^d with two IEEE divisions.
+    """
+    scale = float(10 ** decimals)
+    x = col_(c)
+    return F.sum(F.round(x * F.lit(scale)).cast("bigint")) / F.count(x) / F.lit(scale)
+
+
 def round_floats(df: DataFrame, decimals: int = S.ROUND_DECIMALS) -> DataFrame:
     """round every float/double column in one projection."""
     return df.select([

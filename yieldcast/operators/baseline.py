@@ -16,35 +16,46 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
+from yieldcast.functions.scalar import fixed_point_mean
 
 PAIR = [S.SITE, S.GL]
 BASELINE_COLS = ["site_gl_mean_rate", "site_gl_std_rate", "site_gl_n_nonzero_weeks"]
 SHARE_BASELINE_COLS = ["baseline_share_mean", "baseline_share_std", "baseline_share_count"]
 
 
-def site_gl_baseline(df_nz: DataFrame, target: str = S.RATE) -> DataFrame:
-    """Per (site, GL) mean, sample std and count of the target."""
+def _mean(t, decimals):
+    return fixed_point_mean(t, decimals) if decimals is not None else F.avg(t)
+
+
+def site_gl_baseline(df_nz: DataFrame, target: str = S.RATE, decimals: int | None = S.ROUND_DECIMALS) -> DataFrame:
+    """Per (site, GL) mean, sample std and count of the target.
+
+    The target of the feature table is rounded to 6 places, so its mean is
+    taken in fixed point (order-independent); ``decimals=None`` for others.
+    """
     t = F.col(target)
-    return df_nz.groupBy(*PAIR).agg(F.avg(t).alias("site_gl_mean_rate"),
+    return df_nz.groupBy(*PAIR).agg(_mean(t, decimals).alias("site_gl_mean_rate"),
                                     F.stddev_samp(t).alias("site_gl_std_rate"),
                                     F.count(t).alias("site_gl_n_nonzero_weeks"))
 
 
-def baseline_priors(df_nz: DataFrame, target: str = S.RATE) -> dict[str, DataFrame]:
+def baseline_priors(df_nz: DataFrame, target: str = S.RATE,
+                    decimals: int | None = S.ROUND_DECIMALS) -> dict[str, DataFrame]:
     """A10: GL prior, site prior and the one-row global prior."""
     t = F.col(target)
     return {
-        "gl": df_nz.groupBy(S.GL).agg(F.avg(t).alias("gl_mean_rate"), F.stddev_samp(t).alias("gl_std_rate")),
-        "site": df_nz.groupBy(S.SITE).agg(F.avg(t).alias("site_mean_rate"), F.stddev_samp(t).alias("site_std_rate")),
-        "global": df_nz.agg(F.avg(t).alias("global_mean_rate"), F.stddev_samp(t).alias("global_std_rate")),
+        "gl": df_nz.groupBy(S.GL).agg(_mean(t, decimals).alias("gl_mean_rate"), F.stddev_samp(t).alias("gl_std_rate")),
+        "site": df_nz.groupBy(S.SITE).agg(_mean(t, decimals).alias("site_mean_rate"),
+                                          F.stddev_samp(t).alias("site_std_rate")),
+        "global": df_nz.agg(_mean(t, decimals).alias("global_mean_rate"), F.stddev_samp(t).alias("global_std_rate")),
     }
 
 
-def prior_levels(df_nz: DataFrame, target: str = S.RATE) -> DataFrame:
+def prior_levels(df_nz: DataFrame, target: str = S.RATE, decimals: int | None = S.ROUND_DECIMALS) -> DataFrame:
     """A10 in one pass: GROUPING SETS ((GL), (site), ()) -> level, key, mean, std."""
     t = F.col(target)
     g = df_nz.groupingSets([[S.GL], [S.SITE], []], S.GL, S.SITE).agg(
-        F.avg(t).alias("mean_rate"), F.stddev_samp(t).alias("std_rate"),
+        _mean(t, decimals).alias("mean_rate"), F.stddev_samp(t).alias("std_rate"),
         F.grouping_id().alias("_gid"))
     level = F.when(F.col("_gid") == 1, "gl").when(F.col("_gid") == 2, "site").otherwise("global")
     key = F.when(F.col("_gid") == 1, F.col(S.GL).cast("string")).when(F.col("_gid") == 2, F.col(S.SITE))

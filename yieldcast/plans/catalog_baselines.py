@@ -1,6 +1,7 @@
 """Registered queries: baselines, priors, sampling, scalar functions and metrics.
 
-Metric queries score the test year with the model-free baseline of the
+Means of the (6-decimal) rate are taken in fixed point on both sides, see
+``fixed_point_mean``. Metric queries score the test year with the model-free baseline of the
 training years (the pair's mean positive rate, and the pair's share of
 non-zero weeks as P(rate > 0)), so the SQL oracle needs no model.
 """
@@ -225,14 +226,14 @@ train AS (SELECT * FROM weekly WHERE year IN ({_TRAIN})),
 test AS (SELECT * FROM weekly WHERE year IN ({_TEST})),
 train_nz AS (SELECT * FROM train WHERE prob_recovered > 0),
 test_nz AS (SELECT * FROM test WHERE prob_recovered > 0),
-bl AS (SELECT hashed_fc, gl_product_group, avg(prob_recovered) AS site_gl_mean_rate,
+bl AS (SELECT hashed_fc, gl_product_group, (CAST(sum(CAST(round(prob_recovered * 1000000.0) AS BIGINT)) AS DOUBLE) / count(prob_recovered) / 1000000.0) AS site_gl_mean_rate,
               stddev_samp(prob_recovered) AS site_gl_std_rate, count(prob_recovered) AS site_gl_n_nonzero_weeks
        FROM train_nz GROUP BY hashed_fc, gl_product_group),
-glp AS (SELECT gl_product_group, avg(prob_recovered) AS gl_mean_rate, stddev_samp(prob_recovered) AS gl_std_rate
+glp AS (SELECT gl_product_group, (CAST(sum(CAST(round(prob_recovered * 1000000.0) AS BIGINT)) AS DOUBLE) / count(prob_recovered) / 1000000.0) AS gl_mean_rate, stddev_samp(prob_recovered) AS gl_std_rate
         FROM train_nz GROUP BY gl_product_group),
-sitep AS (SELECT hashed_fc, avg(prob_recovered) AS site_mean_rate, stddev_samp(prob_recovered) AS site_std_rate
+sitep AS (SELECT hashed_fc, (CAST(sum(CAST(round(prob_recovered * 1000000.0) AS BIGINT)) AS DOUBLE) / count(prob_recovered) / 1000000.0) AS site_mean_rate, stddev_samp(prob_recovered) AS site_std_rate
           FROM train_nz GROUP BY hashed_fc),
-gprior AS (SELECT avg(prob_recovered) AS global_mean_rate, stddev_samp(prob_recovered) AS global_std_rate FROM train_nz),
+gprior AS (SELECT (CAST(sum(CAST(round(prob_recovered * 1000000.0) AS BIGINT)) AS DOUBLE) / count(prob_recovered) / 1000000.0) AS global_mean_rate, stddev_samp(prob_recovered) AS global_std_rate FROM train_nz),
 joined AS (SELECT t.*, b.site_gl_mean_rate AS m0, b.site_gl_std_rate AS s0, b.site_gl_n_nonzero_weeks AS n0
            FROM test_nz t LEFT JOIN bl b USING (hashed_fc, gl_product_group)),
 filled AS (SELECT j.*, coalesce(m0, g.gl_mean_rate, s.site_mean_rate, gprior.global_mean_rate) AS site_gl_mean_rate,
