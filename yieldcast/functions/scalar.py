@@ -15,7 +15,7 @@ __all__ = [
     "col_", "round_half_away", "fixed_point_mean", "safe_div", "ieee_div", "nan_to_zero", "round_floats", "iso_week_monday",
     "cyclic_week", "clipped_logit", "sigmoid", "sample_weight", "rate_bucket",
     "rate_bucket_order", "volume_bucket", "volume_bucket_order", "quarter", "horizontal_sum",
-    "abs_error", "fmt_value", "majority_flag", "nan_to_null",
+    "abs_error", "short_label", "fmt_value", "majority_flag", "nan_to_null",
 ]
 
 
@@ -171,6 +171,12 @@ def abs_error(pred, actual) -> Column:
     return F.abs(col_(pred) - col_(actual))
 
 
+def short_label(c, n: int = 14) -> Column:
+    """display form of a key -- cast to string, first n characters, ellipsis if cut."""
+    s = col_(c).cast("string")
+    return F.when(F.length(s) > n, F.concat(F.substring(s, 1, n), F.lit("\u2026"))).otherwise(s)
+
+
 def fmt_value(value, pct: bool = True) -> Column:
     """F16: display form of a feature value (percent for rates, else 2 decimals)."""
     v = col_(value).cast("double")

@@ -132,8 +132,11 @@ def _fit(df: DataFrame, features: Sequence[str], estimator, cache: bool = True,
          extra: Sequence[str] = ("label", "weight", "is_valid")) -> StageModel:
     nums, cats = MF.numeric_and_categorical(features, df.columns)
     data = MF.prepare_numeric(MF.cast_categoricals(df, cats), nums)
-    # only the model inputs are cached (not the 700-column feature row)
+    # only the model inputs are cached (not the 700-column feature row), spread over
+    # all task slots: every boosting round scans this frame, and its size in bytes
+    # says little about the CPU each round needs
     data = data.select(*[f"_n_{c}" for c in nums], *cats, *[c for c in extra if c in df.columns])
+    data = data.repartition(df.sparkSession.sparkContext.defaultParallelism)
     if cache:
         data = data.persist()
     try:
@@ -222,7 +225,8 @@ def train_stage3(df_train: DataFrame, valid_years: Sequence[int], params: dict |
     nums, cats = MF.numeric_and_categorical(feats_common, data.columns)
     all_nums = nums + [c for ch in channels for c in channel_baseline_cols(ch)]
     prepared = (MF.prepare_numeric(MF.cast_categoricals(data, cats), all_nums)
-                  .select(*[f"_n_{c}" for c in all_nums], *cats, "is_valid", *channels, S.RATE).persist())
+                  .select(*[f"_n_{c}" for c in all_nums], *cats, "is_valid", *channels, S.RATE)
+                  .repartition(df_train.sparkSession.sparkContext.defaultParallelism).persist())
 
     def fit_one(ch):
         p = dict(DEFAULT_CHANNEL_PARAMS.get(ch, DEFAULT_REG_PARAMS) if params is None else params)

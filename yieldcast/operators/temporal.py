@@ -232,16 +232,22 @@ def temporal_features(df: DataFrame, cols: Sequence[str] | None = None,
                       lags: Sequence[int] = S.LAG_WEEKS, rolling: Sequence[int] = S.ROLLING_WEEKS,
                       rolling_long: Sequence[int] = S.ROLLING_WEEKS_LONG,
                       alphas: Sequence[float] = S.EWMA_ALPHAS, keys: Sequence[str] = S.SERIES_KEYS,
-                      period: float | None = S.WEEK_PERIOD) -> DataFrame:
+                      period: float | None = S.WEEK_PERIOD, num_partitions: int | None = None) -> DataFrame:
     """All lag/rolling/EWMA columns in one projection over one shuffle.
 
     One hash exchange on the series key; the position windows and the
     feature windows reuse it (only an in-partition sort by position is
     added). A partition holds whole series, each bounded by the calendar.
+    The exchange gets an explicit partition count (default: the session's
+    ``spark.sql.shuffle.partitions``): this stage is CPU-bound (~1,000
+    window functions per row) while its input is small in bytes, and AQE
+    would otherwise coalesce it by size into too few tasks.
     Output rows are the fact rows (gap rows never exist), with start/end of
     the series and the cyclic week.
     """
     cols = list(cols) if cols is not None else temporal_feature_columns(df)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(n, *keys)
     positioned = with_series_position(df, keys)
     w = position_window(keys)
     feats = (lag_exprs(cols, lags, w) + rolling_exprs(cols, rolling, w)

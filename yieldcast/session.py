@@ -98,8 +98,22 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    path = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"yieldcast-{app}.zip")
-    with open(path, "wb") as fh:
-        fh.write(buf.getvalue())
+    folder = checkpoint_dir(spark)
+    name = f"yieldcast-{app}.zip"
+    if "://" in folder and not folder.startswith("file:"):
+        # shared storage (hdfs://, s3a://, ...): write through the Hadoop FileSystem API
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(folder, name)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out = fs.create(hpath, True)
+        try:
+            out.write(bytearray(buf.getvalue()))
+        finally:
+            out.close()
+        path = hpath.toString()
+    else:
+        path = os.path.join(folder.replace("file://", "").replace("file:", ""), name)
+        with open(path, "wb") as fh:
+            fh.write(buf.getvalue())
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
