@@ -160,7 +160,7 @@ QUERIES = {
 _KEYS = "hashed_fc, year, month, week, gl_product_group"
 _RAW_COLS = ["hashed_fc", "year", "month", "week", "gl_product_group", "product_type",
              "macro_category", "is_hazmat", "units", "cogs", "weight", "country", "country_state",
-             "zip_code", "site_type", "site_category", "recovery_type", "marketplace_id"]
+             "zip_code", "site_type", "site_category", "recovery_type", "marketplace_id"]  # fixture columns
 
 
 def _rounded_star(cols_double: list[str]) -> str:
@@ -182,8 +182,8 @@ ORACLES = {
     "clean_rows": O.with_ctes(f"SELECT {_rounded_star(['cogs', 'weight'])} FROM clean", "clean"),
     "all_null_columns": _null_profile_sql(),
     "source_roundtrip_csv": O.with_ctes(
-        f"SELECT {', '.join(_RAW_COLS)} REPLACE (round(cogs, 6) + 0.0 AS cogs, round(weight, 6) + 0.0 AS weight) FROM raw"
-        .replace(f"{', '.join(_RAW_COLS)} REPLACE", "* EXCLUDE (vendor_name) REPLACE"), "raw"),
+        "SELECT * EXCLUDE (vendor_name) REPLACE (round(cogs, 6) + 0.0 AS cogs, round(weight, 6) + 0.0 AS weight) "
+        "FROM raw", "raw"),
     "aggregate_site_gl_week": O.with_ctes(
         f"SELECT {_rounded_star(['cogs_total', 'weight_total'])} FROM agg", "agg"),
     "conditional_sums": O.with_ctes(
