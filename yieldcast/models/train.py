@@ -12,9 +12,11 @@ checkpoint): every MLlib step re-analyses its input plan, and the raw
 feature plan carries ~700 window/projection expressions.
 Parameter names map as max_depth->maxDepth, learning_rate->stepSize,
 n_estimators->maxIter, subsample->subsamplingRate,
-colsample_bytree->featureSubsetStrategy, min_child_weight->minInstancesPerNode,
-gamma->minInfoGain; reg_alpha, reg_lambda and max_delta_step have no MLlib
-counterpart and are ignored.
+colsample_bytree->featureSubsetStrategy, min_child_weight->minInstancesPerNode.
+gamma (a minimum *total* loss reduction) is not mapped onto minInfoGain (a
+minimum *per-instance* impurity decrease): at the booster's values (0.1 to 3)
+it blocks every split and yields constant models. reg_alpha, reg_lambda and
+max_delta_step have no MLlib counterpart either; all four are ignored.
 """
 
 from __future__ import annotations
@@ -76,7 +78,6 @@ SEARCH_SPACE = {
     "subsample": (0.5, 1.0, False, False),
     "colsample_bytree": (0.4, 1.0, False, False),
     "min_child_weight": (1, 50, True, True),
-    "gamma": (1e-8, 5.0, True, False),
 }
 
 
@@ -94,8 +95,6 @@ def gbt_params(params: dict, max_iter: int, seed: int = S.SEED) -> dict:
         out["featureSubsetStrategy"] = repr(float(params["colsample_bytree"]))
     if "min_child_weight" in params:
         out["minInstancesPerNode"] = max(1, int(params["min_child_weight"]))
-    if "gamma" in params:
-        out["minInfoGain"] = float(params["gamma"])
     return out
 
 
@@ -265,9 +264,9 @@ def draw_trials(n: int, seed: int = S.SEED, space: dict = SEARCH_SPACE) -> list[
 
 
 def search_stage1(df_train: DataFrame, valid_years: Sequence[int], n_trials: int, max_iter: int,
-                  seed: int = S.SEED, parallelism: int = 4) -> DataFrame:
+                  seed: int = S.SEED, parallelism: int = 4, dump_to: str | None = None) -> DataFrame:
     """Fit n seeded trials on the training years, score average precision on the
-    validation fold; returns the trial table sorted best first."""
+    validation fold; returns the trial table sorted best first (S9: ``dump_to`` writes it as JSON)."""
     spark = df_train.sparkSession
     fit_part = df_train.filter(~F.col(S.YEAR).isin(list(valid_years)))
     valid = df_train.filter(F.col(S.YEAR).isin(list(valid_years)))
@@ -284,4 +283,8 @@ def search_stage1(df_train: DataFrame, valid_years: Sequence[int], n_trials: int
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, enumerate(draw_trials(n_trials, seed))))
     table = spark.createDataFrame(rows, "trial int, params string, value double")
-    return table.orderBy(F.desc_nulls_last("value"), "trial")
+    table = table.orderBy(F.desc_nulls_last("value"), "trial")
+    if dump_to:
+        from yieldcast.sources.files import write_json
+        write_json(table, dump_to)
+    return table
