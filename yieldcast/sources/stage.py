@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def stage_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-                partition_by: Sequence[str] | None = ("year",)) -> DataFrame:
+                partition_by: Sequence[str] | None = ("year",), wait_seconds: float = 600) -> DataFrame:
     """Return the stage at ``path``; build and write it first when missing.
 
     The write uses ``errorifexists`` so two writers never publish over each
@@ -25,5 +26,13 @@ def stage_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
     stage boundary, so a lost executor recomputes from the stored table).
     """
     if not _exists(spark, path):
-        write_table(build(), path, partition_by=partition_by, mode="errorifexists")
+        try:
+            write_table(build(), path, partition_by=partition_by, mode="errorifexists")
+        except Exception:
+            # another writer got there first: wait for its commit marker
+            deadline = time.time() + wait_seconds
+            while not _exists(spark, path):
+                if time.time() > deadline:
+                    raise
+                time.sleep(2)
     return spark.read.parquet(path)
