@@ -21,6 +21,7 @@ SYMBOLS = "#*$%&|<>"
 
 COVERAGE = 0.75          # share of a group in the covariance subset
 STEPS = 4                # concentration steps
+SALTS = 32               # tasks that a group is split into
 MIN_GROUP = 60           # smaller groups are pooled per language, then over all
 CHI2_HALF = 3.3567       # median of chi-square with 4 degrees of freedom
 CUT = 30.0               # squared distance beyond which a text is rejected; chi-square, 4 degrees: 1 - 5e-6
@@ -119,6 +120,12 @@ def _distance() -> Column:
     return total
 
 
+def _beside(points: DataFrame, per_group: DataFrame) -> DataFrame:
+    """Join a row per group to its points; the salt splits a group that holds much of the table over SALTS tasks."""
+    salted = per_group.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return points.join(salted, ["g", "salt"])
+
+
 def mcd_fit(points: DataFrame) -> DataFrame:
     """Estimates per group of points (g, x0..): centre, factor, and a scale that brings a large median distance down to the usual one.
 
@@ -126,18 +133,19 @@ def mcd_fit(points: DataFrame) -> DataFrame:
     keeps the COVERAGE share nearest under the last estimate and refits, which
     never raises the determinant. Only aggregates leave the tasks.
     """
+    points = points.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     med = cut_lineage(points.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"c{i}") for i in range(DIMS)]))
-    mad = points.join(med, "g").groupBy("g").agg(
+    mad = _beside(points, med).groupBy("g").agg(
         F.count(F.lit(1)).alias("m"),
         *[F.first(f"c{i}").alias(f"c{i}") for i in range(DIMS)],
         *[(F.pow(1.4826 * F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"c{i}")), 0.5, 2000), F.lit(2.0))
            if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in range(DIMS) for j in range(i + 1)])
     est = cut_lineage(_cholesky(mad))
     for _ in range(STEPS):
-        far = points.join(est, "g").select("g", *[f"x{i}" for i in range(DIMS)], _distance().alias("d2"))
+        far = _beside(points, est).select("g", "salt", *[f"x{i}" for i in range(DIMS)], _distance().alias("d2"))
         edge = far.groupBy("g").agg(F.percentile_approx("d2", COVERAGE, 2000).alias("edge"))
-        est = cut_lineage(_cholesky(far.join(edge, "g").where("d2 <= edge").groupBy("g").agg(*_moments())))
-    scale = points.join(est, "g").groupBy("g").agg(
+        est = cut_lineage(_cholesky(_beside(far, edge).where("d2 <= edge").groupBy("g").agg(*_moments())))
+    scale = _beside(points, est).groupBy("g").agg(
         F.percentile_approx(_distance(), 0.5, 2000).alias("mid"))
     return cut_lineage(est.join(scale, "g").withColumn(
         "scale", F.lit(CHI2_HALF) / F.greatest("mid", F.lit(CHI2_HALF))))
