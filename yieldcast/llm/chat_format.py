@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from yieldcast.session import cut_lineage
+from yieldcast.llm.common import scratch
 
 ROLES = ("system", "user", "assistant")
 BLOCK = 64               # segments in a block, and blocks in a node of the tree
@@ -208,7 +208,7 @@ def _boundary_states(matrices: DataFrame, ctype: str) -> DataFrame:
     levels = [matrices]
     while levels[-1].agg(F.max("block")).first()[0]:
         up = levels[-1].withColumn("up", F.floor(F.col("block") / BLOCK).cast("long"))
-        levels.append(cut_lineage(up.groupBy("c", "up").applyInPandas(_product, f"c {ctype}, up long, m array<double>")
+        levels.append(scratch(up.groupBy("c", "up").applyInPandas(_product, f"c {ctype}, up long, m array<double>")
                                   .withColumnRenamed("up", "block")))
     first = F.slice("m", START * STATES + 1, STATES)
     states = levels.pop().select("c", "block", F.lit(START).alias("s"), (F.array_position(first, F.array_max(first)) - 1).cast("int").alias("e"))
@@ -252,13 +252,13 @@ def format_chats(segments: DataFrame, model: dict, conv: str = "conv_id", seq: s
     """
     ctype = dict(segments.dtypes)[conv]
     rows = segments.select(F.col(conv).alias("c"), F.col(seq).cast("long").alias("seq"), F.col(text).cast("string").alias("text")).distinct()
-    blocks = cut_lineage(rows.groupBy("c", F.greatest(F.floor(F.coalesce("seq", F.lit(0)) / BLOCK), F.lit(0)).cast("long").alias("block"))
+    blocks = scratch(rows.groupBy("c", F.greatest(F.floor(F.coalesce("seq", F.lit(0)) / BLOCK), F.lit(0)).cast("long").alias("block"))
                          .agg(F.collect_list(F.struct("seq", "text")).alias("segments")))
-    matrices = cut_lineage(blocks.mapInArrow(partial(_matrix_task, model=model), f"c {ctype}, block long, m array<double>"))
+    matrices = scratch(blocks.mapInArrow(partial(_matrix_task, model=model), f"c {ctype}, block long, m array<double>"))
     # null conversations need a null-safe key
     states = _boundary_states(matrices.withColumn("c", F.struct("c")), f"struct<c:{ctype}>").withColumnRenamed("block", "b").withColumnRenamed("c", "k")
     placed = blocks.join(states, F.col("c").eqNullSafe(F.col("k.c")) & (F.col("block") == F.col("b"))).select("c", "block", "segments", "s", "e")
-    pieces = cut_lineage(placed.mapInArrow(
+    pieces = scratch(placed.mapInArrow(
         partial(_piece_task, model=model, ctype=ctype),
         f"c {ctype}, block long, pieces array<struct<seq:long,line:int,role:string,text:string>>"))
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import atexit
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldcast.session import cut_lineage
+from yieldcast.session import checkpoint_dir
 
 # The white space that separates words: space, tab, line feed, vertical tab,
 # form feed, carriage return. A word is ``[^\x20\x09-\x0D]+``.
@@ -38,6 +41,40 @@ def hold_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def scratch_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new folder under the shared checkpoint folder; it is removed when the driver ends."""
+    path = f"{checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(lambda: [remove(s, p) for s, p in _WRITTEN])
+    _WRITTEN.append((spark, path))
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    if jvm is None or spark.sparkContext._jsc is None:      # the session has been stopped
+        return
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def scratch(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back: the plan is cut, and a lost executor costs a reread.
+
+    A checkpoint would carry the plan's constraints along, which multiply in loops. ``paths`` gets the
+    folder's path, for tables that a loop removes itself.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """Connected components of an undirected edge list: one row (node, root) per node with an edge.
 
@@ -47,32 +84,34 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     the vertices that still have edges. All state is distributed; lineage is
     cut in the shared checkpoint folder. Self loops and nulls are ignored.
     """
+    spark, done = edges.sparkSession, []
+
     def pairs(df, x, y):
         return df.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
-    left = cut_lineage(pairs(edges, src, dst))
-    labels = None
+    left = scratch(pairs(edges, src, dst), done)
+    labels = left.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+    first = True
     while not left.isEmpty():
         both = left.select("a", "b").unionAll(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("p"))
-                             .select("node", F.least("node", "p").alias("root")))
+        parent = scratch(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("p"))
+                         .select("node", F.least("node", "p").alias("root")), done)
         while True:
             up = parent.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-            jumped = cut_lineage(parent.join(up, "root").select("node", "root", "higher"))
+            jumped = scratch(parent.join(up, "root").select("node", "root", "higher"), done)
             moved = not jumped.where("root != higher").isEmpty()
             parent = jumped.select("node", F.col("higher").alias("root"))
             if not moved:
                 break
-        left = cut_lineage(pairs(
+        left = scratch(pairs(
             left.join(parent.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
-                .join(parent.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"), "ra", "rb"))
-        if labels is None:
-            labels = parent
+                .join(parent.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"), "ra", "rb"), done)
+        if first:
+            labels, first = parent, False
         else:
             step = parent.select(F.col("node").alias("root"), F.col("root").alias("top"))
-            labels = cut_lineage(labels.join(step, "root", "left")
-                                 .select("node", F.coalesce("top", "root").alias("root")))
-    if labels is None:
-        kind = left.schema["a"].dataType
-        return left.select(F.col("a").cast(kind).alias("node"), F.col("b").alias("root"))
+            labels = scratch(labels.join(step, "root", "left").select("node", F.coalesce("top", "root").alias("root")), done)
+    labels = scratch(labels)
+    for path in done:
+        remove(spark, path)
     return labels

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from yieldcast.session import cut_lineage
+from yieldcast.llm.common import scratch
 
 MAX_PASSES = 3
 MAX_PATTERNS = 10_000    # patterns are held on the driver; more raise an error
@@ -116,7 +116,7 @@ def _boundaries(slim: DataFrame, wanted: DataFrame) -> DataFrame:
         # the last key whose start lies below the wanted tokens
         at = upto.where("past - held < rest").groupBy("pattern", *levels[:k]).agg(
             F.max_by(F.struct(F.col(key), (F.col("rest") - F.col("past") + F.col("held")).alias("rest"), "held"), key).alias("x"))
-        found = cut_lineage(at.select("pattern", *levels[:k], f"x.{key}", "x.rest", F.col("x.held").alias("held")))
+        found = scratch(at.select("pattern", *levels[:k], f"x.{key}", "x.rest", F.col("x.held").alias("held")))
     return found
 
 
@@ -138,7 +138,7 @@ def mix(docs: DataFrame, members: Column, size: Column, doc_id: str = "doc_id",
     slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(doc_id),
                        F.array_sort(F.array_distinct(members)).alias("pattern_of"), F.element_at(members, 1).alias("first"),
                        size.cast("long").alias("size"))
-    slim = cut_lineage(slim.select(
+    slim = scratch(slim.select(
         "row", F.to_json("pattern_of").alias("pattern"), "pattern_of", "first", "size",
         F.pmod(u, F.lit(_BUCKETS)).alias("o0"), F.pmod(F.shiftrightunsigned(u, 12), F.lit(_BUCKETS)).alias("o1"),
         u.alias("o2"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_BUCKETS)).alias("o3"),

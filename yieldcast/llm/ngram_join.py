@@ -19,8 +19,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yieldcast.llm.common import connected_components, word_array
-from yieldcast.session import cut_lineage
+from yieldcast.llm.common import connected_components, scratch, word_array
 
 BLOCK = 256              # sets of a family in one block
 LEAF = 8                 # sets in a leaf of a tree
@@ -320,7 +319,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hashed = _word_hashes(base, "text", lower)
-    rows = cut_lineage(hashed.select("id", "w").mapInArrow(
+    rows = scratch(hashed.select("id", "w").mapInArrow(
         partial(_read_task, width=width), f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long"))
 
     # Candidate families: sets that share a signature. Rows of two longs are dealt by signature once; a family
@@ -333,7 +332,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     # One representative row per candidate set, found by its id, gives the set again.
     members = rows.join(family, F.col("fp") == F.col("node"))
-    reps = cut_lineage(members.groupBy("sid", "n", "root").agg(F.min("id").alias("id")))
+    reps = scratch(members.groupBy("sid", "n", "root").agg(F.min("id").alias("id")))
     labels = _links(base, reps, width, percent, lower)
 
     grouped = rows.join(labels, "sid", "left") if labels is not None else rows.withColumn("top", F.lit(None).cast("binary"))
@@ -357,13 +356,13 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
     sets = (found.select("w").mapInArrow(partial(_set_task, width=width), "sid binary, items binary, n long")
             .join(reps.select("sid", "root"), "sid").dropDuplicates(["sid"]))
     many = reps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    held = cut_lineage(sets.join(many, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))))
+    held = scratch(sets.join(many, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))))
     task, pair = partial(_block_links, percent=percent), "a binary, b binary"
     fields = ["sid", "n", "items", "comp"]
 
     inside = held.select("root", "block", "sid", "n", "items", F.col("sid").alias("comp"), F.lit(0).alias("side"))
-    edges = cut_lineage(inside.groupBy("root", "block").applyInPandas(task, pair))
-    labels = cut_lineage(_tops(edges))
+    edges = scratch(inside.groupBy("root", "block").applyInPandas(task, pair))
+    labels = scratch(_tops(edges))
 
     large = held.where("blocks > 1")
     if not large.isEmpty():
@@ -371,10 +370,10 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
         ring = now.withColumn("at", F.explode(F.array(
             F.struct(F.col("block").alias("x"), F.lit(0).alias("side")),
             F.struct(F.pmod(F.col("block") - 1, F.col("blocks")).alias("x"), F.lit(1).alias("side")))))
-        edges = cut_lineage(edges.unionAll(ring.select("root", "at.x", "at.side", *fields).groupBy("root", "x").applyInPandas(task, pair)))
-        labels = cut_lineage(_tops(edges))
+        edges = scratch(edges.unionAll(ring.select("root", "at.x", "at.side", *fields).groupBy("root", "x").applyInPandas(task, pair)))
+        labels = scratch(_tops(edges))
 
-        now = cut_lineage(_labelled(large, labels))
+        now = scratch(_labelled(large, labels))
         main = (now.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("k"))
                 .groupBy("root").agg(F.max_by("comp", F.struct("k", "comp")).alias("main")))
         outside = now.join(main, "root").where("comp != main").drop("main")
@@ -385,7 +384,7 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
         across = (left.select("root", "chunk", "y", F.lit(0).alias("side"), *fields)
                   .unionAll(right.select("root", "chunk", F.col("block").alias("y"), F.lit(1).alias("side"), *fields)))
         edges = edges.unionAll(across.groupBy("root", "chunk", "y").applyInPandas(task, pair))
-        labels = cut_lineage(_tops(edges))
+        labels = scratch(_tops(edges))
     return labels
 
 

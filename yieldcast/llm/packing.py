@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,7 +86,6 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[int]:
         windows += 1
 
 
-@lru_cache(maxsize=2)
 def _encoding(path: str):
     """The byte-level BPE of a ``tokenizers`` file, run by tiktoken: same ids, several times faster."""
     import json

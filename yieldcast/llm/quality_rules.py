@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yieldcast.llm.common import SPACE, let, word_array
-from yieldcast.session import cut_lineage
+from yieldcast.llm.common import SPACE, let, scratch, word_array
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -134,20 +133,20 @@ def mcd_fit(points: DataFrame) -> DataFrame:
     never raises the determinant. Only aggregates leave the tasks.
     """
     points = points.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-    med = cut_lineage(points.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"c{i}") for i in range(DIMS)]))
+    med = scratch(points.groupBy("g").agg(*[F.percentile_approx(f"x{i}", 0.5, 2000).alias(f"c{i}") for i in range(DIMS)]))
     mad = _beside(points, med).groupBy("g").agg(
         F.count(F.lit(1)).alias("m"),
         *[F.first(f"c{i}").alias(f"c{i}") for i in range(DIMS)],
         *[(F.pow(1.4826 * F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"c{i}")), 0.5, 2000), F.lit(2.0))
            if i == j else F.lit(0.0)).alias(f"s{i}{j}") for i in range(DIMS) for j in range(i + 1)])
-    est = cut_lineage(_cholesky(mad))
+    est = scratch(_cholesky(mad))
     for _ in range(STEPS):
         far = _beside(points, est).select("g", "salt", *[f"x{i}" for i in range(DIMS)], _distance().alias("d2"))
         edge = far.groupBy("g").agg(F.percentile_approx("d2", COVERAGE, 2000).alias("edge"))
-        est = cut_lineage(_cholesky(_beside(far, edge).where("d2 <= edge").groupBy("g").agg(*_moments())))
+        est = scratch(_cholesky(_beside(far, edge).where("d2 <= edge").groupBy("g").agg(*_moments())))
     scale = _beside(points, est).groupBy("g").agg(
         F.percentile_approx(_distance(), 0.5, 2000).alias("mid"))
-    return cut_lineage(est.join(scale, "g").withColumn(
+    return scratch(est.join(scale, "g").withColumn(
         "scale", F.lit(CHI2_HALF) / F.greatest("mid", F.lit(CHI2_HALF))))
 
 
@@ -161,9 +160,9 @@ def fit(keyed: DataFrame) -> DataFrame:
     """Estimates for every (language, source) key k of counted rows. Groups with fewer than MIN_GROUP usable texts
     are pooled per language and then over everything; a pool that is still small gets no estimate."""
     usable = keyed.where(~F.col("base_failed"))
-    sizes = cut_lineage(usable.groupBy("k_lang", "k").agg(F.count(F.lit(1)).alias("n")))
+    sizes = scratch(usable.groupBy("k_lang", "k").agg(F.count(F.lit(1)).alias("n")))
     pooled = sizes.where(F.col("n") < MIN_GROUP).groupBy("k_lang").agg(F.sum("n").alias("pool"))
-    groups = cut_lineage(sizes.join(pooled, "k_lang", "left").select(
+    groups = scratch(sizes.join(pooled, "k_lang", "left").select(
         "k", F.when(F.col("n") >= MIN_GROUP, F.col("k")).when(F.col("pool") >= MIN_GROUP, F.col("k_lang"))
         .otherwise("all").alias("g")))
     est = mcd_fit(usable.join(groups, "k").select("g", *[f"x{i}" for i in range(DIMS)]))
@@ -187,11 +186,11 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     fails the base rule. Repeated rows are judged alike and all returned. An
     empty table gives an empty result. Input columns named like a result
     column are replaced by it. Texts are read once: what follows works on
-    a checkpointed table of the counts.
+    a scratch table of the counts.
     """
     slim = [c for c in docs.columns if c != text]
     counted = base_counts(docs, text).withColumn("row", F.struct(*[F.col("row").getField(c).alias(c) for c in slim]))
-    keyed = cut_lineage(_keyed(counted, lang, source))
+    keyed = scratch(_keyed(counted, lang, source))
     return _judge(keyed, fit(keyed), slim)
 
 
@@ -202,7 +201,7 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     estimates (a row per language and source) is too large to broadcast.
     """
     keyed = _keyed(base_counts(docs, text), lang, source)
-    slim = cut_lineage(keyed.select("k_lang", "k", "base_failed", *[f"x{i}" for i in range(DIMS)]))
+    slim = scratch(keyed.select("k_lang", "k", "base_failed", *[f"x{i}" for i in range(DIMS)]))
     judged = keyed.join(fit(slim), "k", "left").where(
         ~F.col("base_failed") & (F.coalesce(_distance() * F.col("scale"), F.lit(0.0)) <= CUT))
     return judged.select([F.col("row").getField(c).alias(c) for c in docs.columns])

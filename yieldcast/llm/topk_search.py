@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from yieldcast.session import cut_lineage
+from yieldcast.llm.common import scratch
 
 PIVOTS = 32              # most pivots; fewer where the rows make fewer cells
 RINGS = 16               # most annuli per pivot
@@ -104,7 +104,7 @@ def build_index(vectors: DataFrame) -> tuple[DataFrame, list, object, float]:
     for o, r in zip(raw, chosen):
         o[:len(r["v"])] = r["v"]
     pivots = _lift(raw, top)
-    keyed = cut_lineage(vectors.mapInArrow(partial(_key_task, pivots=pivots, top=top),
+    keyed = scratch(vectors.mapInArrow(partial(_key_task, pivots=pivots, top=top),
                                            "row long, vec_id long, v array<int>, pivot int, dist double"))
     edges = {r["pivot"]: r["e"] for r in keyed.groupBy("pivot").agg(
         F.percentile_approx("dist", [i / n_rings for i in range(1, n_rings)] or [1.0], 1000).alias("e")).collect()}
@@ -120,7 +120,7 @@ def build_index(vectors: DataFrame) -> tuple[DataFrame, list, object, float]:
             slots = F.when((F.col("pivot") == a["pivot"]) & (F.col("ring") == a["ring"]), -(-a["n"] // CELL)).otherwise(slots)
     cells = (ringed.withColumn("slot", F.pmod(F.xxhash64("row"), slots).cast("int"))
              .groupBy("pivot", "ring", "slot").agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")))
-    return cut_lineage(cells), annuli, pivots, top
+    return scratch(cells), annuli, pivots, top
 
 
 def _plan_task(batches: Iterator, pivots, top: float, annuli, first: bool) -> Iterator:
@@ -207,11 +207,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     if not annuli:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     annuli = [a.asDict() for a in annuli]
-    queries = cut_lineage(queries)
+    queries = scratch(queries)
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
     plan = partial(_plan_task, pivots=pivots, top=top, annuli=annuli)
     visits = "row long, vec_id long, v array<int>, pivot int, ring int, slots int"
-    first = cut_lineage(_visit(queries.mapInArrow(partial(plan, first=True), visits), cells, k, parts))
+    first = scratch(_visit(queries.mapInArrow(partial(plan, first=True), visits), cells, k, parts))
     kth = first.where(F.col("rank") == k).select("row", F.col("score").alias("kth"))
     rest = queries.join(kth, "row", "left").select("row", "vec_id", "v", "kth").mapInArrow(partial(plan, first=False), visits)
     both = first.drop("rank").unionAll(_visit(rest, cells, k, parts).drop("rank"))

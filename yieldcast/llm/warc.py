@@ -8,14 +8,13 @@ into one nested row per capture.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldcast.session import checkpoint_dir, cut_lineage
+from yieldcast.llm.common import scratch, scratch_path
 
 DATE = "1970-01-01T00:00:00Z"       # archives are made from tables without capture times
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -200,8 +199,8 @@ def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     """
     spark = pages.sparkSession
     kind = dict(pages.dtypes)[key]
-    path = write_archives(capture_records(pages, key, url, html, least_bytes), f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}")
-    captures = assemble(cut_lineage(read_records(spark, path, with_payload=False)))
+    path = write_archives(capture_records(pages, key, url, html, least_bytes), scratch_path(spark, "warc"))
+    captures = assemble(scratch(read_records(spark, path, with_payload=False)))
 
     def page(column):
         return F.from_json(F.col(column)["fields"], "map<string,string>")["page-id"].cast(kind)
