@@ -18,6 +18,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from yieldcast.llm.common import connected_components, scratch, word_array
 
@@ -263,38 +264,21 @@ def _word_hashes(docs: DataFrame, text: str, lower: bool) -> DataFrame:
     return docs.withColumn("w", F.transform(word_array(t), lambda x: F.xxhash64(x)))
 
 
-def _read_task(batches: Iterator, width: int) -> Iterator:
+def _read_task(batches: Iterator, width: int, percent: int) -> Iterator:
+    """Set fingerprint, size and signatures of each row; a set that a batch holds again gives no signatures again."""
     import pyarrow as pa
 
     for batch in batches:
-        sids, sizes = [], []
+        sids, sizes, sigs, seen = [], [], [], set()
         for s in _sets(batch, width):
-            sids.append(_fingerprint(s) if len(s) else None)
+            sid = _fingerprint(s) if len(s) else None
+            sids.append(sid)
             sizes.append(len(s))
+            sigs.append(signatures(s, percent).view("int64") if sid and sid not in seen else None)
+            seen.add(sid)
         short = [x and int.from_bytes(x[:8], "little", signed=True) for x in sids]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.binary()), pa.array(short, pa.int64()),
-                                          pa.array(sizes, pa.int64())], ["id", "sid", "fp", "n"])
-
-
-def _signature_task(batches: Iterator, width: int, percent: int) -> Iterator:
-    import numpy as np
-    import pyarrow as pa
-
-    for batch in batches:
-        sigs, owners, seen = [], [], set()
-        for s in _sets(batch, width):
-            if not len(s):
-                continue
-            sid = _fingerprint(s)
-            if sid in seen:
-                continue
-            seen.add(sid)
-            sig = signatures(s, percent)
-            sigs.append(sig)
-            owners.append(np.full(len(sig), np.frombuffer(sid[:8], dtype=np.int64)[0]))
-        if sigs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(owners))],
-                                             ["sig", "fp"])
+                                          pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], ["id", "sid", "fp", "n", "sigs"])
 
 
 def _set_task(batches: Iterator, width: int) -> Iterator:
@@ -320,20 +304,20 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hashed = _word_hashes(base, "text", lower)
     rows = scratch(hashed.select("id", "w").mapInArrow(
-        partial(_read_task, width=width), f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long"))
-
-    # Candidate families: sets that share a signature. Rows of two longs are dealt by signature once; a family
-    # keeps one edge per member and signature, never a list of members.
-    sigs = (hashed.select("w").mapInArrow(partial(_signature_task, width=width, percent=percent), "sig long, fp long")
-            .repartition("sig"))
-    ends = sigs.groupBy("sig").agg(F.min("fp").alias("first"), F.max("fp").alias("last")).where("first != last")
-    pairs = sigs.join(ends, "sig").where("fp != first").select(F.col("first").alias("a"), F.col("fp").alias("b")).distinct()
+        partial(_read_task, width=width, percent=percent), f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<long>"))
+
+    # Candidate families: sets that share a signature. Rows of two longs are sorted by signature, and neighbours with one
+    # signature make an edge; a hot signature is a sorted run (spilled if need be), never a list in memory.
+    after = Window.partitionBy("sig").orderBy("fp")
+    pairs = (rows.select(F.explode("sigs").alias("sig"), "fp").withColumn("before", F.lag("fp").over(after))
+             .where("before is not null and before != fp").select(F.col("before").alias("a"), F.col("fp").alias("b")))
     family = connected_components(pairs)
 
     # One representative row per candidate set, found by its id, gives the set again.
     members = rows.join(family, F.col("fp") == F.col("node"))
     reps = scratch(members.groupBy("sid", "n", "root").agg(F.min("id").alias("id")))
     labels = _links(base, reps, width, percent, lower)
+    rows = rows.drop("sigs")
 
     grouped = rows.join(labels, "sid", "left") if labels is not None else rows.withColumn("top", F.lit(None).cast("binary"))
     grouped = grouped.withColumn("top", F.coalesce("top", "sid"))
