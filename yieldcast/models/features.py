@@ -23,8 +23,8 @@ GL_AT_SITE = ["site_units_share_week", "site_weight_share_week"]
 SITE_CONTEXT = ["site_units_total_week", "site_weight_total_week", "site_type", "site_category", "country",
                 "country_state"]
 CALENDAR = ["month", "week"]
-CHANNEL_SHORT = ["donations", "liquidations", "return_to_vendor", "warehouse_deals_and_gr", "disposal"]
-STAGE3_CHANNELS = [f"prob_{c}" for c in CHANNEL_SHORT]
+STAGE3_CHANNELS = S.RECOVERY_CHANNELS
+CHANNEL_SHORT = [c.removeprefix("prob_") for c in STAGE3_CHANNELS]
 
 LAG_SUFFIXES = [f"lag_{n}w" for n in S.LAG_WEEKS]
 ROLL_SUFFIXES = [f"rolling_{n}w" for n in S.ROLLING_WEEKS + S.ROLLING_WEEKS_LONG]

@@ -105,7 +105,10 @@ HASH_BUCKET_BITS = 16  # 65,536 buckets: the offset table has at most 65,536 row
 
 def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int = S.SEED,
               strata: Sequence[str] = ()) -> DataFrame:
-    """Add ``_rank``: 1-based rank of each row by xxhash64(seed, keys) within its stratum.
+    """Add ``_rank``: 1-based rank of each row by a hash of seed and keys within its stratum.
+
+    The hash is the first 15 hex digits of the MD5 of ``seed|key|key...`` (nulls left out), so that any
+    engine can rank the same rows.
 
     A global ``row_number`` would pull every row into one task. Instead the
     hash's top bits pick one of 65,536 buckets; a per-(stratum, bucket) count
@@ -114,8 +117,9 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int = S.SEED,
     only. A stratum holding a third of all rows is still spread over all
     buckets. The result is exact and repeatable for a given seed.
     """
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    hashed = df.select("*", h.alias("_h"), F.shiftright(h, 64 - HASH_BUCKET_BITS).alias("_b"))
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    hashed = df.select("*", h.alias("_h")).withColumn("_b", F.shiftright("_h", 60 - HASH_BUCKET_BITS))
     counts = hashed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*strata, "_b", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off"))
@@ -151,8 +155,8 @@ def stratified_sample(df: DataFrame, n: int, stratum: str, key_cols: Sequence[st
 
 def band_sample(df: DataFrame, n: int, key_cols: Sequence[str], rate: str = S.RATE,
                 lo: float = 0.1, hi: float = 0.6, seed: int = S.SEED) -> DataFrame:
-    """M4: n rows whose rate lies in [lo, hi]."""
-    return sample_rows(df.filter((F.col(rate) >= lo) & (F.col(rate) <= hi)), n, key_cols, seed)
+    """M4: n rows whose rate lies in [lo, hi)."""
+    return sample_rows(df.filter((F.col(rate) >= lo) & (F.col(rate) < hi)), n, key_cols, seed)
 
 
 # ---------------------------------------------------------------------------

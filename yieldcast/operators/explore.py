@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
-from yieldcast.functions.scalar import quarter, rate_bucket
+from yieldcast.functions.scalar import majority_flag, quarter, rate_bucket
 
 REC, UNITS = "units_recovered", "units_total"
 
@@ -21,11 +21,39 @@ def weighted_rate(df: DataFrame, keys: Sequence[str], min_units: float = 0, rec:
     return out.filter(F.col("units_total") >= min_units) if min_units else out
 
 
-def top_keys(df: DataFrame, key: Sequence[str] | str, n: int, by: str = REC) -> DataFrame:
-    """A28/J6 helper: the n keys with the largest sum of ``by`` (ties by key)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return (df.groupBy(*keys).agg(F.sum(by).alias("_v"))
-              .orderBy(F.desc("_v"), *keys).limit(n).select(*keys))
+MIN_KEY_UNITS = 1_000     # floor of the site and GL rankings
+MIN_PAIR_UNITS = 500      # floor of the pair ranking
+SUMMARY_MEANS = {"share_hazmat": "mean_hazmat", "share_FBA": "mean_fba", "avg_cogs_per_unit": "mean_cogs_per_unit"}
+
+
+def summary(df: DataFrame, keys: Sequence[str], min_units: float, means=SUMMARY_MEANS) -> DataFrame:
+    """Weighted rate, units and column means per key set, HAVING sum(units) >= min_units."""
+    out = df.groupBy(*keys).agg(F.sum(UNITS).alias("units"), F.sum(REC).alias("units_recovered"),
+                                *[F.avg(c).alias(name) for c, name in means.items()])
+    return out.filter(F.col("units") >= min_units).withColumn(
+        "vw_rate", F.try_divide(F.col("units_recovered").cast("double"), F.col("units")))
+
+
+def site_summary(df: DataFrame) -> DataFrame:
+    """Per site (with its attributes): weighted and unweighted rate, units, means."""
+    keys = [S.SITE, "site_type", "site_category", "country", "country_state"]
+    return summary(df, keys, MIN_KEY_UNITS, {S.RATE: "unweighted_mean", **SUMMARY_MEANS})
+
+
+def gl_summary(df: DataFrame) -> DataFrame:
+    """Per GL: weighted rate, units, means, and whether FBA units are the majority."""
+    out = summary(df, [S.GL], MIN_KEY_UNITS, {**SUMMARY_MEANS, "share_food": "mean_food"})
+    return out.withColumn("fba_majority", majority_flag("mean_fba"))
+
+
+def pair_summary(df: DataFrame) -> DataFrame:
+    """Per (site, GL): weighted rate, units, means, pairs of at least MIN_PAIR_UNITS units."""
+    return summary(df, [S.SITE, S.GL, "site_type", "country"], MIN_PAIR_UNITS)
+
+
+def top_keys(df: DataFrame, key: str, n: int, min_units: float = MIN_KEY_UNITS) -> DataFrame:
+    """J6 helper: the n keys of the highest weighted rate with at least ``min_units`` units (ties by key)."""
+    return weighted_rate(df, [key], min_units).orderBy(F.desc("recovery_rate"), key).limit(n).select(key)
 
 
 def pivot_rate(df: DataFrame, key: str, by_col, values: Sequence, names: Sequence[str]) -> DataFrame:
@@ -63,27 +91,40 @@ def year_week_profile(df: DataFrame) -> DataFrame:
 
 
 def monthly_profile(df: DataFrame, key: str | None = None, top_n: int | None = None) -> DataFrame:
-    """Rate by month overall, or per key for the top-n keys by recovered units."""
+    """Rate by month overall, or per key for the n keys of the highest weighted rate."""
     if key is None:
         return weighted_rate(df, [S.MONTH])
     top = top_keys(df, key, top_n) if top_n else df.select(key).distinct()
     return weighted_rate(df.join(top, on=key, how="left_semi"), [key, S.MONTH])
 
 
-def outcome_mix(df: DataFrame, key: str, top_n: int, shares: Sequence[str]) -> DataFrame:
-    """Recovered units and mean outcome shares (null as 0) for the top-n keys."""
+OUTCOMES = ["remove_return", "donations", "bintool_donations", "warehouse_deals_and_gr", "liquidations",
+            "return_to_vendor", "bintool_theft", "remove_liquidate", "bintool_remove_liquidate"]
+
+
+def with_outcome_mix(df: DataFrame) -> DataFrame:
+    """A5: nine shares of recovered units, recov_share_*, 0 where nothing was recovered."""
+    return df.select("*", *[
+        F.when(F.col(REC) > 0, F.col(f"units_{o}") / F.col(REC)).otherwise(F.lit(0.0)).alias(f"recov_share_{o}") for o in OUTCOMES])
+
+
+def outcome_mix(df: DataFrame, key: str, top_n: int = 20) -> DataFrame:
+    """Recovered units and mean outcome shares for the top-n keys by weighted rate.
+
+    ``df``: rows per (site, year, month, week, GL) with the nine units_* outcome columns.
+    """
     top = top_keys(df, key, top_n)
-    return (df.join(top, on=key, how="left_semi").groupBy(key)
-              .agg(F.sum(REC).alias("units_recovered"),
-                   *[F.avg(F.coalesce(F.col(s), F.lit(0.0))).alias(f"mean_{s}") for s in shares]))
+    return (with_outcome_mix(df).join(top, on=key, how="left_semi").groupBy(key)
+            .agg(F.sum(REC).alias("units_recovered"), *[F.avg(f"recov_share_{o}").alias(f"recov_share_{o}") for o in OUTCOMES]))
 
 
-def category_quartiles(df: DataFrame, cat: str, x: str = S.RATE) -> DataFrame:
-    """N, quartiles and median of x per category (exact percentiles)."""
-    q = F.percentile(F.col(x), [0.25, 0.5, 0.75])
-    return (df.groupBy(cat).agg(F.count(x).alias("n"), q.alias("_q"))
-              .select(cat, "n", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("median"),
-                      F.col("_q")[2].alias("q75")))
+def category_quartiles(df: DataFrame, cat: str) -> DataFrame:
+    """Sites, quartiles and median of the sites' weighted rates per category (sites above the unit floor)."""
+    sites = weighted_rate(df, [S.SITE, "site_type", "site_category", "country"], MIN_KEY_UNITS)
+    q = F.percentile(F.col("recovery_rate"), [0.25, 0.5, 0.75])
+    return (sites.groupBy(cat).agg(F.count(S.SITE).alias("n"), q.alias("_q"))
+            .select(F.lit(cat).alias("category"), F.col(cat).alias("value"), "n", F.col("_q")[0].alias("q25"),
+                    F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q75")))
 
 
 def histogram(df: DataFrame, x: str, lo: float, hi: float, bins: int) -> DataFrame:
@@ -109,21 +150,27 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(items)}, {', '.join(items)}) AS (col_a, col_b, corr)")
 
 
-def priority_quadrants(df: DataFrame, keys: Sequence[str] = (S.SITE, S.GL)) -> DataFrame:
-    """Each pair's rate and volume against the medians over pairs."""
-    pairs = weighted_rate(df, keys)
-    med = pairs.agg(F.median("recovery_rate").alias("_mr"), F.median("units_total").alias("_mv"))
-    hi_r = F.col("recovery_rate") > F.col("_mr")
-    hi_v = F.col("units_total") > F.col("_mv")
+def _middle(df: DataFrame, col: str) -> DataFrame:
+    """Exact median as one row: count per value, then the one or two middle ranks (no task holds the rows)."""
+    ranked = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    return ranked.agg(F.percentile("v", F.lit(0.5), F.col("n")).alias("m"))
+
+
+def priority_quadrants(df: DataFrame) -> DataFrame:
+    """Each pair's rate and recovered units against the medians over pairs of at least MIN_PAIR_UNITS units."""
+    pairs = pair_summary(df)
+    med = _middle(pairs, "vw_rate").withColumnRenamed("m", "_mr").crossJoin(
+        _middle(pairs, "units_recovered").withColumnRenamed("m", "_mv"))
+    hi_r = F.col("vw_rate") > F.col("_mr")
+    hi_v = F.col("units_recovered") > F.col("_mv")
     quad = (F.when(hi_r & hi_v, "high rate, high volume").when(hi_r, "high rate, low volume")
             .when(hi_v, "low rate, high volume").otherwise("low rate, low volume"))
-    return pairs.crossJoin(F.broadcast(med)).select(*keys, "units_total", "units_recovered", "recovery_rate",
-                                                     quad.alias("quadrant"))
+    return pairs.crossJoin(F.broadcast(med)).select(S.SITE, S.GL, "units", "units_recovered", "vw_rate", quad.alias("quadrant"))
 
 
-def shortlist(df: DataFrame, n: int = 15, keys: Sequence[str] = (S.SITE, S.GL)) -> DataFrame:
+def shortlist(df: DataFrame, n: int = 15) -> DataFrame:
     """Top-n pairs by recovered units (key order breaks ties)."""
-    return weighted_rate(df, keys).orderBy(F.desc("units_recovered"), *keys).limit(n)
+    return pair_summary(df).orderBy(F.desc("units_recovered"), S.SITE, S.GL).limit(n)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

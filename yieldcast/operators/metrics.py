@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from yieldcast.functions.scalar import sigmoid
 
-SCORE_BUCKETS = 65536
+SCORE_BUCKETS = 256
 
 # Fixed thresholds of the sweep: 19 evenly spaced points from 0.05 to 0.95
 # (start + k * step, with the last point equal to the stop).
@@ -16,13 +16,11 @@ SWEEP_THRESHOLDS = [0.05 + k * _STEP for k in range(18)] + [0.95]
 
 
 def regression_metrics(df: DataFrame, pred: str, actual: str) -> DataFrame:
-    """N, MAE, RMSE, R^2 = 1 - SSE/SST in one aggregate (mean via a one-row join)."""
-    mean = df.agg(F.avg(actual).alias("_mean"))
+    """N, MAE, RMSE, R^2 = 1 - SSE/SST in one pass; R^2 is null when the target is constant."""
     d = F.col(pred) - F.col(actual)
-    return (df.crossJoin(F.broadcast(mean))
-              .agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(d)).alias("mae"),
-                   F.sqrt(F.avg(d * d)).alias("rmse"),
-                   (F.lit(1.0) - F.sum(d * d) / F.sum((F.col(actual) - F.col("_mean")) ** 2)).alias("r2")))
+    sst = F.var_pop(F.when(d.isNotNull(), F.col(actual))) * F.count(d)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(d * d)).alias("rmse"),
+                  (F.lit(1.0) - F.try_divide(F.sum(d * d), sst)).alias("r2"))
 
 
 def prob_mae(df: DataFrame, pred_logit: str, actual_logit: str) -> DataFrame:
@@ -33,16 +31,17 @@ def prob_mae(df: DataFrame, pred_logit: str, actual_logit: str) -> DataFrame:
 def score_table(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: positives, negatives and the counts strictly below it.
 
-    Scores are probabilities. They are cut into 65,536 value buckets; a
-    bucket count table (at most 65,536 rows) gives each bucket's offset, and
-    the running counts inside a bucket are a window over that bucket only --
-    no global sort into a single task.
+    Distinct scores are cut into value ranges that hold about as many of them
+    each (approximate percentiles), so scores that pile up near one value do
+    not share a range. A range's window sees its own scores only; the offsets
+    are a window over at most SCORE_BUCKETS rows.
     """
     s = F.col(score).cast("double")
-    b = F.least(F.greatest(F.floor(s * SCORE_BUCKETS), F.lit(0)), F.lit(SCORE_BUCKETS - 1))
-    per_score = (df.select(s.alias("score"), b.alias("_b"), F.col(label).cast("double").alias("_y"))
-                   .groupBy("_b", "score")
-                   .agg(F.sum("_y").alias("n_pos"), F.sum(1 - F.col("_y")).alias("n_neg")))
+    per = (df.select(s.alias("score"), F.col(label).cast("double").alias("_y")).groupBy("score")
+             .agg(F.sum("_y").alias("n_pos"), F.sum(1 - F.col("_y")).alias("n_neg")))
+    cuts = per.agg(F.percentile_approx("score", [i / SCORE_BUCKETS for i in range(1, SCORE_BUCKETS)], 20_000).alias("_cuts"))
+    per_score = (per.crossJoin(F.broadcast(cuts.select(F.array_sort(F.array_distinct("_cuts")).alias("_cuts"))))
+                 .select("score", "n_pos", "n_neg", _place(F.col("_cuts"), F.col("score")).alias("_b")))
     per_bucket = per_score.groupBy("_b").agg(F.sum("n_pos").alias("_bp"), F.sum("n_neg").alias("_bn"))
     run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select("_b", F.coalesce(F.sum("_bp").over(run), F.lit(0.0)).alias("_op"),
@@ -54,25 +53,30 @@ def score_table(df: DataFrame, score: str, label: str) -> DataFrame:
                     (F.col("_on") + F.coalesce(F.sum("n_neg").over(inner), F.lit(0.0))).alias("neg_below")))
 
 
+def _place(cuts, value):
+    """Number of cuts below a value (null: -1)."""
+    return F.when(value.isNull(), F.lit(-1)).otherwise(F.size(F.filter(cuts, lambda c: c < value)))
+
+
 def _totals(t: DataFrame) -> DataFrame:
     return t.agg(F.sum("n_pos").alias("P"), F.sum("n_neg").alias("N"))
 
 
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Exact ROC-AUC with ties counted half (average-rank definition)."""
+    """Exact ROC-AUC with ties counted half (average-rank definition); null with one class only."""
     t = score_table(df, score, label)
     return (t.crossJoin(F.broadcast(_totals(t)))
-             .agg((F.sum(F.col("n_pos") * (F.col("neg_below") + 0.5 * F.col("n_neg")))
-                   / (F.first("P") * F.first("N"))).alias("roc_auc")))
+             .agg(F.try_divide(F.sum(F.col("n_pos") * (F.col("neg_below") + 0.5 * F.col("n_neg"))),
+                               F.first("P") * F.first("N")).alias("roc_auc")))
 
 
 def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Sum over distinct thresholds of (recall step) x precision, highest score first."""
+    """Sum over distinct thresholds of (recall step) x precision, highest score first; null without positives."""
     t = score_table(df, score, label)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     return (t.crossJoin(F.broadcast(_totals(t)))
-             .agg(F.sum(F.col("n_pos") / F.col("P") * tp / (tp + fp)).alias("average_precision")))
+             .agg(F.sum(F.try_divide(F.col("n_pos"), F.col("P")) * tp / (tp + fp)).alias("average_precision")))
 
 
 def brier(df: DataFrame, prob: str, label: str) -> DataFrame:
@@ -91,7 +95,7 @@ def _rates(tp, fp, fn, tn):
     prec = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0))
     rec = F.when(tp + fn > 0, tp / (tp + fn)).otherwise(F.lit(0.0))
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-    acc = (tp + tn) / (tp + fp + fn + tn)
+    acc = F.try_divide(tp + tn, tp + fp + fn + tn)
     return prec, rec, f1, acc
 
 

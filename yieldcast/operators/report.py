@@ -8,11 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
-from yieldcast.functions.scalar import nan_to_null, rate_bucket_order, volume_bucket_order
+from yieldcast.functions.scalar import fixed_point_mean, nan_to_null, rate_bucket_order, volume_bucket_order
 
 ACTUAL, PRED, ERR = "prob_recovered", "combined_rate", "abs_err"
 
 
+def overall_mae(pred: DataFrame) -> DataFrame:
+    """Rows and mean absolute error over everything (NaN skipped)."""
+    e = nan_to_null(ERR)
+    return pred.agg(F.count(e).alias("n_rows"), F.avg(e).alias("mean_abs_err"))
+
+
 def mae_by_bucket(pred: DataFrame, bucket: str) -> DataFrame:
     """N, mean and median absolute error per bucket, in bucket order (NaN skipped)."""
     e = nan_to_null(ERR)
@@ -29,9 +35,9 @@ def stratified_error(pred: DataFrame, by: str, units: str = "units_total") -> Da
                                 F.sum(units).alias("units"), F.count(F.lit(1)).alias("n"))
 
 
-def top_groups(pred: DataFrame, key: str, n: int = 10) -> DataFrame:
+def top_groups(pred: DataFrame, key: str, n: int = 10, value: str = PRED, actual: str = ACTUAL) -> DataFrame:
     """Mean predicted and actual rate per group, top-n by prediction (key breaks ties)."""
-    return (pred.groupBy(key).agg(F.avg(PRED).alias("mean_pred_rate"), F.avg(ACTUAL).alias("mean_actual_rate"))
+    return (pred.groupBy(key).agg(F.avg(value).alias("mean_pred_rate"), F.avg(actual).alias("mean_actual_rate"))
                 .orderBy(F.desc("mean_pred_rate"), key).limit(n))
 
 
@@ -41,20 +47,30 @@ def always_full_groups(pred: DataFrame, key: str) -> DataFrame:
                 .filter("_all").select(key))
 
 
-def weekly_trend(pred: DataFrame, key: str, n: int = 5, exclude_full: bool = True) -> DataFrame:
-    """Weekly mean predicted and actual rate for the top-n groups."""
-    base = pred.join(always_full_groups(pred, key), on=key, how="left_anti") if exclude_full else pred
-    top = top_groups(base, key, n).select(key)
-    return (base.join(top, on=key, how="left_semi").groupBy(key, S.YEAR, S.WEEK)
-                .agg(F.avg(PRED).alias("mean_pred_rate"), F.avg(ACTUAL).alias("mean_actual_rate")))
+def without_full_groups(pred: DataFrame) -> DataFrame:
+    """Rows whose site and GL both have some row below a full rate."""
+    out = pred
+    for key in (S.GL, S.SITE):
+        out = out.join(always_full_groups(pred, key), on=key, how="left_anti")
+    return out
+
+
+def weekly_trend(pred: DataFrame, key: str, n: int = 5, value: str = PRED, actual: str = ACTUAL) -> DataFrame:
+    """Weekly mean predicted and actual rate for the top-n groups, full sites and full GLs left out.
+
+    ``value`` and ``actual`` name a channel's columns for the per-channel series.
+    """
+    base = without_full_groups(pred)
+    top = top_groups(base, key, n, value, actual).select(key)
+    return (base.join(top, on=key, how="left_semi").groupBy(key, S.WEEK)
+                .agg(fixed_point_mean(value).alias("mean_pred_rate"), fixed_point_mean(actual).alias("mean_actual_rate")))
 
 
-def monthly_actual_vs_pred(pred: DataFrame, key: str, n: int = 5, units: str = "units_total") -> DataFrame:
-    """Unit-weighted actual and predicted rate per month for the top-n groups."""
-    top = (pred.groupBy(key).agg(F.sum(units).alias("_u")).orderBy(F.desc("_u"), key).limit(n).select(key))
-    return (pred.join(top, on=key, how="left_semi").groupBy(key, S.YEAR, S.MONTH)
-                .agg(F.try_divide(F.sum(F.col(ACTUAL) * F.col(units)), F.sum(units)).alias("weighted_actual"),
-                     F.try_divide(F.sum(F.col(PRED) * F.col(units)), F.sum(units)).alias("weighted_pred")))
+def monthly_actual_vs_pred(pred: DataFrame, key: str, n: int = 20, min_units: float = 5_000) -> DataFrame:
+    """Plain mean actual and predicted rate and rows per month for the top-n groups by weighted prediction."""
+    top = weighted_pred_rate(pred, [key], min_units, n).select(key)
+    return (pred.join(top, on=key, how="left_semi").groupBy(key, S.MONTH)
+                .agg(fixed_point_mean(ACTUAL).alias("mean_actual"), fixed_point_mean(PRED).alias("mean_pred"), F.count(F.lit(1)).alias("n")))
 
 
 def weighted_pred_rate(pred: DataFrame, keys: Sequence[str], min_units: float = 0, n: int | None = None,
@@ -67,24 +83,25 @@ def weighted_pred_rate(pred: DataFrame, keys: Sequence[str], min_units: float =
 
 
 def bucket_means(pred: DataFrame, baseline: str = "baseline_rate", deviation: str = "deviation") -> DataFrame:
-    """Mean baseline, deviation, full prediction and actual per rate bucket."""
-    return pred.groupBy("rate_bucket").agg(F.avg(baseline).alias("mean_baseline"), F.avg(deviation).alias("mean_deviation"),
-                                           F.avg(PRED).alias("mean_full"), F.avg(ACTUAL).alias("mean_actual"))
+    """Rows and mean baseline, deviation, full prediction and actual per rate bucket."""
+    return pred.groupBy("rate_bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(baseline).alias("mean_baseline"), F.avg(deviation).alias("mean_deviation"),
+        F.avg(PRED).alias("mean_full"), F.avg(ACTUAL).alias("mean_actual"))
 
 
-def error_quantiles(pred: DataFrame) -> DataFrame:
-    """5% / 95% quantiles of the signed error, mean absolute and mean signed error."""
-    d = F.col(PRED) - F.col(ACTUAL)
-    q = F.percentile(d, [0.05, 0.95])
-    return pred.agg(q.alias("_q"), F.avg(F.abs(d)).alias("mean_abs"), F.avg(d).alias("mean_signed")).select(
-        F.col("_q")[0].alias("q05"), F.col("_q")[1].alias("q95"), "mean_abs", "mean_signed")
+def deviation_quantiles(pred: DataFrame, deviation: str = "deviation", prob: str = "p_nonzero", above: float = 0.5) -> DataFrame:
+    """5% / 95% quantiles, mean absolute and mean signed deviation contribution where ``prob`` exceeds ``above``."""
+    d = F.col(deviation)
+    return (pred.filter(F.col(prob) > above)
+            .agg(F.percentile(d, [0.05, 0.95]).alias("_q"), F.avg(F.abs(d)).alias("mean_abs"), F.avg(d).alias("mean_signed"))
+            .select(F.col("_q")[0].alias("q05"), F.col("_q")[1].alias("q95"), "mean_abs", "mean_signed"))
 
 
-def site_deviation(pred: DataFrame, n: int = 10, baseline: str = "baseline_rate",
-                   deviation: str = "deviation") -> DataFrame:
-    """Mean baseline and deviation per site, top-n by mean deviation."""
-    return (pred.groupBy(S.SITE).agg(F.avg(baseline).alias("mean_baseline"), F.avg(deviation).alias("mean_deviation"))
-                .orderBy(F.desc("mean_deviation"), S.SITE).limit(n))
+def site_deviation(pred: DataFrame, n: int = 5, baseline: str = "baseline_rate", deviation: str = "deviation") -> DataFrame:
+    """Mean combined rate, baseline and deviation per site, top-n by mean combined rate."""
+    return (pred.groupBy(S.SITE).agg(F.avg(PRED).alias("mean_rate"), F.avg(baseline).alias("mean_baseline"),
+                                     F.avg(deviation).alias("mean_deviation"))
+                .orderBy(F.desc("mean_rate"), S.SITE).limit(n))
 
 
 def largest_deviation_site(pred: DataFrame, deviation: str = "deviation") -> DataFrame:

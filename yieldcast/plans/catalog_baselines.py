@@ -297,7 +297,23 @@ def r6(*cols: str) -> str:
     return ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in cols)
 
 
+def _h(*keys: str) -> str:
+    """The sampling hash: 15 hex digits of the MD5 of seed and keys."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{S.SEED}', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)})), 1, 15) AS BIGINT)"
+
+
+_ROW_H = _h("hashed_fc", "gl_product_group", "year", "month", "week")
+
 ORACLES = {
+    "holdout_pairs": base(f", r AS (SELECT hashed_fc, gl_product_group, row_number() OVER (ORDER BY {_h('hashed_fc', 'gl_product_group')}, "
+                          "hashed_fc, gl_product_group) AS rk, count(*) OVER () AS n FROM bl) "
+                          f"SELECT hashed_fc, gl_product_group FROM r WHERE rk <= floor(n * {S.HOLDOUT_FRACTION!r})"),
+    "uniform_sample": base(f"SELECT {_PK}, prob_recovered FROM weekly ORDER BY {_ROW_H}, {_PK} LIMIT 1000"),
+    "band_sample": base(f"SELECT {_PK}, prob_recovered FROM weekly WHERE prob_recovered >= 0.1 AND prob_recovered < 0.6 ORDER BY {_ROW_H}, {_PK} LIMIT 200"),
+    "stratified_sample": base(
+        f", b AS (SELECT {_PK}, prob_recovered, {_bucket('prob_recovered', '<')} AS rate_bucket FROM weekly), "
+        f"r AS (SELECT *, row_number() OVER (PARTITION BY rate_bucket ORDER BY {_ROW_H}, {_PK}) AS rk FROM b) "
+        f"SELECT {_PK}, prob_recovered, rate_bucket FROM r WHERE rk <= greatest(1, 500 // (SELECT count(DISTINCT rate_bucket) FROM b))"),
     "site_gl_baseline": base(f"SELECT hashed_fc, gl_product_group, {r6('site_gl_mean_rate', 'site_gl_std_rate')}, "
                              "site_gl_n_nonzero_weeks FROM bl"),
     "baseline_priors": base(

@@ -16,9 +16,10 @@ from yieldcast.models import train as T
 from yieldcast.models.features import STAGE1_FEATURES, STAGE2_FEATURES
 from yieldcast.operators import baseline as B
 from yieldcast.operators import clean as C
-from yieldcast.plans.common import TEST_YEARS, TRAIN_YEARS, VALID_YEARS, raw
+from yieldcast.plans.common import TEST_YEARS, TRAIN_YEARS, VALID_YEARS, application_path, raw
 from yieldcast.plans.features import feature_table
 from yieldcast.sources.fixture import with_carried_columns
+from yieldcast.sources.stage import stage_table
 
 # Small forests keep the registered queries quick; production uses the
 # stage defaults with up to 2,000 rounds and early stopping.
@@ -34,14 +35,8 @@ def published_features(spark, sf):
     model steps see a plain parquet scan instead of the ~700-expression
     feature plan, and a lost executor recomputes from the stored table.
     """
-    import hashlib
-    import yieldcast
-    from yieldcast.session import checkpoint_dir
-    from yieldcast.sources.stage import stage_table
-    key = hashlib.sha1(f"{sf}|{yieldcast.__version__}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:16]
-    path = f"{checkpoint_dir(spark)}/features-{key}"
-    return stage_table(spark, path, lambda: feature_table(with_carried_columns(raw(spark, sf))),
-                       partition_by=("year",))
+    return stage_table(spark, application_path(spark, sf, "features"),
+                       lambda: feature_table(with_carried_columns(raw(spark, sf))))
 
 
 def q_predict_two_stage(spark, sf):

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import yieldcast
 from yieldcast import schema as S
 from yieldcast.functions.scalar import round_half_away
 from yieldcast.operators import aggregate as A
 from yieldcast.operators import clean as C
 from yieldcast.plans.features import weekly_table
+from yieldcast.session import checkpoint_dir
 from yieldcast.sources.fixture import raw_records, with_carried_columns
+from yieldcast.sources.stage import stage_table
 
 # Year split of the fixture data: ISO years 1995-2001; 2001 is the test year
 # and the last training year (2000) is the validation fold.
@@ -41,5 +46,13 @@ def aggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.consolidate_channels(A.aggregate_site_gl_week(cleaned(spark, sf_dir)))
 
 
+def application_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Place of a stage table of this application and input folder, in the shared folder."""
+    key = hashlib.sha1(f"{sf_dir}|{yieldcast.__version__}|{spark.sparkContext.applicationId}".encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark)}/{name}-{key}"
+
+
 def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weekly_table(with_carried_columns(raw(spark, sf_dir)))
+    """The weekly table as a stage table (S7): raw records are read once per application and input folder."""
+    return stage_table(spark, application_path(spark, sf_dir, "weekly"),
+                       lambda: weekly_table(with_carried_columns(raw(spark, sf_dir))))

@@ -6,7 +6,9 @@ what is unset, which is what tests and the local bench need.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,9 +53,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests, local bench) a scratch folder is
-    created and registered; on a cluster the setting must point at shared
-    storage so that checkpoints survive lost executors.
+    A session on a local master may leave it unset (tests, local bench): a
+    scratch folder is created, registered, and removed when Python ends. On a cluster the setting
+    must point at shared storage, so that checkpoints survive lost executors; without it this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,7 +65,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="yieldcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 

@@ -27,25 +27,56 @@ def resolve_format(path) -> str:
     return _FORMATS[ext]
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of a (possibly compressed) file, through the Hadoop file system that holds it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(conf).open(hpath)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hpath)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str], sep: str = CSV_DELIMITER) -> dict[tuple[str, ...], list[str]]:
+    """Files under ``paths`` grouped by their header's column names; empty files are left out."""
+    files = sorted(spark.read.text(list(paths)).inputFiles())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        line = _first_line(spark, f).lstrip("\ufeff")
+        if line:
+            names = tuple(n.strip().strip('"') for n in line.split(sep))
+            groups.setdefault(names, []).append(f)
+    return groups
+
+
+def typed_columns(present: Sequence[str], schema: T.StructType) -> list:
+    """Declared columns cast from text by name; ones that are not present are null."""
+    return [(F.col(f"`{f.name}`").cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema.fields]
+
+
 def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], sep: str = CSV_DELIMITER,
                  schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
     """Delimited files with a header, declared schema (no inference).
 
-    All paths go to one reader, so Spark splits the files into tasks and the
-    result is their vertical concatenation; columns are pruned at parse time.
+    Every file's header line is read first. Files with one header form a
+    reader of their own, whose columns are matched to the declared ones by
+    name and cast (ANSI: malformed numbers fail the job); a declared column that a
+    header lacks is null in its files. The parts are stacked. Columns are pruned at parse time.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    # Without a schema every column is read as a string named by the header,
-    # so columns are matched by name, not position; then each declared column
-    # is cast to its type (ANSI cast: malformed numbers fail the job). No
-    # inference pass over the data is made.
-    text = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(paths)
-    present = set(text.columns)
-    return text.select([
-        (F.col(f"`{f.name}`").cast(f.dataType) if f.name in present
-         else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
+    out = None
+    for names, files in header_groups(spark, paths, sep).items():
+        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        part = (spark.read.schema(text).option("header", True).option("sep", sep).option("mode", "FAILFAST")
+                .csv(files).select(typed_columns(names, schema)))
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -56,9 +87,9 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def load(spark: SparkSession, paths: str | Sequence[str], sep: str = CSV_DELIMITER,
          schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
-    """Read one or many files; all must share one format.
+    """Read one or many files, per format, stacked by name.
 
-    Mixed formats are read per format and stacked with ``unionByName``.
+    Parts must have the same columns; a part that lacks one fails the load.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
@@ -70,7 +101,7 @@ def load(spark: SparkSession, paths: str | Sequence[str], sep: str = CSV_DELIMIT
               for fmt, ps in by_format.items()]
     out = frames[0]
     for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+        out = out.unionByName(f)
     return out
 
 

@@ -20,26 +20,25 @@ from yieldcast import schema as S
 from yieldcast.operators.aggregate import _measures
 from yieldcast.operators.clean import clean_records
 from yieldcast.operators.temporal import iso_week_monday_col
-from yieldcast.sources.files import CSV_DELIMITER
+from yieldcast.sources.files import CSV_DELIMITER, header_groups, typed_columns
 
 
 def raw_stream(spark: SparkSession, folder: str, sep: str = CSV_DELIMITER, max_files: int | None = None) -> DataFrame:
     """Streaming scan of delimited raw files, columns matched by header name.
 
-    A stream needs its schema up front and a CSV schema applies by position,
-    so the column order is taken from the landed files' header (a header-only
-    read), every column is streamed as text and cast to the declared type by
-    name -- the same contract as the batch reader.
+    A stream needs its schema up front, so the column order is that of the
+    landed files' headers, which must agree. Every file's header is held against it
+    (``enforceSchema`` off): one with another order or other columns fails the batch.
     """
-    header = spark.read.option("header", True).option("sep", sep).csv(folder).columns
+    headers = list(header_groups(spark, [folder], sep))
+    if len(headers) != 1:
+        raise ValueError(f"files under {folder} have {len(headers)} different headers; a stream needs one")
+    header = headers[0]
     text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    reader = spark.readStream.schema(text).option("header", True).option("sep", sep)
+    reader = spark.readStream.schema(text).option("header", True).option("sep", sep).option("enforceSchema", False)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.csv(folder)
-    present = set(header)
-    return stream.select([(F.col(f"`{f.name}`").cast(f.dataType) if f.name in present
-                           else F.lit(None).cast(f.dataType)).alias(f.name) for f in S.RAW_SCHEMA.fields])
+    return reader.csv(folder).select(typed_columns(header, S.RAW_SCHEMA))
 
 
 def partial_aggregate(batch: DataFrame) -> DataFrame:
