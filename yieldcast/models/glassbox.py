@@ -58,9 +58,19 @@ def _stages(nums, cats, bins, pairs=()):
     return st
 
 
-def _pair_cols(pairs, bins):
-    # a cell id for each pair of binned features; (bins + 2) covers the missing bin
-    return [(F.col(f"_b_{a}") * (bins + 2) + F.col(f"_b_{b}")).alias(f"_b_{a}__x__{b}") for a, b in pairs]
+def _slots(binner: PipelineModel) -> dict[str, int]:
+    """Number of bin ids of each feature, the slot for missing and unseen values included."""
+    out = {}
+    for stage in binner.stages:
+        values = stage.labelsArray if hasattr(stage, "labelsArray") else [s[1:] for s in stage.getSplitsArray()]
+        out.update({c.removeprefix("_b_"): len(v) + 1 for c, v in zip(stage.getOutputCols(), values)})
+    return out
+
+
+def _pair_cols(pairs, binner: PipelineModel):
+    # a cell id for each pair of binned features: ids of the second count up to its own number of slots
+    slots = _slots(binner)
+    return [(F.col(f"_b_{a}") * slots[b] + F.col(f"_b_{b}")).alias(f"_b_{a}__x__{b}") for a, b in pairs]
 
 
 def fit_additive(df: DataFrame, features: Sequence[str], label: str, kind: str = "classifier",
@@ -72,7 +82,7 @@ def fit_additive(df: DataFrame, features: Sequence[str], label: str, kind: str =
     binner = Pipeline(stages=_stages(nums, cats, bins)).fit(data)
     binned = binner.transform(data)
     if pairs:
-        binned = binned.select("*", *_pair_cols(pairs, bins))
+        binned = binned.select("*", *_pair_cols(pairs, binner))
     names = list(nums) + list(cats) + [f"{a}__x__{b}" for a, b in pairs]
     bcols = [f"_b_{n}" for n in names]
     ohe = OneHotEncoder(inputCols=bcols, outputCols=[f"_o_{n}" for n in names], dropLast=False,
@@ -134,7 +144,7 @@ def binned(model: AdditiveModel, df: DataFrame) -> DataFrame:
     out = model.pipeline.stages[0].transform(_prep(df, nums, cats))
     pairs = [tuple(f.split("__x__")) for f in model.features if "__x__" in f]
     if pairs:
-        out = out.select("*", *_pair_cols(pairs, BINS))
+        out = out.select("*", *_pair_cols(pairs, model.pipeline.stages[0]))
     return out
 
 
@@ -191,7 +201,7 @@ def _prep_for_pipeline(model: AdditiveModel, df: DataFrame) -> DataFrame:
     pairs = [tuple(f.split("__x__")) for f in model.features if "__x__" in f]
     binned_df = model.pipeline.stages[0].transform(prepped)
     if pairs:
-        binned_df = binned_df.select("*", *_pair_cols(pairs, BINS))
+        binned_df = binned_df.select("*", *_pair_cols(pairs, model.pipeline.stages[0]))
     return model.pipeline.stages[1].transform(binned_df)
 
 

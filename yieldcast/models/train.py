@@ -70,23 +70,27 @@ DEFAULT_CHANNEL_PARAMS = {
                       "reg_alpha": 1.8970289690794687, "reg_lambda": 0.047716386888},
 }
 MAX_ROUNDS = 2000
+MIN_BINS = 64      # bins of a split search; more where a category column has more values
 
-# Search space of the parameter search (T6): (low, high, log scale, integer).
+# Search space of the parameter search (T6): (low, high, log scale, integer). The booster's gamma, reg_alpha,
+# reg_lambda and max_delta_step have no counterpart in Spark ML trees and are not searched.
 SEARCH_SPACE = {
-    "max_depth": (3, 10, False, True),
+    "max_depth": (3, 8, False, True),
     "learning_rate": (0.01, 0.3, True, False),
     "subsample": (0.5, 1.0, False, False),
     "colsample_bytree": (0.4, 1.0, False, False),
-    "min_child_weight": (1, 50, True, True),
+    "min_child_weight": (1, 50, False, True),
 }
 
 
 def gbt_params(params: dict, max_iter: int, seed: int = S.SEED) -> dict:
     """Map tree-booster parameter names onto Spark ML GBT parameters."""
-    out = {"maxIter": int(params.get("n_estimators", max_iter)), "seed": seed, "maxBins": 64,
+    out = {"maxIter": int(params.get("n_estimators", max_iter)), "seed": seed, "maxBins": MIN_BINS,
            "validationTol": 0.001}
     if "max_depth" in params:
-        out["maxDepth"] = int(min(params["max_depth"], 30))
+        if params["max_depth"] > 30:
+            raise ValueError("Spark ML trees are at most 30 levels deep")
+        out["maxDepth"] = int(params["max_depth"])
     if "learning_rate" in params:
         out["stepSize"] = float(params["learning_rate"])
     if "subsample" in params:
@@ -127,6 +131,14 @@ class StageModel:
         return StageModel(pipe, meta["nums"], meta["cats"], meta["params"], lookups)
 
 
+def _bins_for(data: DataFrame, cats: Sequence[str]) -> int:
+    """Bins that hold every value of the widest category column and the slot for unseen ones."""
+    if not cats:
+        return MIN_BINS
+    counts = data.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cats]).first()
+    return max(MIN_BINS, max(counts) + 2)
+
+
 def _fit(df: DataFrame, features: Sequence[str], estimator, cache: bool = True,
          extra: Sequence[str] = ("label", "weight", "is_valid")) -> StageModel:
     nums, cats = MF.numeric_and_categorical(features, df.columns)
@@ -139,6 +151,7 @@ def _fit(df: DataFrame, features: Sequence[str], estimator, cache: bool = True,
     if cache:
         data = data.persist()
     try:
+        estimator = estimator.copy({estimator.maxBins: _bins_for(data, cats)})
         pipe = Pipeline(stages=MF.feature_stages(nums, cats) + [estimator]).fit(data)
     finally:
         if cache:
@@ -146,13 +159,24 @@ def _fit(df: DataFrame, features: Sequence[str], estimator, cache: bool = True,
     return StageModel(pipe, nums, cats, {})
 
 
+def _all_years(estimator, chosen: StageModel):
+    """The estimator without early stopping, for as many rounds as the early-stopped fit kept."""
+    rounds = chosen.pipeline.stages[-1].getNumTrees
+    plain = estimator.copy({estimator.maxIter: rounds})
+    plain.clear(plain.validationIndicatorCol)
+    return plain
+
+
 def with_validation_flag(df: DataFrame, valid_years: Sequence[int]) -> DataFrame:
     return df.withColumn("is_valid", F.col(S.YEAR).isin(list(valid_years)))
 
 
 def train_stage1(df_train: DataFrame, valid_years: Sequence[int], params: dict | None = None,
-                 max_iter: int = MAX_ROUNDS) -> StageModel:
-    """Class-weighted GBT classifier of P(rate > 0)."""
+                 max_iter: int = MAX_ROUNDS, refit: bool = True) -> StageModel:
+    """Class-weighted GBT classifier of P(rate > 0).
+
+    The validation years choose the number of rounds; with ``refit`` the model is then fitted on all years.
+    """
     params = dict(DEFAULT_CLF_PARAMS if params is None else params)
     data = df_train.withColumn("label", C.binary_label())
     B.require_positives(data)
@@ -160,6 +184,8 @@ def train_stage1(df_train: DataFrame, valid_years: Sequence[int], params: dict |
     est = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         validationIndicatorCol="is_valid", **gbt_params(params, max_iter))
     model = _fit(data, MF.STAGE1_FEATURES, est)
+    if refit:
+        model = _fit(data.drop("is_valid"), MF.STAGE1_FEATURES, _all_years(est, model))
     model.params = params
     return model
 
@@ -172,18 +198,38 @@ def stage2_baselines(df_train_nz: DataFrame, holdout_fraction: float = S.HOLDOUT
     return bl, seen, pri
 
 
+def _stage2_frame(nz: DataFrame) -> DataFrame:
+    return nz.select("*", clipped_logit(S.RATE, S.LOGIT_EPS_STAGE2).alias("label"), sample_weight(S.RATE).alias("weight"))
+
+
+def stage2_data(nz: DataFrame, valid_years: Sequence[int], holdout_fraction: float = S.HOLDOUT_FRACTION) -> DataFrame:
+    """Stage 2 rows for choosing rounds: baselines come from the years before validation only.
+
+    Fitted rows see them without the held-out pairs, validation rows see all of them.
+    """
+    valid = F.col(S.YEAR).isin(list(valid_years))
+    bl, seen, pri = stage2_baselines(nz.filter(~valid), holdout_fraction)
+    fitted = B.fill_baseline(B.join_baseline(nz.filter(~valid), seen), pri).withColumn("is_valid", F.lit(False))
+    held = B.fill_baseline(B.join_baseline(nz.filter(valid), bl), pri).withColumn("is_valid", F.lit(True))
+    return _stage2_frame(fitted.unionByName(held))
+
+
 def train_stage2(df_train: DataFrame, valid_years: Sequence[int], params: dict | None = None,
-                 max_iter: int = MAX_ROUNDS, holdout_fraction: float = S.HOLDOUT_FRACTION) -> StageModel:
-    """GBT regressor on logit(rate) over positive rows, band weights, baseline features."""
+                 max_iter: int = MAX_ROUNDS, holdout_fraction: float = S.HOLDOUT_FRACTION, refit: bool = True) -> StageModel:
+    """GBT regressor on logit(rate) over positive rows, band weights, baseline features.
+
+    The validation years choose the number of rounds; with ``refit`` the model is then fitted on all
+    years, with baselines of all years (which scoring looks up).
+    """
     params = dict(DEFAULT_REG_PARAMS if params is None else params)
     nz = C.positive_rate(df_train)
     bl, seen, pri = stage2_baselines(nz, holdout_fraction)
-    data = B.fill_baseline(B.join_baseline(nz, seen), pri)
-    data = with_validation_flag(data.select("*", clipped_logit(S.RATE, S.LOGIT_EPS_STAGE2).alias("label"),
-                                            sample_weight(S.RATE).alias("weight")), valid_years)
     est = GBTRegressor(featuresCol="features", labelCol="label", weightCol="weight",
                        validationIndicatorCol="is_valid", **gbt_params(params, max_iter))
-    model = _fit(data, MF.STAGE2_FEATURES, est)
+    model = _fit(stage2_data(nz, valid_years, holdout_fraction), MF.STAGE2_FEATURES, est)
+    if refit:
+        every = _stage2_frame(B.fill_baseline(B.join_baseline(nz, seen), pri))
+        model = _fit(every, MF.STAGE2_FEATURES, _all_years(est, model))
     model.params = params
     model.lookups = {"site_gl_baseline": bl, **{f"prior_{k}": v for k, v in pri.items()}}
     return model
@@ -215,35 +261,51 @@ def join_share_baselines(df: DataFrame, long: DataFrame, channels: Sequence[str]
 
 def train_stage3(df_train: DataFrame, valid_years: Sequence[int], params: dict | None = None,
                  max_iter: int = MAX_ROUNDS, channels: Sequence[str] = MF.STAGE3_CHANNELS,
-                 parallelism: int = 5) -> dict[str, StageModel]:
-    """T4: one GBT regressor per channel on logit(share), fitted concurrently on one cached frame."""
+                 parallelism: int = 5, refit: bool = True) -> dict[str, StageModel]:
+    """T4: one GBT regressor per channel on logit(share), fitted concurrently on one cached frame.
+
+    Share baselines of the rounds-choosing fit come from the years before validation; with ``refit``
+    each channel is then fitted on all years with their baselines (which scoring looks up).
+    """
     nz = C.positive_rate(df_train)
+    valid = F.col(S.YEAR).isin(list(valid_years))
     long = share_baselines_long(nz, channels)
-    data = with_validation_flag(join_share_baselines(nz, long, channels), valid_years)
-    feats_common = MF.STAGE1_FEATURES + MF.STAGE3_EXTRA
-    nums, cats = MF.numeric_and_categorical(feats_common, data.columns)
+    chosen = _fit_channels(join_share_baselines(nz, share_baselines_long(nz.filter(~valid), channels), channels)
+                           .withColumn("is_valid", valid), channels, params, max_iter, parallelism)
+    if refit:
+        rounds = {ch: m.pipeline.stages[-1].getNumTrees for ch, m in chosen.items()}
+        chosen = _fit_channels(join_share_baselines(nz, long, channels), channels, params, max_iter, parallelism, rounds)
+    for model in chosen.values():
+        model.lookups = {"share_baseline": long}
+    return chosen
+
+
+def _fit_channels(data: DataFrame, channels: Sequence[str], params: dict | None, max_iter: int, parallelism: int,
+                  rounds: dict[str, int] | None = None) -> dict[str, StageModel]:
+    """All channel models on one prepared frame: early-stopped on ``is_valid``, or of given numbers of rounds."""
+    nums, cats = MF.numeric_and_categorical(MF.STAGE1_FEATURES + MF.STAGE3_EXTRA, data.columns)
     all_nums = nums + [c for ch in channels for c in channel_baseline_cols(ch)]
     prepared = (MF.prepare_numeric(MF.cast_categoricals(data, cats), all_nums)
-                  .select(*[f"_n_{c}" for c in all_nums], *cats, "is_valid", *channels, S.RATE)
-                  .repartition(df_train.sparkSession.sparkContext.defaultParallelism).persist())
+                .select(*[f"_n_{c}" for c in all_nums], *cats, *[c for c in ["is_valid"] if rounds is None], *channels, S.RATE)
+                .repartition(data.sparkSession.sparkContext.defaultParallelism).persist())
+    bins = _bins_for(prepared, cats)
 
     def fit_one(ch):
         p = dict(DEFAULT_CHANNEL_PARAMS.get(ch, DEFAULT_REG_PARAMS) if params is None else params)
-        label = clipped_logit(F.col(ch) / F.col(S.RATE), S.LOGIT_EPS_STAGE3)
-        d = prepared.withColumn(f"label_{ch}", label)
+        d = prepared.withColumn(f"label_{ch}", clipped_logit(F.col(ch) / F.col(S.RATE), S.LOGIT_EPS_STAGE3))
         ch_nums = nums + channel_baseline_cols(ch)
         est = GBTRegressor(featuresCol=f"features_{ch}", labelCol=f"label_{ch}", predictionCol=f"raw_{ch}",
-                           validationIndicatorCol="is_valid", **gbt_params(p, max_iter))
+                           **gbt_params(p, rounds[ch] if rounds else max_iter)).setMaxBins(bins)
+        if rounds is None:
+            est.setValidationIndicatorCol("is_valid")
         pipe = Pipeline(stages=MF.feature_stages(ch_nums, cats, out=f"features_{ch}", tag=ch) + [est]).fit(d)
         return ch, StageModel(pipe, ch_nums, cats, p, {})
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            models = dict(pool.map(fit_one, channels))
+            return dict(pool.map(fit_one, channels))
     finally:
         prepared.unpersist()
-    models[channels[0]].lookups = {"share_baseline": long}
-    return models
 
 
 # ---------------------------------------------------------------------------

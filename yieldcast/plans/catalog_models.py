@@ -42,17 +42,17 @@ def published_features(spark, sf):
 def q_predict_two_stage(spark, sf):
     ft = published_features(spark, sf)
     train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
-    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
+    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
     return SC.predict(m1, m2, test, years=TEST_YEARS)
 
 
 def q_predict_channels(spark, sf):
     ft = published_features(spark, sf)
     train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
-    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
-    m3 = T.train_stage3(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
+    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m3 = T.train_stage3(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
     return SC.predict(m1, m2, test, m3, years=TEST_YEARS)
 
 
@@ -69,8 +69,8 @@ def _stage2_attr(spark, sf):
     """Stage 1 and 2 fitted on the training years; stage-2 attributions of the test year."""
     ft = published_features(spark, sf)
     train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
-    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS)
+    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
     s1 = SC.score_stage1(m1, test)
     pri = {k: m2.lookups[f"prior_{k}"] for k in ("gl", "site", "global")}
     ext = B.fill_baseline(B.join_baseline(s1, m2.lookups["site_gl_baseline"]), pri)
