@@ -27,6 +27,7 @@ LEAF = 8                 # sets in a leaf of a tree
 FANOUT = 4
 BITS = 4096              # width of a node's bitmap
 RANGE = 1.5              # ratio of a size range's ends
+COMMON = 3               # a signature of more sets than this may be passed over
 _MASK = (1 << 64) - 1
 
 
@@ -98,21 +99,22 @@ def _classes(i: int, percent: int) -> tuple[int, int, int]:
     classes = differ + 1
     full = top / 1.25 / classes        # shingles in a usual class
     least = 2 if full > 5 else 1
-    spare = 2 + classes // 16
+    spare = 2 + classes // 8
     return classes + spare, spare, least
 
 
 def signatures(s, percent: int):
-    """Signatures of a set: for every size range in which it can be one of a linked pair, a hash per class.
+    """(signatures, marks) of a set: for every size range in which it can be one of a linked pair, a hash per class.
 
     A class with few shingles says little and would gather unlinked sets. With at most
-    ``spare`` such weak classes they are left out: a linked pair still agrees in a strong one.
+    ``spare`` such weak classes they are left out: a linked pair still agrees in a strong one. A mark holds the
+    range and how many more of its classes may be passed over (see ``_candidate_pairs``), -1 if none.
     """
     import numpy as np
 
     size = len(s)
     own = _range_of(size)
-    out = []
+    out, marks = [], []
     for i in range(_range_of(-(-size * percent // 100)), own + 1):
         m, spare, least = _classes(i, percent)
         if m - spare == 1:                  # linked sets of such sizes are equal
@@ -125,8 +127,32 @@ def signatures(s, percent: int):
             tag = np.uint64((i + 1) * 0x100000001B3 & _MASK) + np.arange(m, dtype=np.uint64)
             sig = _mix(_mix(total + held.astype(np.uint64)) ^ _mix(tag))
         strong = held >= least
-        out.append(sig[strong] if m - strong.sum() <= spare else sig)
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+        left = spare - int(m - strong.sum())
+        sig = sig[strong] if left >= 0 else sig
+        out.append(sig)
+        marks.append(np.full(len(sig), (i << 20) + max(left, -1) + 1, dtype=np.int32))
+    if not out:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+    return np.concatenate(out), np.concatenate(marks)
+
+
+def _candidate_pairs(sigs: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the sets of each signature. ``sigs``: sig, mark, fp.
+
+    Passages that many texts share make common signatures, which would chain unlinked sets. A set with no more common
+    signatures than its mark allows leaves them out: a linked pair agrees in one class more than both kinds
+    of classes left out, so it shares a signature that is neither weak nor common. Members of large groups of
+    copies have only common ones and keep them all. Rows are sorted by signature (spilled if need be) and neighbours
+    make an edge; no list of members is built.
+    """
+    count = F.count(F.lit(1)).over(Window.partitionBy("sig"))
+    shared = scratch(sigs.withColumn("k", count).where("k > 1"))
+    common = shared.where(F.col("k") > COMMON)
+    full = common.groupBy("fp", "mark").agg(F.count(F.lit(1)).alias("h")).where("h > mark % 1048576 - 1").select("fp", "mark")
+    kept = shared.where(F.col("k") <= COMMON).drop("k").unionByName(common.drop("k").join(full, ["fp", "mark"]))
+    before = F.lag("fp").over(Window.partitionBy("sig").orderBy("fp"))
+    return (kept.withColumn("before", before).where("before is not null and before != fp")
+            .select(F.col("before").alias("a"), F.col("fp").alias("b")))
 
 
 # -- signature trees ---------------------------------------------------------
@@ -266,19 +292,25 @@ def _word_hashes(docs: DataFrame, text: str, lower: bool) -> DataFrame:
 
 def _read_task(batches: Iterator, width: int, percent: int) -> Iterator:
     """Set fingerprint, size and signatures of each row; a set that a batch holds again gives no signatures again."""
+    import numpy as np
     import pyarrow as pa
 
     for batch in batches:
-        sids, sizes, sigs, seen = [], [], [], set()
+        sids, sizes, sigs, marks, seen = [], [], [], [], set()
         for s in _sets(batch, width):
             sid = _fingerprint(s) if len(s) else None
             sids.append(sid)
             sizes.append(len(s))
-            sigs.append(signatures(s, percent).view("int64") if sid and sid not in seen else None)
+            sig, mark = signatures(s, percent) if sid and sid not in seen else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+            sigs.append(sig)
+            marks.append(mark)
             seen.add(sid)
         short = [x and int.from_bytes(x[:8], "little", signed=True) for x in sids]
+        ends = pa.array(np.cumsum([0, *map(len, sigs)]), pa.int32())
+        both = pa.StructArray.from_arrays([pa.array(np.concatenate(sigs or [[]]).astype(np.uint64).view(np.int64)),
+                                           pa.array(np.concatenate(marks or [[]]).astype(np.int32))], ["sig", "mark"])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.binary()), pa.array(short, pa.int64()),
-                                          pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64()))], ["id", "sid", "fp", "n", "sigs"])
+                                          pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, both)], ["id", "sid", "fp", "n", "sigs"])
 
 
 def _set_task(batches: Iterator, width: int) -> Iterator:
@@ -304,13 +336,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hashed = _word_hashes(base, "text", lower)
     rows = scratch(hashed.select("id", "w").mapInArrow(
-        partial(_read_task, width=width, percent=percent), f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<long>"))
+        partial(_read_task, width=width, percent=percent),
+        f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<struct<sig:long,mark:int>>"))
 
-    # Candidate families: sets that share a signature. Rows of two longs are sorted by signature, and neighbours with one
-    # signature make an edge; a hot signature is a sorted run (spilled if need be), never a list in memory.
-    after = Window.partitionBy("sig").orderBy("fp")
-    pairs = (rows.select(F.explode("sigs").alias("sig"), "fp").withColumn("before", F.lag("fp").over(after))
-             .where("before is not null and before != fp").select(F.col("before").alias("a"), F.col("fp").alias("b")))
+    # Candidate families: sets that are connected by shared signatures.
+    pairs = _candidate_pairs(rows.select(F.explode("sigs").alias("s"), "fp").select("s.sig", "s.mark", "fp"))
     family = connected_components(pairs)
 
     # One representative row per candidate set, found by its id, gives the set again.
@@ -321,7 +351,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     grouped = rows.join(labels, "sid", "left") if labels is not None else rows.withColumn("top", F.lit(None).cast("binary"))
     grouped = grouped.withColumn("top", F.coalesce("top", "sid"))
-    smallest = grouped.where("n > 0").groupBy("top").agg(F.min("id").alias("component_id"))
+    # written, so that the join below has two exchanges of its own and a large component's rows can be split
+    smallest = scratch(grouped.where("n > 0").groupBy("top").agg(F.min("id").alias("component_id")))
     return (grouped.join(smallest, "top", "left")
             .select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
