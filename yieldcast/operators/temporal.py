@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yieldcast import schema as S
 from yieldcast.functions.scalar import cyclic_week, ieee_div, iso_week_monday, nan_to_zero
@@ -152,36 +153,59 @@ def lag_exprs(cols: Sequence[str], lags: Sequence[int] = S.LAG_WEEKS, w=None) ->
     return [F.first(c).over(w.rangeBetween(-n, -n)).alias(f"{c}_lag_{n}w") for c in cols for n in lags]
 
 
-def _running(agg, c: str, w, upto: int) -> Column:
+def _running(agg, c, w, upto: int) -> Column:
     """Running aggregate of rows with position <= pos - upto (incremental frame)."""
-    return agg(F.col(c)).over(w.rangeBetween(Window.unboundedPreceding, -upto))
+    return agg(F.col(c) if isinstance(c, str) else c).over(w.rangeBetween(Window.unboundedPreceding, -upto))
 
 
-def _rolling(c: str, n: int, min_periods: int, w) -> Column:
+_PLACES = 10 ** S.ROUND_DECIMALS
+_INF = float("inf")
+# Counts of NaN, +inf and -inf of a frame in one long: a series has fewer than 2^20 rows.
+_ODD = {"nan": 1, "up": 1 << 20, "down": 1 << 40}
+
+
+def _between(agg, c, n: int, w) -> Column:
+    """Aggregate over positions pos-n .. pos-1 as the difference of two running aggregates."""
+    return (F.coalesce(_running(agg, c, w, 1), F.lit(0)) - F.coalesce(_running(agg, c, w, n + 1), F.lit(0)))
+
+
+def _rolling(c: str, n: int, min_periods: int, w, whole: bool) -> Column:
     """Mean of the rows at positions pos-n .. pos-1, when at least ``min_periods`` exist.
 
     Written as the difference of two running sums (and counts): unbounded
     preceding frames advance incrementally, whereas a sliding frame is
-    re-aggregated for every row. The add/subtract scheme is the same one
-    incremental rolling means use; for integer columns it is exact.
+    re-aggregated for every row. Sums are exact: whole-number columns as they are, others
+    in units of the last decimal place to which the weekly table is rounded, as longs (an overflow fails the
+    job); what a value has beyond that place is summed apart. NaN and infinities are counted apart, so they affect only the frames that hold them.
     """
-    cnt = _running(F.count, c, w, 1) - _running(F.count, c, w, n + 1)
-    total = (F.coalesce(_running(F.sum, c, w, 1), F.lit(0))
-             - F.coalesce(_running(F.sum, c, w, n + 1), F.lit(0)))
-    return F.when(cnt >= min_periods, total / cnt)
-
-
-def rolling_exprs(cols: Sequence[str], sizes: Sequence[int] = S.ROLLING_WEEKS, w=None) -> list[Column]:
-    """Mean of the previous n rows when at least max(1, n // 2) are present."""
+    cnt = _between(F.count, c, n, w)
+    if whole:
+        return F.when(cnt >= min_periods, _between(F.sum, c, n, w) / cnt)
+    x = F.col(c).cast("double")
+    odd = F.isnan(x) | (F.abs(x) == _INF)
+    units = F.when(~odd, F.round(x * _PLACES).cast("bigint"))
+    beyond = F.when(~odd, x - units / F.lit(float(_PLACES)))
+    total = _between(F.sum, units, n, w) + _between(F.sum, beyond, n, w) * _PLACES
+    code = _between(F.sum, F.when(F.isnan(x), F.lit(_ODD["nan"])).when(x == _INF, F.lit(_ODD["up"]))
+                    .when(x == -_INF, F.lit(_ODD["down"])).cast("bigint"), n, w)
+    nan, up, down = code % _ODD["up"], F.shiftright(code, 20) % _ODD["up"], F.shiftright(code, 40)
+    mean = (F.when((nan > 0) | ((up > 0) & (down > 0)), F.lit(float("nan"))).when(up > 0, F.lit(_INF))
+            .when(down > 0, F.lit(-_INF)).otherwise(total / cnt / F.lit(float(_PLACES))))
+    return F.when(cnt >= min_periods, mean)
+
+
+def rolling_exprs(cols: Sequence[str], sizes: Sequence[int] = S.ROLLING_WEEKS, w=None,
+                  whole: Sequence[str] = ()) -> list[Column]:
+    """Mean of the previous n rows when at least max(1, n // 2) are present. ``whole``: integer columns."""
     w = w or position_window()
-    return [_rolling(c, n, max(1, n // 2), w).alias(f"{c}_rolling_{n}w") for c in cols for n in sizes]
+    return [_rolling(c, n, max(1, n // 2), w, c in whole).alias(f"{c}_rolling_{n}w") for c in cols for n in sizes]
 
 
 def rolling_long_exprs(cols: Sequence[str], sizes: Sequence[int] = S.ROLLING_WEEKS_LONG,
-                       min_periods: int = S.LONG_MIN_PERIODS, w=None) -> list[Column]:
+                       min_periods: int = S.LONG_MIN_PERIODS, w=None, whole: Sequence[str] = ()) -> list[Column]:
     """Mean of the previous n rows when at least ``min_periods`` are present."""
     w = w or position_window()
-    return [_rolling(c, n, min_periods, w).alias(f"{c}_rolling_{n}w") for c in cols for n in sizes]
+    return [_rolling(c, n, min_periods, w, c in whole).alias(f"{c}_rolling_{n}w") for c in cols for n in sizes]
 
 
 def ewma_suffix(alpha: float) -> str:
@@ -250,8 +274,9 @@ def temporal_features(df: DataFrame, cols: Sequence[str] | None = None,
     df = df.repartition(n, *keys)
     positioned = with_series_position(df, keys)
     w = position_window(keys)
-    feats = (lag_exprs(cols, lags, w) + rolling_exprs(cols, rolling, w)
-             + rolling_long_exprs(cols, rolling_long, w=w) + ewma_exprs(cols, alphas, w=w))
+    whole = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+    feats = (lag_exprs(cols, lags, w) + rolling_exprs(cols, rolling, w, whole)
+             + rolling_long_exprs(cols, rolling_long, w=w, whole=whole) + ewma_exprs(cols, alphas, w=w))
     out = positioned.select(*[c for c in positioned.columns if c not in (POS, MID)], *feats)
     if period is not None:
         out = cyclic_week_features(out, period)
