@@ -10,6 +10,7 @@ from yieldcast.llm import (
     chat_format, html_extract, mixing, ngram_join, packing, quality_classifier, quality_rules, token_counts, topk_search, warc,
 )
 from yieldcast.llm.common import hold_out, word_count
+from yieldcast.llm.oracles import ORACLES  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,4 +93,3 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_chat_format, op3_packing, op4_quality_classifier, op5_ngram_jaccard, op6_topk_search,
     op7_quality_rules, op8_token_counts, op9_warc, op10_html_extract)}
-ORACLES: dict[str, str] = {}
