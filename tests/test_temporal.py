@@ -95,14 +95,3 @@ def test_week_grid_fills_gaps(spark):
 def test_ewma_safe_length():
     assert W.ewma_safe_rows(0.5) > 1700
     assert W.ewma_safe_rows(0.1) > 11000
-
-
-def test_rolling_means_are_exact_and_odd_values_stay_in_their_frames(spark):
-    day = dt.date(2001, 1, 1)
-    xs = [1e9 + 0.123456, 0.1, 0.2, 0.3, 0.0, float("nan"), 1.0, 2.0, 3.0, 4.0, float("inf"), 5.0, 6.0, 7.0, 8.0, 9.0]
-    rows = [("s", 1, 2001, 1, k, day + dt.timedelta(weeks=k), x) for k, x in enumerate(xs)]
-    got = W.temporal_features(_series(spark, rows), cols=["x"], lags=[], rolling=[4], rolling_long=[], alphas=[], period=None)
-    means = [r.x_rolling_4w for r in got.orderBy("week").collect()]
-    assert means[5] == 0.15 and means[9] != means[9] and means[10] == 2.5
-    assert means[11:15] == [math.inf] * 4 and means[15] == 6.5
-    assert [k for k, m in enumerate(means) if m is not None and m != m] == [6, 7, 8, 9]
