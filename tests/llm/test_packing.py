@@ -5,7 +5,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from yieldcast.llm import packing
+import corpus_pipeline
+from yieldcast.llm import packing, queries
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -73,3 +74,20 @@ def test_pack_round_trip(spark, rng, words):
 
 def test_pack_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_queries_take_ids_of_tokenizers_defaults(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(PATH)
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  \n<|endoftext|><|endoftext|>  y", "<|endoftext| >", "<|endoftext|>" * 1500, "no marker", "é漢  <|endoftext|>\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    for pieces in (queries.op3_packing(spark, str(tmp_path)), corpus_pipeline.packing_stage(spark, df, "")):
+        at = [0] * len(texts)
+        for p in sorted(pieces.collect(), key=lambda p: (p.doc_id, p.start)):
+            ids = np.array(tokenizer.encode(texts[p.doc_id], add_special_tokens=False).ids + [0], dtype="<u4")
+            assert p.start == at[p.doc_id] and p.doc_tokens == len(ids)
+            assert p.ids_crc32 == zlib.crc32(ids[p.start:p.start + p.length].tobytes())
+            at[p.doc_id] += p.length
+            assert p.start + p.length <= len(ids)
+        assert at == [len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts]

@@ -47,7 +47,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised and packed into sequences of at most 1024 tokens."""
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), markers=True)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
