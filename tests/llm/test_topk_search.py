@@ -56,3 +56,32 @@ def test_few_rows_and_empty_table(spark):
 def test_different_lengths_are_filled_up(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, [0.0, 1.0, 9.0]), (3, [])]
     assert run(spark, rows, 1) == brute(rows, 1)
+
+
+def run_doubles(spark, rows, every):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    return sorted(tuple(r) for r in S.top_k(df, F.col("vec_id") % every == 0).collect())
+
+
+def test_large_components_are_ranked(spark, rng, monkeypatch):
+    monkeypatch.setattr(S, "CELL", 40)
+    monkeypatch.setattr(S, "QUERY_BLOCK", 8)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(200)]
+    rows += [(200 + i, [rng.choice((5000.0, -5000.5, 1e6, 0.25, -1e6)) for _ in range(8)]) for i in range(100)]
+    rows += [(301, [1e6 + i / 256 for i in range(8)]), (302, [1e6 + i / 256 for i in range(8)]), (310, [4096.0]), (320, None)]
+    assert run_doubles(spark, rows, 10) == brute(rows, 10)
+    assert run_doubles(spark, rows[200:], 10) == brute(rows[200:], 10)     # none for the index
+
+
+def test_products_beyond_longs_are_ranked(spark):
+    rows = [(i, [x, 1.0]) for i, x in enumerate((1e300, -1e300, 1e9, 3e38, 1e308, -1e308, 0.5, -2e12))]
+    want = [(q, r, i, s if -2**63 <= s < 2**63 else None) for q, r, i, s in exact(rows)]
+    assert run_doubles(spark, rows, 1) == sorted(want)
+
+
+def exact(rows, k=5):
+    from fractions import Fraction
+    ok = [(i, [math.floor(256 * Fraction(x)) for x in v]) for i, v in rows]
+    for q, a in ok:
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q)[:k]
+        yield from ((q, r + 1, i, -s) for r, (s, i) in enumerate(scores))

@@ -6,6 +6,9 @@ largest norm, x becomes (x, sqrt(M^2 - |x|^2)) and a query q becomes (q, 0), and
 distance to it. A query visits the annuli nearest to it first; by the triangle inequality an annulus from r to
 R around a pivot at distance d holds nothing nearer than max(r - d, d - R), so it stops when that passes its
 k-th distance. Scores are integer inner products and exact; bounds leave room for rounding.
+
+Vectors with a component too large for exact sums in doubles are not in the index. They are compared block by block
+with all others in whole numbers of any size, and both results are merged by rank.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ RINGS = 16               # most annuli per pivot
 CELL = 1024              # vectors in one cell; a larger annulus is split into several
 QUERY_BLOCK = 128        # queries answered together
 FIRST_CELLS = 2          # annuli of the first round
-LIMIT = 1 << 20          # vectors with a larger scaled component are left out: sums stay exact in doubles
+DIGIT = 20               # bits of a digit of a large component
+LIMIT = 1 << DIGIT       # vectors with a larger scaled component are not in the index: sums stay exact in doubles
+SPAN = 4096              # components summed at once in doubles
 _SLACK = 1e-6
 
 
@@ -60,16 +65,28 @@ def _distances(a, b):
     return np.sqrt(np.maximum(square, 0))
 
 
+def _fits(e: Column, scale: int) -> Column:
+    return F.forall(e, lambda x: x.isNotNull() & (F.abs(x.cast("double")) * scale < LIMIT))   # false for NaN and infinities
+
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
-    """(row, vec_id, v): scaled and floored integer vectors. Vectors null or holding null or non-finite components, or
-    ones beyond LIMIT after scaling, take no part."""
+    """(row, vec_id, v): scaled and floored integer vectors of the index. Vectors null or holding null or non-finite
+    components take no part; those with components beyond LIMIT after scaling are given by ``large``."""
     e = F.col(embedding)
-    fit = F.forall(e, lambda x: x.isNotNull() & (F.abs(x.cast("double")) * scale < LIMIT))   # false for NaN and infinities
-    return vectors.where(e.isNotNull() & fit).select(
+    return vectors.where(e.isNotNull() & _fits(e, scale)).select(
         F.monotonically_increasing_id().alias("row"), F.col(vec_id).cast("long").alias("vec_id"),
         F.transform(e, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("v"))
 
 
+def large(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
+    """(row, vec_id, v, x): finite vectors that ``usable`` leaves out, unscaled in ``x``; their rows are negative."""
+    e = F.col(embedding)
+    finite = F.forall(e, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
+    return vectors.where(e.isNotNull() & finite & ~_fits(e, scale)).select(
+        (-1 - F.monotonically_increasing_id()).alias("row"), F.col(vec_id).cast("long").alias("vec_id"),
+        F.lit(None).cast("array<int>").alias("v"), e.cast("array<double>").alias("x"))
+
+
 def _key_task(batches: Iterator, pivots, top: float) -> Iterator:
     import numpy as np
     import pyarrow as pa
@@ -192,22 +209,133 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _whole(items, scale: int):
+    """Matrix of Python integers of an Arrow struct column: ``v`` as it stands, else floor(scale * x)."""
+    import numpy as np
+
+    def one(x):
+        y = x * scale
+        return math.floor(y) if math.isfinite(y) else int(x) * scale    # beyond 2^53 a double has no fraction
+
+    rows = [v if v is not None else [one(y) for y in x] for v, x in zip(items.field("v").to_pylist(), items.field("x").to_pylist())]
+    out = np.zeros((len(rows), max(map(len, rows), default=0)), dtype=object)
+    for o, r in zip(out, rows):
+        o[:len(r)] = r
+    return out
+
+
+def _digits(m):
+    """(shift, float matrix) such that the matrices shifted left add up to ``m``; all entries below LIMIT."""
+    import numpy as np
+
+    sign, rest, out, shift = np.where(m < 0, -1, 1), np.abs(m), [], 0
+    while rest.any():
+        low = (rest & (LIMIT - 1)).astype(np.float64) * sign
+        if low.any():
+            out.append((shift, low))
+        rest = rest >> DIGIT
+        shift += DIGIT
+    return out
+
+
+def _products(a, b):
+    """Inner products of the rows of two matrices of Python integers, exact at any size."""
+    import numpy as np
+
+    dim = min(a.shape[1], b.shape[1])      # beyond it one side is zero
+    total = np.zeros((len(a), len(b)), dtype=object)
+    right = _digits(b[:, :dim])
+    for i, x in _digits(a[:, :dim]):
+        for j, y in right:
+            for at in range(0, dim, SPAN):
+                part = x[:, at:at + SPAN] @ y[:, at:at + SPAN].T
+                total += part.astype(np.int64).astype(object) << (i + j)
+    return total
+
+
+def _order(score: int) -> tuple[int, int | None, bytes | None]:
+    """(side, score, key) in the order of scores: side 1 above the longs, -1 below them, where only the key tells them apart."""
+    if -(1 << 63) <= score < 1 << 63:
+        return 0, score, None
+    size = (abs(score).bit_length() + 7) // 8
+    key = size.to_bytes(4, "big") + abs(score).to_bytes(size, "big")
+    return (1, None, key) if score > 0 else (-1, None, bytes(255 - x for x in key))
+
+
+def _exact_task(batches: Iterator, k: int, scale: int) -> Iterator:
+    """The k best candidates of each query in one block, by exact products."""
+    import numpy as np
+    import pyarrow as pa
+
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int8(), pa.int64(), pa.binary()]
+    for batch in batches:
+        for cell, queries in zip(batch.column(0), batch.column(1)):
+            c, q = cell.values, queries.values
+            ids = c.field("vec_id").to_pylist()
+            by_id = np.array(sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0)))
+            scores = _products(_whole(q, scale), _whole(c, scale)[by_id])
+            out = []
+            for row, own, line in zip(q.field("row").to_pylist(), q.field("vec_id").to_pylist(), scores):
+                taken = 0
+                for i in np.argsort(-line, kind="stable"):
+                    if taken == k:
+                        break
+                    if (other := ids[by_id[i]]) != own:
+                        out.append((row, own, other, *_order(int(line[i]))))
+                        taken += 1
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)],
+                                                 ["row", "query_id", "vec_id", "side", "score", "key"])
+
+
+def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Rows gathered in blocks of about ``size``, one list a row."""
+    n = max(1, -(-rows.count() // size))
+    return scratch(rows.groupBy(F.pmod(F.xxhash64("row"), F.lit(n)).alias("block"))
+                   .agg(F.collect_list(F.struct("row", "vec_id", "v", "x")).alias(name)).select(name))
+
+
+def _exact(queries: DataFrame, candidates: DataFrame, k: int, scale: int) -> DataFrame:
+    """(row, query_id, vec_id, side, score, key): k best of every block of candidates for each query."""
+    pairs = _blocks(candidates, CELL, "rows").crossJoin(_blocks(queries, QUERY_BLOCK, "queries"))
+    return pairs.select("rows", "queries").mapInArrow(
+        partial(_exact_task, k=k, scale=scale), "row long, query_id long, vec_id long, side byte, score long, key binary")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
           vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's k highest integer inner products with rows of other ids.
 
     Components are floor(scale * x). Ties go to the smaller id. ``is_query`` picks the query rows by their columns;
-    all usable rows are candidates but those with the query's own id. Vectors of different lengths are compared as if filled up with
-    zeros. A repeated row is a candidate each time it stands, and a repeated query row is answered each time. Null ids are candidates,
-    after all others in ties, and answer no query. An empty table gives an empty result.
+    all rows with finite components are candidates but those with the query's own id. Vectors of different lengths are
+    compared as if filled up with zeros. A repeated row is a candidate each time it stands, and a repeated query row is answered
+    each time. Null ids are candidates, after all others in ties, and answer no query. An empty table gives an empty result.
+    Ranks are exact at any size of the components; a score that no long can hold is null.
     """
+    picked = vectors.where(is_query & F.col(vec_id).isNotNull())
     rows = usable(vectors, vec_id, embedding, scale)
-    queries = usable(vectors.where(is_query & F.col(vec_id).isNotNull()), vec_id, embedding, scale)
+    queries = scratch(usable(picked, vec_id, embedding, scale))
+    found = _indexed(rows, queries, k)
+    beyond = scratch(large(vectors, vec_id, embedding, scale))
+    if not beyond.isEmpty():
+        asked = scratch(large(picked, vec_id, embedding, scale))
+        empty = F.lit(None).cast("array<double>").alias("x")
+        everyone = beyond.unionAll(rows.select("row", "vec_id", "v", empty))
+        far = _exact(queries.select("row", "vec_id", "v", empty), beyond, k, scale)
+        if not asked.isEmpty():
+            far = far.unionAll(_exact(asked, everyone, k, scale))
+        near = found.select("row", "query_id", "vec_id", F.lit(0).cast("byte").alias("side"), "score", F.lit(None).cast("binary").alias("key"))
+        order = Window.partitionBy("row").orderBy(F.desc("side"), F.desc("score"), F.desc("key"), F.asc_nulls_last("vec_id"))
+        found = near.unionAll(far).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def _indexed(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(row, query_id, vec_id, score, rank) by the index of ``rows``."""
     cells, annuli, pivots, top = build_index(rows)
     if not annuli:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return rows.sparkSession.createDataFrame([], "row long, query_id long, vec_id long, score long, rank int")
     annuli = [a.asDict() for a in annuli]
-    queries = scratch(queries)
     parts = max(1, -(-queries.count() // QUERY_BLOCK))
     plan = partial(_plan_task, pivots=pivots, top=top, annuli=annuli)
     visits = "row long, vec_id long, v array<int>, pivot int, ring int, slots int"
@@ -215,4 +343,4 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
     kth = first.where(F.col("rank") == k).select("row", F.col("score").alias("kth"))
     rest = queries.join(kth, "row", "left").select("row", "vec_id", "v", "kth").mapInArrow(partial(plan, first=False), visits)
     both = first.drop("rank").unionAll(_visit(rest, cells, k, parts).drop("rank"))
-    return _best(both, k).select("query_id", "rank", "vec_id", "score")
+    return _best(both, k)
