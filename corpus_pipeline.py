@@ -30,24 +30,29 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return scored.where("score >= 0.5").select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(row, line), written once: every later scan sees the same line for a row, however it is split into tasks."""
+    return scratch(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("line")))
+
+
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: that with the smallest doc_id, of equal ids the first row.
 
     Documents without words have no duplicates and all stay.
     """
-    keyed = docs.withColumn("key", F.struct("doc_id", F.monotonically_increasing_id().alias("line"))).select("key", "text")
+    rows = _numbered(docs)
+    keyed = rows.select(F.struct("row.doc_id", "line").alias("key"), "row.text")
     part = ngram_join.jaccard_components(keyed, doc_id="key", width=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = part.where("key != component_id").select("key.line")
-    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("line"))
     return rows.join(gone, "line", "left_anti").select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (0 to 3 times), sources weighed 1, 2, 3, ... in code point order."""
-    keys = docs.select("doc_id", "source", word_count(F.col("text")).alias("words"), F.monotonically_increasing_id().alias("line"))
+    rows = _numbered(docs)
+    keys = rows.select("row.doc_id", "row.source", word_count(F.col("row.text")).alias("words"), "line")
     taken = mixing.mix(keys, F.array("source"), F.col("words")).where("passes > 0").select("line", "passes")
-    rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("line")).join(taken, "line")
-    often = rows.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))))
+    often = rows.join(taken, "line").withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))))
     return often.select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 

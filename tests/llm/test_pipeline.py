@@ -69,3 +69,23 @@ def test_stages_take_nulls_and_repeated_rows(spark):
 
 def test_run(spark):
     assert P.run(spark, SF).count() > 0
+
+
+def test_rows_keep_their_line_when_scans_order_them_anew(spark):
+    def stir(batches):      # another order of rows in every scan
+        import random
+
+        import pyarrow as pa
+        rows = [r for b in batches for r in b.to_pylist()]
+        random.SystemRandom().shuffle(rows)
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    import pyarrow as pa
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()), ("n_chars", pa.int64())])
+    rows = [(i, " ".join(f"w{i % 40}x{k}" for k in range(12)), "en", f"s{i % 3}", 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    docs = df.mapInArrow(stir, df.schema)
+    assert sorted(r.doc_id for r in P.near_duplicates_stage(spark, docs, SF).collect()) == list(range(40))
+    want = sorted(r.doc_id for r in P.mixing_stage(spark, df, SF).collect())
+    assert sorted(r.doc_id for r in P.mixing_stage(spark, docs, SF).collect()) == want
