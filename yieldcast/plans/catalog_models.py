@@ -21,11 +21,8 @@ from yieldcast.plans.features import feature_table
 from yieldcast.sources.fixture import with_carried_columns
 from yieldcast.sources.stage import stage_table
 
-# Small forests keep the registered queries quick; production uses the
-# stage defaults with up to 2,000 rounds and early stopping.
-QUERY_PARAMS = {"max_depth": 5, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8,
-                "min_child_weight": 5, "gamma": 0.0}
-QUERY_ROUNDS = 10
+SEARCH_TRIALS = 50       # trials and most rounds of a trial, as in the source's search
+SEARCH_ROUNDS = 500
 
 
 def published_features(spark, sf):
@@ -42,24 +39,24 @@ def published_features(spark, sf):
 def q_predict_two_stage(spark, sf):
     ft = published_features(spark, sf)
     train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
-    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m1 = T.train_stage1(train, VALID_YEARS)
+    m2 = T.train_stage2(train, VALID_YEARS)
     return SC.predict(m1, m2, test, years=TEST_YEARS)
 
 
 def q_predict_channels(spark, sf):
     ft = published_features(spark, sf)
     train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
-    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
-    m3 = T.train_stage3(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m1 = T.train_stage1(train, VALID_YEARS)
+    m2 = T.train_stage2(train, VALID_YEARS)
+    m3 = T.train_stage3(train, VALID_YEARS)
     return SC.predict(m1, m2, test, m3, years=TEST_YEARS)
 
 
 def q_param_search(spark, sf):
     ft = published_features(spark, sf)
     train, _ = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    return T.search_stage1(train, VALID_YEARS, n_trials=3, max_iter=5).limit(10)
+    return T.search_stage1(train, VALID_YEARS, n_trials=SEARCH_TRIALS, max_iter=SEARCH_ROUNDS)
 
 
 ROW_KEYS = ["hashed_fc", "gl_product_group", "year", "month", "week"]
@@ -69,8 +66,8 @@ def _stage2_attr(spark, sf):
     """Stage 1 and 2 fitted on the training years; stage-2 attributions of the test year."""
     ft = published_features(spark, sf)
     train, test = C.split_by_years(ft, TRAIN_YEARS, TEST_YEARS)
-    m1 = T.train_stage1(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
-    m2 = T.train_stage2(train, VALID_YEARS, QUERY_PARAMS, QUERY_ROUNDS, refit=False)
+    m1 = T.train_stage1(train, VALID_YEARS)
+    m2 = T.train_stage2(train, VALID_YEARS)
     s1 = SC.score_stage1(m1, test)
     pri = {k: m2.lookups[f"prior_{k}"] for k in ("gl", "site", "global")}
     ext = B.fill_baseline(B.join_baseline(s1, m2.lookups["site_gl_baseline"]), pri)
