@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldcast.llm import (
-    chat_format, html_extract, mixing, ngram_join, packing, quality_classifier, quality_rules, token_counts, topk_search, warc,
+    chat_format, collocations, decontaminate, html_extract, mixing, ngram_join, packing, prefix_trie, quality_classifier, quality_rules,
+    token_counts, topk_search, warc,
 )
 from yieldcast.llm.common import hold_out, word_count
 from yieldcast.llm.oracles import ORACLES  # noqa: F401
@@ -90,6 +91,22 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt with shared starts."""
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_starts(turns))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand inside a benchmark window, and the items they come from."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language over all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_chat_format, op3_packing, op4_quality_classifier, op5_ngram_jaccard, op6_topk_search,
-    op7_quality_rules, op8_token_counts, op9_warc, op10_html_extract)}
+    op7_quality_rules, op8_token_counts, op9_warc, op10_html_extract, op11_prefix_trie, op12_decontaminate, op13_collocations)}
