@@ -5,6 +5,7 @@ import math
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from yieldcast.operators import temporal as W
 
@@ -92,6 +93,72 @@ def test_week_grid_fills_gaps(spark):
     assert sum(1 for r in a if r.week is None) == 2
 
 
-def test_ewma_safe_length():
-    assert W.ewma_safe_rows(0.5) > 1700
-    assert W.ewma_safe_rows(0.1) > 11000
+def _weeks(values, first=dt.date(2000, 1, 3)):
+    return [("S", 1, 2000, 1, 1, first + dt.timedelta(days=7 * k), v) for k, v in enumerate(values) if v != "gap"]
+
+
+def _features(spark, values, **named):
+    base = dict(cols=["x"], lags=[], rolling=[], rolling_long=[], alphas=[], period=None)
+    rows = W.temporal_features(_series(spark, _weeks(values)), **(base | named)).orderBy("week_date").collect()
+    return [[r[c] for c in rows[0].__fields__ if c.startswith("x_")] for r in rows]
+
+
+def test_nan_and_infinity_reach_only_the_windows_that_hold_them(spark):
+    values = [1.0, 1.0, float("nan"), 1.0, 1.0, 1.0, 1.0, 1.0, float("inf"), 1.0, float("-inf"), 1.0, 1.0, 1.0, 1.0, 2.0, 1e300]
+    got = [r[0] for r in _features(spark, values, rolling=[4])]
+    want = [None, None]
+    for t in range(2, len(values)):
+        w = values[max(0, t - 4):t]
+        up, down = any(v >= 1e24 for v in w), any(v <= -1e24 for v in w)
+        mean = math.nan if any(map(math.isnan, w)) or (up and down) else math.inf if up else -math.inf if down else sum(w) / len(w)
+        want.append(mean)
+    assert got[1] is None or got[1] == 1.0       # half the window is enough from the third row on
+    for t in range(2, len(values)):
+        assert got[t] == want[t] or (math.isnan(got[t]) and math.isnan(want[t])), t
+
+
+def test_rolling_means_of_large_and_small_values_are_exact(spark):
+    values = [1e13, 0.000001, 0.000002, 0.000003, 0.000004, 0.000005, -1e13, 1e13, 0.1, 0.2, 0.3, 0.4]
+    got = [r[0] for r in _features(spark, values, rolling=[4])]
+    assert got[5] == pytest.approx(2.5e-6, rel=1e-15) and got[11] == (1e13 + 0.6) / 4 or got[11] == pytest.approx((1e13 + 0.6) / 4, rel=1e-15)
+    assert got[6] == pytest.approx(3.5e-6, rel=1e-15)
+
+
+@pytest.mark.parametrize("alpha", [0.5, 0.1])
+def test_ewma_of_a_long_series_equals_pandas(spark, alpha):
+    values = [float((k * 37) % 101) + 0.25 for k in range(5000)]
+    values[700:760] = ["gap"] * 60
+    values[2000] = None
+    got = [r[0] for r in _features(spark, values, alphas=[alpha])]
+    full = pd.Series([math.nan if v in ("gap", None) else v for v in values])
+    want = full.shift(1).ewm(alpha=alpha, adjust=True, ignore_na=False, min_periods=4).mean()
+    prev = full.shift(1)
+    want = [w if not pd.isna(p) else None for w, p, v in zip(want, prev, values) if v != "gap"]
+    assert len(got) == len(want) == 4940
+    for t, (x, y) in enumerate(zip(got, want)):
+        assert (x is None) == (y is None or math.isnan(y)), t
+        assert x is None or x == pytest.approx(y, rel=1e-12), t
+
+
+def test_lags_and_means_cross_segment_borders(spark):
+    values = [float(k % 17) for k in range(1500)]
+    got = _features(spark, values, lags=[1, 52], rolling_long=[52], alphas=[0.5, 0.1])
+    assert len(got) == 1500
+    for t in range(60, 1500):
+        assert got[t][0] == values[t - 1] and got[t][1] == values[t - 52]
+        assert got[t][2] == pytest.approx(sum(values[t - 52:t]) / 52, rel=1e-12)
+
+
+def test_integer_columns_and_empty_tables(spark):
+    rows = [("S", 1, 2000, 1, 1, dt.date(2000, 1, 3) + dt.timedelta(days=7 * k), 2 ** 62 - k) for k in range(6)]
+    df = spark.createDataFrame(rows, "hashed_fc string, gl_product_group int, year int, month int, week int, week_date date, x long")
+    named = dict(cols=["x"], lags=[1], rolling=[4], rolling_long=[], alphas=[0.5], period=None)
+    last = W.temporal_features(df, **named).orderBy(F.desc("week_date")).first()
+    assert last["x_lag_1w"] == 2 ** 62 - 4 and last["x_rolling_4w"] == pytest.approx(2 ** 62 - 2.5)
+    assert W.temporal_features(df.limit(0), **named).count() == 0
+    assert W.temporal_features(df, cols=[], period=None).count() == 6
+
+
+def test_segment_length():
+    assert W.segment_length([52], [26], [0.5, 0.1]) == 656
+    assert W.segment_length([52], [26], []) == 52

@@ -27,12 +27,24 @@ def conditional_sums(filter_col: str, mapping: Mapping[str, str], sum_col: str,
             for v, suffix in mapping.items()]
 
 
+def exact_sum(c: str, alias: str) -> Column:
+    """Sum of a double column in units of 10^-9, the same in any order; empty sums are 0.
+
+    Values of 10^18 and more, infinities and NaN are added as doubles beside it.
+    """
+    x = F.col(c).cast("double")
+    usual = F.abs(x) < 1e18
+    whole = F.sum(F.when(usual, F.round(x * 1e9).cast("decimal(28,0)"))).cast("double") / 1e9
+    rest = F.sum(F.when(~usual, x))
+    return (F.coalesce(whole, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))).alias(alias)
+
+
 def _measures() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("num_records"),
         F.coalesce(F.sum("units"), F.lit(0)).cast("bigint").alias("units_total"),
-        F.coalesce(F.sum("cogs"), F.lit(0.0)).alias("cogs_total"),
-        F.coalesce(F.sum("weight"), F.lit(0.0)).alias("weight_total"),
+        exact_sum("cogs", "cogs_total"),
+        exact_sum("weight", "weight_total"),
         *conditional_sums("macro_category", S.MACRO_CATEGORIES, "units", "units"),
         *conditional_sums("product_type", S.PRODUCT_TYPES, "units", "units"),
         conditional_sum("recovery_type", S.SALES, "units", "units_recovered", op="ne"),

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
-from yieldcast.functions.scalar import iso_week_monday
+from yieldcast.functions.scalar import iso_week_monday, round_half_away
+from yieldcast.models.features import ALL_SUFFIXES
 from yieldcast.operators import aggregate as A
 from yieldcast.operators import clean as C
 from yieldcast.operators import temporal as W
@@ -121,8 +122,31 @@ def q_ewma_features(spark, sf):
     return _temporal(spark, sf, EWMA_CHECK_COLS, alphas=S.EWMA_ALPHAS)
 
 
+TEMPORAL_COLS = sorted([
+    "units_total", "cogs_total", "weight_total", *[f"units_{s}" for s in (
+        *S.MACRO_CATEGORIES.values(), *S.PRODUCT_TYPES.values(), "recovered", "hazmat", "sales", "donations", "disposal",
+        "warehouse_deals_and_gr", "liquidations", "return_to_vendor")],
+    *A.UNIT_SHARES, *A.RECOVERY_MIX, *A.UNIT_AVERAGES, *W.SITE_WEEK_SUMS, *W.SITE_WEEK_RATIOS])
+DIGITS = 6      # significant digits to which EWMA columns are compared: their weights are no decimals
+
+
 def q_temporal_all(spark, sf):
-    return feature_table(with_carried_columns(raw(spark, sf)))
+    """All 627 temporal columns of the weekly table; rolling means to 6 places, EWMA to ``DIGITS`` significant digits."""
+    df = feature_table(with_carried_columns(raw(spark, sf)))
+    found = [c[:-len("_lag_1w")] for c in df.columns if c.endswith("_lag_1w")]
+    feats = [f"{c}_{t}" for c in found for t in ALL_SUFFIXES]
+
+    def shown(c):
+        x = F.col(c)
+        if "_ewma_" in c:
+            # 10^(digits before the point of the value - DIGITS), as an exact power of ten where it is above 1
+            place = F.floor(F.log10(F.abs(x))) + 1 - DIGITS
+            size = F.pow(F.lit(10.0), F.abs(place))
+            fine = F.when(place < 0, F.round(x * size) / size).otherwise(F.round(x / size) * size)
+            return F.when((x == 0) | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(fine).alias(c)
+        return (round_half_away(x) + F.lit(0.0)).alias(c) if "_rolling_" in c or dict(df.dtypes)[c] == "double" else x.alias(c)
+
+    return df.select(*KEYS, S.WEEK_DATE, *[shown(c) for c in feats])
 
 
 def q_cyclic_week(spark, sf):
@@ -217,6 +241,7 @@ ORACLES = {
     "rolling_short": _temporal_oracle(ROLL_CHECK_COLS, rolling=S.ROLLING_WEEKS),
     "rolling_long": _temporal_oracle(ROLL_CHECK_COLS, rolling_long=S.ROLLING_WEEKS_LONG),
     "ewma_features": _temporal_oracle(EWMA_CHECK_COLS, alphas=S.EWMA_ALPHAS),
+    "temporal_all": O.temporal_all_sql(TEMPORAL_COLS, DIGITS),
     "cyclic_week": O.with_ctes(
         f"SELECT DISTINCT week, round(sin(2 * pi() * week / {S.WEEK_PERIOD}), 6) + 0.0 AS week_sin, "
         f"round(cos(2 * pi() * week / {S.WEEK_PERIOD}), 6) + 0.0 AS week_cos FROM clean", "clean"),

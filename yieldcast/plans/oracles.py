@@ -45,7 +45,8 @@ def _agg_sql() -> str:
     return f"""
 SELECT hashed_fc, year, month, week, gl_product_group, {WEEK_DATE_SQL} AS week_date,
   count(*) AS num_records, CAST(coalesce(sum(units), 0) AS BIGINT) AS units_total,
-  coalesce(sum(cogs), 0.0) AS cogs_total, coalesce(sum(weight), 0.0) AS weight_total,
+  coalesce(CAST(sum(CAST(round(cogs * 1000000000.0) AS HUGEINT)) AS DOUBLE) / 1000000000.0, 0.0) AS cogs_total,
+  coalesce(CAST(sum(CAST(round(weight * 1000000000.0) AS HUGEINT)) AS DOUBLE) / 1000000000.0, 0.0) AS weight_total,
   {attrs},
   {', '.join(sums)}
 FROM clean GROUP BY hashed_fc, year, month, week, gl_product_group
@@ -158,3 +159,48 @@ def temporal_sql(cols, lags=(), rolling=(), rolling_long=(), alphas=(), extra=()
     body = (f"SELECT {outer} FROM (SELECT *, {', '.join(feats)} FROM gr WINDOW w AS ({WIN})) t "
             f"WHERE week IS NOT NULL")
     return with_ctes(GRID_CTES + body)
+
+
+def temporal_all_sql(cols, digits: int) -> str:
+    """All lags, rolling means and EWMA of all columns on the gridded series.
+
+    Rolling means are sums of whole micro-units; a window's NaN and infinite values are counted in one packed sum.
+    """
+    real = set(_DOUBLE_COLS)
+    prep, feats, names = [], [], []
+    for c in cols:
+        finite = f"CASE WHEN isfinite({c}) THEN {c} END" if c in real else c
+        prep += [f"CAST(round({finite} * 1000000.0) AS HUGEINT) AS m_{c}" if c in real else f"CAST({c} AS HUGEINT) * 1000000 AS m_{c}"]
+        if c in real:
+            prep.append(f"CASE WHEN {c} IS NULL THEN 0 WHEN isnan({c}) THEN 1 WHEN {c} = 'inf'::DOUBLE THEN 1000000 "
+                        f"WHEN {c} = '-inf'::DOUBLE THEN 1000000000000 ELSE 0 END AS f_{c}")
+
+    def settled(c, fr, value):
+        if c not in real:
+            return value
+        f = f"(sum(f_{c}) OVER {fr})"
+        nan, up, down = f"{f} % 1000000 > 0", f"({f} // 1000000) % 1000000 > 0", f"{f} // 1000000000000 > 0"
+        return (f"CASE WHEN {nan} OR ({up} AND {down}) THEN 'nan'::DOUBLE WHEN {up} THEN 'inf'::DOUBLE WHEN {down} THEN '-inf'::DOUBLE ELSE {value} END")
+
+    for c in cols:
+        for n in S.LAG_WEEKS:
+            feats.append(f"lag({c}, {n}) OVER (w) AS {c}_lag_{n}w")
+            names.append(f"{c}_lag_{n}w")
+        for n, m in [(n, max(1, n // 2)) for n in S.ROLLING_WEEKS] + [(n, S.LONG_MIN_PERIODS) for n in S.ROLLING_WEEKS_LONG]:
+            fr = f"(w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+            mean = f"CAST(coalesce(sum(m_{c}) OVER {fr}, 0) AS DOUBLE) / CAST(count({c}) OVER {fr} AS DOUBLE) / 1000000.0::DOUBLE"
+            feats.append(f"CASE WHEN count({c}) OVER {fr} >= {m} THEN {settled(c, fr, mean)} END AS {c}_rolling_{n}w")
+            names.append(f"round({c}_rolling_{n}w, 6) + 0.0 AS {c}_rolling_{n}w")
+        for a in S.EWMA_ALPHAS:
+            q, fr, name = 1.0 / (1.0 - a), "(w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", f"{c}_ewma_{ewma_suffix(a)}"
+            finite = f"CASE WHEN isfinite({c}) THEN {c} END" if c in real else c
+            value = f"sum({finite} * pow({q!r}, rn)) OVER {fr} / sum(CASE WHEN {c} IS NOT NULL THEN pow({q!r}, rn) END) OVER {fr}"
+            feats.append(f"CASE WHEN count({c}) OVER {fr} >= {S.EWMA_MIN_PERIODS} AND lag({c}, 1) OVER (w) IS NOT NULL THEN {settled(c, fr, value)} END AS {name}")
+            place = f"(floor(log10(abs({name}))) + 1 - {digits})"
+            size = f"pow(10.0, abs({place}))"
+            names.append(f"CASE WHEN {name} = 0 OR NOT isfinite({name}) THEN {name} WHEN {place} < 0 THEN round({name} * {size}) / {size} "
+                         f"ELSE round({name} / {size}) * {size} END AS {name}")
+    body = (f"{GRID_CTES}, gp AS (SELECT *, {', '.join(prep)} FROM gr), "
+            f"t AS (SELECT hashed_fc, gl_product_group, year, month, week, week_date, {', '.join(feats)} FROM gp WINDOW w AS ({WIN})) "
+            f"SELECT hashed_fc, gl_product_group, year, month, week, week_date, {', '.join(names)} FROM t WHERE week IS NOT NULL")
+    return with_ctes(body)

@@ -10,6 +10,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,10 +74,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def cut_lineage(df, eager: bool = True):
-    """Materialise ``df`` with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, paths: list[str] | None = None):
+    """``df`` written once into the shared folder and read back; a lost executor costs a reread.
+
+    A checkpoint would carry the plan's size estimates and constraints along, which multiply in loops. ``paths`` gets the
+    folder, for tables that their maker removes.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
