@@ -1,9 +1,8 @@
-"""Registered model queries run the stages with their own defaults."""
-
-import inspect
+"""Registered model queries fit the stages once, with their defaults, and share the published models."""
 
 import pytest
 
+from yieldcast.models import search as SE
 from yieldcast.models import train as T
 from yieldcast.plans import catalog_models as Q
 
@@ -12,44 +11,48 @@ class Called(Exception):
     pass
 
 
-@pytest.fixture
-def calls(monkeypatch):
-    """Arguments that the queries give to each training function; the last function ends the query."""
-    seen = {}
-
-    def record(name, last):
-        real = inspect.signature(getattr(T, name))
+def stop(seen, name):
+    def stand_in(*args, **named):
+        seen.append((name, args, named))
+        raise Called
+    return stand_in
 
-        def stand_in(*args, **named):
-            bound = real.bind(*args, **named)
-            bound.apply_defaults()
-            seen[name] = bound.arguments
-            if last:
-                raise Called
-        monkeypatch.setattr(T, name, stand_in)
 
-    monkeypatch.setattr(Q, "published_features", lambda spark, sf: None)
-    monkeypatch.setattr(Q.C, "split_by_years", lambda *a: (None, None))
-    return seen, record
+QUERIES = ["predict_two_stage", "predict_channels", "channel_metrics", "tree_importance", "attribution", "attribution_stage1",
+           "attribution_decomposition", "top_drivers", "extreme_rows", "mean_abs_attribution"]
 
 
-@pytest.mark.parametrize("query, last", [
-    ("predict_two_stage", 2), ("predict_channels", 3), ("attribution", 2), ("attribution_decomposition", 2),
-    ("top_drivers", 2), ("extreme_rows", 2), ("mean_abs_attribution", 2)])
-def test_stages_run_with_defaults_and_refit(calls, query, last):
-    seen, record = calls
-    for k in range(1, last + 1):
-        record(f"train_stage{k}", k == last)
+@pytest.mark.parametrize("query", QUERIES)
+def test_stages_run_with_defaults(query, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "_split", lambda spark, sf: ("train", "test"))
+    monkeypatch.setattr(Q, "application_path", lambda spark, sf, name: name)
+    monkeypatch.setattr(Q, "exists", lambda spark, path: False)
+    monkeypatch.setattr(T, "train_all", stop(seen, "all"))
     with pytest.raises(Called):
         Q.QUERIES[query](None, "")
-    assert len(seen) == last
-    for got in seen.values():
-        assert got["params"] is None and got["max_iter"] == T.MAX_ROUNDS and got["refit"]
+    assert seen == [("all", ("train", Q.VALID_YEARS, query in ("predict_channels", "channel_metrics")), {})]
+
 
+def test_train_all_uses_defaults_and_refit(monkeypatch):
+    seen = []
+    for k in (1, 2, 3):
+        monkeypatch.setattr(T, f"train_stage{k}", lambda df, years, k=k, **named: seen.append((k, named)))
+    T.train_all("train", [2000])
+    assert sorted(seen) == [(k, {"max_iter": T.MAX_ROUNDS}) for k in (1, 2, 3)]
+    assert (T.MAX_ROUNDS, T.PATIENCE) == (2000, 50)
 
-def test_search_has_the_source_budget(calls):
-    seen, record = calls
-    record("search_stage1", True)
+
+@pytest.mark.parametrize("query, name, trials", [("param_search", "search_stage1", 50), ("param_search_regressor", "search_stage2", 50),
+                                                 ("param_search_channels", "search_stage3", 20)])
+def test_searches_have_the_source_budget(query, name, trials, monkeypatch):
+    import inspect
+    seen, real = [], inspect.signature(getattr(SE, name))
+    monkeypatch.setattr(Q, "_split", lambda spark, sf: ("train", "test"))
+    monkeypatch.setattr(SE, name, stop(seen, name))
     with pytest.raises(Called):
-        Q.QUERIES["param_search"](None, "")
-    assert (seen["search_stage1"]["n_trials"], seen["search_stage1"]["max_iter"]) == (50, 500)
+        Q.QUERIES[query](None, "")
+    bound = real.bind(*seen[0][1], **seen[0][2])
+    bound.apply_defaults()
+    assert (bound.arguments["n_trials"], bound.arguments["max_rounds"]) == (trials, 500)
+    assert bound.arguments["seconds"] == Q.SEARCH_SECONDS

@@ -23,7 +23,9 @@ def test_csv_columns_follow_each_files_header(spark, tmp_path):
     write(tmp_path / "b.csv", [("units", "country", "hashed_fc"), ("4", "CA", "S2")])
     write(tmp_path / "c.csv", [("hashed_fc", "units"), ("S3", "5")])
     (tmp_path / "d.csv").write_text("")
-    got = files.read_raw_csv(spark, str(tmp_path)).select("hashed_fc", "country", "units", "cogs").collect()
+    with pytest.raises(ValueError, match="c.csv lacks columns .'country'"):
+        files.read_raw_csv(spark, str(tmp_path))
+    got = files.read_raw_csv(spark, str(tmp_path), allow_missing=True).select("hashed_fc", "country", "units", "cogs").collect()
     assert sorted(map(tuple, got)) == [("S1", "US", 3, None), ("S2", "CA", 4, None), ("S3", None, 5, None)]
 
 
@@ -33,6 +35,65 @@ def test_csv_malformed_number_fails(spark, tmp_path):
         files.read_raw_csv(spark, str(tmp_path)).collect()
 
 
+def test_extensions_decide_the_reader(spark, tmp_path):
+    assert [files.resolve_format(p) for p in ("a.csv", "b/c.PARQUET", "s3a://x/y.tsv/")] == ["csv", "parquet", "csv"]
+    for bad, error in ((3, TypeError), ("plain", ValueError), ("a.xlsx", ValueError)):
+        with pytest.raises(error):
+            files.resolve_format(bad)
+    with pytest.raises(ValueError):
+        files.load(spark, [])
+
+
+def test_formats_are_stacked_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", [("hashed_fc", "units"), ("S1", "1")])
+    part = files.read_raw_csv(spark, str(tmp_path / "a.csv"))
+    part.select(*reversed(part.columns)).write.parquet(str(tmp_path / "b.parquet"))
+    both = files.load(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.parquet")])
+    assert sorted(map(tuple, both.select("hashed_fc", "units").collect())) == [("S1", 1), ("S1", 1)]
+
+
+def test_many_headers_are_read_side_by_side(spark, tmp_path):
+    for k in range(300):
+        write(tmp_path / f"f{k:03d}.csv", [("hashed_fc", "units") if k % 2 else ("units", "hashed_fc"), ("S", "1") if k % 2 else ("1", "S")])
+    groups = files.header_groups(spark, [str(tmp_path)])
+    assert sorted(map(len, groups.values())) == [150, 150]
+    assert files.read_raw_csv(spark, str(tmp_path)).where("hashed_fc = 'S' and units = 1").count() == 300
+
+
+def test_required_columns_and_row_counts(spark):
+    from yieldcast.operators import clean as C
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert C.require_columns(df, ["a"]) is df
+    with pytest.raises(ValueError, match="'c', 'd'"):
+        C.require_columns(df, ["d", "a", "c"])
+    assert sorted(map(tuple, C.row_counts(x=df, y=df.limit(0)).collect())) == [("x", 1, False), ("y", 0, False)]
+
+
+def test_names_follow_the_rule():
+    assert S.RECOVERY_TYPES["Return to Vendor"] == "return_to_vendor" and S.MACRO_CATEGORIES == {"RETAIL": "RETAIL", "FBA": "FBA"}
+    assert S.column_suffix("  Non  Food ") == "non_food"
+
+
+def test_values_are_shown_as_in_the_narrative(spark):
+    from yieldcast.functions.scalar import fmt_value
+    rows = [("share_food", 0.1234), ("prob_recovered_lag_1w", 12.5), ("units_total", 1234567.5), ("site_weight_total_week", 2.5), ("avg_cogs_per_unit", 1234.5678),
+            ("week", None), ("week", float("nan"))]
+    got = [r[0] for r in spark.createDataFrame(rows, "f string, v double").select(fmt_value("f", "v")).collect()]
+    assert got == ["12.3%", "1250.0%", "1,234,568", "2", "1234.568", "n/a", "n/a"]
+
+
+def test_samples_without_a_wide_shuffle(spark):
+    """Exact counts with repeated keys, strata with nulls, and the same rows as a full ranking."""
+    df = spark.createDataFrame([(k % 400, "abc"[k % 3] if k % 7 else None, float(k)) for k in range(1000)], "id int, g string, x double").repartition(5)
+    ranked = B.hash_rank(df, ["id", "x"], 9).where("_rank <= 37").select("id", "x")
+    assert sorted(map(tuple, B.sample_rows(df, 37, ["id", "x"], 9).select("id", "x").collect())) == sorted(map(tuple, ranked.collect()))
+    assert B.sample_rows(df, 5, ["id"], 1).count() == 5                          # ids repeat
+    assert B.sample_rows(df, 5000, ["id"]).count() == 1000 and B.sample_rows(df, 0, ["id"]).count() == 0
+    per = {r["g"]: r["count"] for r in B.stratified_sample(df, 40, "g", ["id", "x"]).groupBy("g").count().collect()}
+    assert per == {"a": 10, "b": 10, "c": 10, None: 10}
+    assert B.sample_rows(df.limit(0), 3, ["id"]).count() == 0
+
+
 def test_load_wants_equal_columns(spark, tmp_path):
     write(tmp_path / "a.csv", [("hashed_fc", "units"), ("S1", "1")])
     spark.createDataFrame([("S2",)], "hashed_fc string").write.parquet(str(tmp_path / "b.parquet"))

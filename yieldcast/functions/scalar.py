@@ -177,10 +177,13 @@ def short_label(c, n: int = 14) -> Column:
     return F.when(F.length(s) > n, F.concat(F.substring(s, 1, n), F.lit("\u2026"))).otherwise(s)
 
 
-def fmt_value(value, pct: bool = True) -> Column:
-    """F16: display form of a feature value (percent for rates, else 2 decimals)."""
-    v = col_(value).cast("double")
-    return (F.format_string("%.1f%%", v * 100) if pct else F.format_string("%.2f", v))
+def fmt_value(feature, value) -> Column:
+    """F16: display form of a feature's value: n/a, percent of shares and rates, whole units, else three places."""
+    name, v = col_(feature), col_(value).cast("double")
+    plain = [F.regexp_replace(F.format_number(x, k), ",", "") for x, k in ((v * 100, 1), (v, 3))]
+    return (F.when(v.isNull() | F.isnan(v), F.lit("n/a"))
+            .when(name.startswith("share_") | name.contains("prob_recovered"), F.concat(plain[0], F.lit("%")))
+            .when(name.rlike("(units|cogs|weight)_total"), F.format_number(v, 0)).otherwise(plain[1]))
 
 
 def majority_flag(share, threshold: float = 0.5) -> Column:

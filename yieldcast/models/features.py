@@ -1,15 +1,11 @@
-"""Model feature lists (fixed values, generated by their naming rule) and the feature matrix."""
+"""Model feature lists (fixed values, generated by their naming rule)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 from yieldcast import schema as S
+from yieldcast.operators.clean import resolve_features
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -51,44 +47,12 @@ STAGE3_EXTRA = ([c for ch in CHANNEL_SHORT for c in temporal(f"prob_{ch}")]
 STAGE3_BASELINE = ["baseline_share_mean", "baseline_share_std", "baseline_share_count"]
 STAGE3_FEATURES = STAGE1_FEATURES + STAGE3_EXTRA + STAGE3_BASELINE
 
-MISSING = -1.0e30   # below every real value: trees route missing values to one side
-HUGE = 1.0e30
+HUGE = 1.0e30        # stands for infinity where a quantile needs a finite value
 
 
 def numeric_and_categorical(features: Sequence[str], present: Sequence[str]):
-    have = set(present)
-    feats = [f for f in features if f in have]
+    """The features that a frame holds, in order, as (numeric, categories)."""
+    feats = resolve_features(present, features)
     cats = [f for f in feats if f in CATEGORICAL]
     nums = [f for f in feats if f not in CATEGORICAL]
     return nums, cats
-
-
-def prepare_numeric(df: DataFrame, nums: Sequence[str]) -> DataFrame:
-    """Missing (null/NaN) -> a sentinel below all values, +-inf -> +-1e30, in one projection.
-
-    Boosted trees split on order only, so the sentinel reproduces "missing
-    goes to its own side" without an imputation pass over the data.
-    """
-    def fix(c):
-        x = F.col(c).cast("double")
-        return (F.when(x.isNull() | F.isnan(x), F.lit(MISSING))
-                .when(x == float("inf"), F.lit(HUGE)).when(x == float("-inf"), F.lit(-HUGE))
-                .otherwise(x)).alias(f"_n_{c}")
-    return df.select("*", *[fix(c) for c in nums])
-
-
-def feature_stages(nums: Sequence[str], cats: Sequence[str], out: str = "features", tag: str = ""):
-    """StringIndexer (unseen -> extra index) for categoricals + VectorAssembler.
-
-    ``tag`` keeps the index columns of several models apart in one frame.
-    """
-    sfx = f"__{tag}" if tag else ""
-    idx = ([StringIndexer(inputCols=list(cats), outputCols=[f"_i_{c}{sfx}" for c in cats], handleInvalid="keep",
-                          stringOrderType="alphabetAsc")] if cats else [])
-    asm = VectorAssembler(inputCols=[f"_n_{c}" for c in nums] + [f"_i_{c}{sfx}" for c in cats], outputCol=out,
-                          handleInvalid="keep")
-    return idx + [asm]
-
-
-def cast_categoricals(df: DataFrame, cats: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) if c in cats else F.col(c) for c in df.columns])

@@ -1,44 +1,38 @@
-"""Three-stage training with Spark ML gradient-boosted trees.
+"""Three-stage training.
 
-stage 1  P(rate > 0)                GBTClassifier, positives weighted n_neg/n_pos
-stage 2  E(rate | rate > 0)         GBTRegressor on logit(rate), band weights,
+stage 1  P(rate > 0)                log loss, positives weighted n_neg/n_pos
+stage 2  E(rate | rate > 0)         squared error of logit(rate), band weights,
                                     site x GL baseline features (5% of pairs held out)
-stage 3  split over five channels   one GBTRegressor per channel on logit(channel / rate)
-
-Early stopping uses the last training year as validation fold
-(``validationIndicatorCol``); test years are never seen in training.
-Train from a published feature table (a written stage table or a reliable
-checkpoint): every MLlib step re-analyses its input plan, and the raw
-feature plan carries ~700 window/projection expressions.
-Parameter names map as max_depth->maxDepth, learning_rate->stepSize,
-n_estimators->maxIter, subsample->subsamplingRate,
-colsample_bytree->featureSubsetStrategy, min_child_weight->minInstancesPerNode.
-gamma (a minimum *total* loss reduction) is not mapped onto minInfoGain (a
-minimum *per-instance* impurity decrease): at the booster's values (0.1 to 3)
-it blocks every split and yields constant models. reg_alpha, reg_lambda and
-max_delta_step have no MLlib counterpart either; all four are ignored.
+stage 3  split over five channels   one model per channel, squared error of logit(channel / rate)
+
+The last training year chooses the number of rounds: training ends when the validation loss (log loss, or the mean absolute error of the rate)
+has not fallen for 50 rounds, and the best round counts. With ``refit`` the model is then fitted on all training years for that many rounds.
+Test years are never seen. A stage's rows are binned and written once (``prepare``); all rounds, the refit, all channels and all trials of a search
+read the same blocks. Baseline columns stand in them twice, under ``__early`` as known before the validation years.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.regression import GBTRegressor
+from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
 from yieldcast.functions.scalar import clipped_logit, sample_weight
+from yieldcast.models import booster as BO
 from yieldcast.models import features as MF
+from yieldcast.models.binning import MAX_BINS, Binning, binned_blocks, fit_binning
 from yieldcast.operators import baseline as B
 from yieldcast.operators import clean as C
-from yieldcast.operators import metrics as M
+from yieldcast.session import checkpoint_dir, ship_package
+from yieldcast.sources.stage import commit, delete, publish
 
 # ---------------------------------------------------------------------------
 # Default parameters per stage and per channel
@@ -70,126 +64,163 @@ DEFAULT_CHANNEL_PARAMS = {
                       "reg_alpha": 1.8970289690794687, "reg_lambda": 0.047716386888},
 }
 MAX_ROUNDS = 2000
-MIN_BINS = 64      # bins of a split search; more where a category column has more values
-
-# Search space of the parameter search (T6): (low, high, log scale, integer). The booster's gamma, reg_alpha,
-# reg_lambda and max_delta_step have no counterpart in Spark ML trees and are not searched.
-SEARCH_SPACE = {
-    "max_depth": (3, 8, False, True),
-    "learning_rate": (0.01, 0.3, True, False),
-    "subsample": (0.5, 1.0, False, False),
-    "colsample_bytree": (0.4, 1.0, False, False),
-    "min_child_weight": (1, 50, False, True),
-}
-
-
-def gbt_params(params: dict, max_iter: int, seed: int = S.SEED) -> dict:
-    """Map tree-booster parameter names onto Spark ML GBT parameters."""
-    out = {"maxIter": int(params.get("n_estimators", max_iter)), "seed": seed, "maxBins": MIN_BINS,
-           "validationTol": 0.001}
-    if "max_depth" in params:
-        if params["max_depth"] > 30:
-            raise ValueError("Spark ML trees are at most 30 levels deep")
-        out["maxDepth"] = int(params["max_depth"])
-    if "learning_rate" in params:
-        out["stepSize"] = float(params["learning_rate"])
-    if "subsample" in params:
-        out["subsamplingRate"] = float(params["subsample"])
-    if "colsample_bytree" in params:
-        out["featureSubsetStrategy"] = repr(float(params["colsample_bytree"]))
-    if "min_child_weight" in params:
-        out["minInstancesPerNode"] = max(1, int(params["min_child_weight"]))
-    return out
+PATIENCE = 50            # rounds without a better validation loss that end training
+EARLY = "__early"        # baseline columns as known before the validation years
 
 
 @dataclass
 class StageModel:
-    """A fitted stage: the pipeline, its feature lists and lookup tables."""
-    pipeline: PipelineModel
-    nums: list[str]
-    cats: list[str]
+    """A fitted stage: trees over binned features, and lookup tables."""
+    ensemble: BO.Ensemble
     params: dict
     lookups: dict[str, DataFrame] = field(default_factory=dict)
 
+    @property
+    def nums(self) -> list[str]:
+        return self.ensemble.binning.nums
+
+    @property
+    def cats(self) -> list[str]:
+        return self.ensemble.binning.cats
+
+    @property
+    def rounds(self) -> int:
+        return len(self.ensemble.trees)
+
+    def margin(self, df: DataFrame):
+        """The raw margin as a column over a frame with the model's features."""
+        return self.ensemble.column(df)
+
     def save(self, path: str) -> None:
-        """Pipeline via ML persistence, lookups as parquet, lists as JSON."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        for name, df in self.lookups.items():
-            df.write.mode("overwrite").parquet(f"{path}/lookup_{name}")
+        """Tree nodes and lookups as parquet, the rest as JSON; the folder appears whole, by a rename."""
         spark = SparkSession.getActiveSession()
-        meta = json.dumps({"nums": self.nums, "cats": self.cats, "params": self.params,
-                           "lookups": sorted(self.lookups)})
-        spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+        e = self.ensemble
+        nodes = [(t, i, int(tree.feature[i]), int(tree.left[i]), int(tree.right[i]), bytearray(tree.side[i].tobytes()), float(tree.value[i]),
+                  float(tree.cover[i]), float(tree.gain[i])) for t, tree in enumerate(e.trees) for i in range(len(tree.feature))]
+        meta = json.dumps({"binning": vars(e.binning), "base": e.base, "objective": e.objective, "history": e.history, "params": self.params,
+                           "lookups": sorted(self.lookups), "rounds": len(e.trees)})
+
+        def write(to: str) -> None:
+            spark.createDataFrame(nodes, NODE).coalesce(1).write.parquet(f"{to}/trees")
+            for name, df in self.lookups.items():
+                df.write.parquet(f"{to}/lookup_{name}")
+            spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.text(f"{to}/meta")
+            commit(spark, to)
+
+        publish(spark, path, write)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "StageModel":
         meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-        pipe = PipelineModel.load(f"{path}/pipeline")
-        if not isinstance(pipe, PipelineModel):
-            raise TypeError(f"expected a PipelineModel at {path}")
+        if not {"binning", "objective", "rounds"} <= set(meta):
+            raise TypeError(f"expected a stage model at {path}")
+        binning = Binning(**meta["binning"])
+        table = spark.read.schema(NODE).parquet(f"{path}/trees").toPandas().sort_values(["tree", "node"])
+        trees = [BO.Tree(*(part[c].to_numpy(np.int32) for c in ("feature", "left", "right")),
+                         np.stack([np.frombuffer(b, dtype=bool) for b in part["side"]]), *(part[c].to_numpy(np.float64) for c in ("value", "cover", "gain")))
+                 for _, part in table.groupby("tree", sort=True)]
+        if len(trees) != meta["rounds"]:
+            raise ValueError(f"{path} holds {len(trees)} of {meta['rounds']} trees")
         lookups = {n: spark.read.parquet(f"{path}/lookup_{n}") for n in meta["lookups"]}
-        return StageModel(pipe, meta["nums"], meta["cats"], meta["params"], lookups)
-
-
-def _bins_for(data: DataFrame, cats: Sequence[str]) -> int:
-    """Bins that hold every value of the widest category column and the slot for unseen ones."""
-    if not cats:
-        return MIN_BINS
-    counts = data.agg(*[F.count_distinct(F.col(c)).alias(c) for c in cats]).first()
-    return max(MIN_BINS, max(counts) + 2)
-
-
-def _fit(df: DataFrame, features: Sequence[str], estimator, cache: bool = True,
-         extra: Sequence[str] = ("label", "weight", "is_valid")) -> StageModel:
-    nums, cats = MF.numeric_and_categorical(features, df.columns)
-    data = MF.prepare_numeric(MF.cast_categoricals(df, cats), nums)
-    # only the model inputs are cached (not the 700-column feature row), spread over
-    # all task slots: every boosting round scans this frame, and its size in bytes
-    # says little about the CPU each round needs
-    data = data.select(*[f"_n_{c}" for c in nums], *cats, *[c for c in extra if c in df.columns])
-    data = data.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    if cache:
-        data = data.persist()
-    try:
-        estimator = estimator.copy({estimator.maxBins: _bins_for(data, cats)})
-        pipe = Pipeline(stages=MF.feature_stages(nums, cats) + [estimator]).fit(data)
-    finally:
-        if cache:
-            data.unpersist()
-    return StageModel(pipe, nums, cats, {})
+        return StageModel(BO.Ensemble(binning, trees, meta["base"], meta["objective"], meta["history"]), meta["params"], lookups)
 
 
-def _all_years(estimator, chosen: StageModel):
-    """The estimator without early stopping, for as many rounds as the early-stopped fit kept."""
-    rounds = chosen.pipeline.stages[-1].getNumTrees
-    plain = estimator.copy({estimator.maxIter: rounds})
-    plain.clear(plain.validationIndicatorCol)
-    return plain
+NODE = "tree int, node int, feature int, left int, right int, side binary, value double, cover double, gain double"
+
+
+# ---------------------------------------------------------------------------
+# Prepared rows of a stage
+# ---------------------------------------------------------------------------
+
+@dataclass
+class Prepared:
+    """Binned blocks of a stage's rows, ready for any number of fits."""
+    spark: SparkSession
+    binning: Binning
+    blocks: RDD
+    path: str
+    objective: str
+    early: list[str] = field(default_factory=list)      # baseline columns that stand twice
+
+    def __enter__(self) -> "Prepared":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.blocks.unpersist()
+        delete(self.spark, self.path)
+
+    def features(self, names: Sequence[str], final: bool) -> list[int]:
+        """Places of the named features; baseline columns as known early, or for the ``final`` fit."""
+        at = {n: i for i, n in enumerate(self.binning.names)}
+        return [at[n + EARLY if n in self.early and not final else n] for n in names]
+
+    def boost(self, names: Sequence[str], params: dict, rounds: int, patience: int | None = PATIENCE, target: int = 0, final: bool = False,
+              watch=None) -> BO.Ensemble:
+        features = self.features(names, final)
+        fitted = BO.boost(self.blocks, self.binning, self.objective, params, rounds, None if final else patience, target, features, S.SEED, final, watch)
+        return fitted.narrowed(features, names)
+
+    def fit(self, names: Sequence[str], params: dict, rounds: int, target: int = 0, refit: bool = True) -> BO.Ensemble:
+        """Rounds chosen on the validation rows; with ``refit`` fitted again on all rows for that many (one at least)."""
+        chosen = self.boost(names, params, rounds, target=target)
+        if not refit:
+            return chosen
+        final = self.boost(names, params, max(1, len(chosen.trees)), target=target, final=True)
+        final.history = chosen.history
+        return final
+
+
+def prepare(df: DataFrame, nums: Sequence[str], cats: Sequence[str], labels: Sequence[str], objective: str, weights: Sequence[str] = (),
+            valid: str = "is_valid", early: Sequence[str] = (), max_bins: int = MAX_BINS) -> Prepared:
+    """Bin a stage's rows and write them as blocks. Cut points come from the fitted rows, categories from all."""
+    spark = df.sparkSession
+    ship_package(spark)
+    columns = list(dict.fromkeys([*nums, *cats, *labels, *weights, valid]))
+    narrow = df.select(*columns).persist()
+    try:
+        binning = fit_binning(narrow.where(~F.col(valid)), nums, [], max_bins)
+        known = fit_binning(narrow, [], cats)
+        binning = Binning(binning.nums, binning.cuts, known.cats, known.levels)
+        path = f"{checkpoint_dir(spark)}/blocks-{uuid.uuid4().hex}"
+        binned_blocks(narrow.repartition(spark.sparkContext.defaultParallelism), binning, labels, weights, valid).write.parquet(path)
+    finally:
+        narrow.unpersist()
+    blocks = BO.as_blocks(spark.read.parquet(path), binning, len(labels))
+    return Prepared(spark, binning, blocks, path, objective, list(early))
 
 
 def with_validation_flag(df: DataFrame, valid_years: Sequence[int]) -> DataFrame:
     return df.withColumn("is_valid", F.col(S.YEAR).isin(list(valid_years)))
 
 
+# ---------------------------------------------------------------------------
+# Stage 1
+# ---------------------------------------------------------------------------
+
+def prepare_stage1(df_train: DataFrame, valid_years: Sequence[int]) -> tuple[Prepared, list[str]]:
+    data = df_train.withColumn("label", C.binary_label())
+    B.require_positives(data)
+    data = with_validation_flag(B.with_class_weight(data, "label", "weight"), valid_years)
+    nums, cats = MF.numeric_and_categorical(MF.STAGE1_FEATURES, data.columns)
+    return prepare(data, nums, cats, ["label"], "logistic", ["weight"]), [*nums, *cats]
+
+
 def train_stage1(df_train: DataFrame, valid_years: Sequence[int], params: dict | None = None,
                  max_iter: int = MAX_ROUNDS, refit: bool = True) -> StageModel:
-    """Class-weighted GBT classifier of P(rate > 0).
+    """Class-weighted boosted classifier of P(rate > 0).
 
     The validation years choose the number of rounds; with ``refit`` the model is then fitted on all years.
     """
     params = dict(DEFAULT_CLF_PARAMS if params is None else params)
-    data = df_train.withColumn("label", C.binary_label())
-    B.require_positives(data)
-    data = with_validation_flag(B.with_class_weight(data, "label", "weight"), valid_years)
-    est = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                        validationIndicatorCol="is_valid", **gbt_params(params, max_iter))
-    model = _fit(data, MF.STAGE1_FEATURES, est)
-    if refit:
-        model = _fit(data.drop("is_valid"), MF.STAGE1_FEATURES, _all_years(est, model))
-    model.params = params
-    return model
+    prepared, names = prepare_stage1(df_train, valid_years)
+    with prepared:
+        return StageModel(prepared.fit(names, params, max_iter, refit=refit), params)
 
 
+# ---------------------------------------------------------------------------
+# Stage 2
+# ---------------------------------------------------------------------------
+
 def stage2_baselines(df_train_nz: DataFrame, holdout_fraction: float = S.HOLDOUT_FRACTION,
                      seed: int = S.SEED):
     bl = B.site_gl_baseline(df_train_nz)
@@ -198,43 +229,54 @@ def stage2_baselines(df_train_nz: DataFrame, holdout_fraction: float = S.HOLDOUT
     return bl, seen, pri
 
 
-def _stage2_frame(nz: DataFrame) -> DataFrame:
-    return nz.select("*", clipped_logit(S.RATE, S.LOGIT_EPS_STAGE2).alias("label"), sample_weight(S.RATE).alias("weight"))
+def stage2_data(nz: DataFrame, valid_years: Sequence[int], holdout_fraction: float = S.HOLDOUT_FRACTION) -> tuple[DataFrame, DataFrame, dict]:
+    """Stage 2 rows with label, weight, is_valid and both sets of baseline columns; the full baseline and the priors.
 
+    Early columns come from the years before validation: fitted rows see them without the held-out pairs, validation rows see all.
+    Final ones come from all years without the held-out pairs. All are worked out per pair; the wide rows are joined once.
+    """
+    nz = with_validation_flag(nz, valid_years)
+    bl0, seen0, pri0 = stage2_baselines(nz.filter(~F.col("is_valid")), holdout_fraction)
+    bl, seen, pri = stage2_baselines(nz, holdout_fraction)
+    pairs = nz.select(*B.PAIR).distinct()
 
-def stage2_data(nz: DataFrame, valid_years: Sequence[int], holdout_fraction: float = S.HOLDOUT_FRACTION) -> DataFrame:
-    """Stage 2 rows for choosing rounds: baselines come from the years before validation only.
+    def filled(table, priors, tag):
+        out = B.fill_baseline(B.join_baseline(pairs, table), priors)
+        return out.select(*B.PAIR, *[F.col(c).alias(f"{c}__{tag}") for c in MF.STAGE2_BASELINE])
 
-    Fitted rows see them without the held-out pairs, validation rows see all of them.
-    """
-    valid = F.col(S.YEAR).isin(list(valid_years))
-    bl, seen, pri = stage2_baselines(nz.filter(~valid), holdout_fraction)
-    fitted = B.fill_baseline(B.join_baseline(nz.filter(~valid), seen), pri).withColumn("is_valid", F.lit(False))
-    held = B.fill_baseline(B.join_baseline(nz.filter(valid), bl), pri).withColumn("is_valid", F.lit(True))
-    return _stage2_frame(fitted.unionByName(held))
+    looked = B.join_pairs(B.join_pairs(filled(seen, pri, "final"), filled(seen0, pri0, "fit")), filled(bl0, pri0, "held"))
+    wide = B.join_pairs(nz, looked)
+    columns = [F.col(f"{c}__final").alias(c) for c in MF.STAGE2_BASELINE]
+    columns += [F.when(F.col("is_valid"), F.col(f"{c}__held")).otherwise(F.col(f"{c}__fit")).alias(c + EARLY) for c in MF.STAGE2_BASELINE]
+    data = wide.select(*nz.columns, *columns, clipped_logit(S.RATE, S.LOGIT_EPS_STAGE2).alias("label"), sample_weight(S.RATE).alias("weight"))
+    return data, bl, pri
+
+
+def prepare_stage2(df_train: DataFrame, valid_years: Sequence[int], holdout_fraction: float = S.HOLDOUT_FRACTION):
+    data, bl, pri = stage2_data(C.positive_rate(df_train), valid_years, holdout_fraction)
+    nums, cats = MF.numeric_and_categorical(MF.STAGE2_FEATURES, data.columns)
+    extra = [c + EARLY for c in MF.STAGE2_BASELINE]
+    return prepare(data, [*nums, *extra], cats, ["label"], "squared", ["weight"], early=MF.STAGE2_BASELINE), [*nums, *cats], bl, pri
 
 
 def train_stage2(df_train: DataFrame, valid_years: Sequence[int], params: dict | None = None,
                  max_iter: int = MAX_ROUNDS, holdout_fraction: float = S.HOLDOUT_FRACTION, refit: bool = True) -> StageModel:
-    """GBT regressor on logit(rate) over positive rows, band weights, baseline features.
+    """Boosted regressor on logit(rate) over positive rows, band weights, baseline features.
 
     The validation years choose the number of rounds; with ``refit`` the model is then fitted on all
     years, with baselines of all years (which scoring looks up).
     """
     params = dict(DEFAULT_REG_PARAMS if params is None else params)
-    nz = C.positive_rate(df_train)
-    bl, seen, pri = stage2_baselines(nz, holdout_fraction)
-    est = GBTRegressor(featuresCol="features", labelCol="label", weightCol="weight",
-                       validationIndicatorCol="is_valid", **gbt_params(params, max_iter))
-    model = _fit(stage2_data(nz, valid_years, holdout_fraction), MF.STAGE2_FEATURES, est)
-    if refit:
-        every = _stage2_frame(B.fill_baseline(B.join_baseline(nz, seen), pri))
-        model = _fit(every, MF.STAGE2_FEATURES, _all_years(est, model))
-    model.params = params
-    model.lookups = {"site_gl_baseline": bl, **{f"prior_{k}": v for k, v in pri.items()}}
-    return model
+    prepared, names, bl, pri = prepare_stage2(df_train, valid_years, holdout_fraction)
+    with prepared:
+        fitted = prepared.fit(names, params, max_iter, refit=refit)
+    return StageModel(fitted, params, {"site_gl_baseline": bl, **{f"prior_{k}": v for k, v in pri.items()}})
 
 
+# ---------------------------------------------------------------------------
+# Stage 3
+# ---------------------------------------------------------------------------
+
 def channel_baseline_cols(channel: str) -> list[str]:
     return [f"{c}__{channel}" for c in MF.STAGE3_BASELINE]
 
@@ -249,104 +291,60 @@ def share_baselines_long(df_train_nz: DataFrame, channels: Sequence[str] = MF.ST
         F.count(s).alias("baseline_share_count"))
 
 
-def join_share_baselines(df: DataFrame, long: DataFrame, channels: Sequence[str] = MF.STAGE3_CHANNELS) -> DataFrame:
-    """Pivot the channel baselines wide (one join for all channels); missing -> 0."""
+def share_baselines_wide(long: DataFrame, channels: Sequence[str] = MF.STAGE3_CHANNELS) -> DataFrame:
+    """One row per (site, GL) with the baselines of all channels."""
     wide = long.groupBy(S.SITE, S.GL).pivot("channel", list(channels)).agg(
         *[F.first(c).alias(c) for c in MF.STAGE3_BASELINE])
-    renamed = wide.select(S.SITE, S.GL, *[F.col(f"`{ch}_{c}`").alias(f"{c}__{ch}")
+    return wide.select(S.SITE, S.GL, *[F.col(f"`{ch}_{c}`").alias(f"{c}__{ch}")
                                             for ch in channels for c in MF.STAGE3_BASELINE])
-    out = df.join(renamed, on=[S.SITE, S.GL], how="left")
+
+
+def join_share_baselines(df: DataFrame, long: DataFrame, channels: Sequence[str] = MF.STAGE3_CHANNELS) -> DataFrame:
+    """One join of the channel baselines; missing -> 0."""
+    out = B.join_pairs(df, share_baselines_wide(long, channels))
     return out.fillna(0.0, subset=[c for ch in channels for c in channel_baseline_cols(ch)])
 
 
+def prepare_stage3(df_train: DataFrame, valid_years: Sequence[int], channels: Sequence[str] = MF.STAGE3_CHANNELS):
+    """One set of blocks for all channels: a label per channel, early and final share baselines of each."""
+    nz = with_validation_flag(C.positive_rate(df_train), valid_years)
+    long = share_baselines_long(nz, channels)
+    early = share_baselines_long(nz.filter(~F.col("is_valid")), channels)
+    every = [c for ch in channels for c in channel_baseline_cols(ch)]
+    before = share_baselines_wide(early, channels).select(*B.PAIR, *[F.col(c).alias(c + EARLY) for c in every])
+    looked = share_baselines_wide(long, channels).join(before, B.PAIR, "left")
+    data = B.join_pairs(nz, looked).fillna(0.0, subset=every + [c + EARLY for c in every])
+    share = [clipped_logit(F.coalesce(F.col(ch) / F.col(S.RATE), F.lit(0.0)), S.LOGIT_EPS_STAGE3).alias(f"label_{ch}") for ch in channels]
+    data = data.select("*", *share)
+    nums, cats = MF.numeric_and_categorical(MF.STAGE1_FEATURES + MF.STAGE3_EXTRA, data.columns)
+    prepared = prepare(data, [*nums, *every, *[c + EARLY for c in every]], cats, [f"label_{ch}" for ch in channels], "squared", early=every)
+    return prepared, {ch: [*nums, *channel_baseline_cols(ch), *cats] for ch in channels}, long
+
+
 def train_stage3(df_train: DataFrame, valid_years: Sequence[int], params: dict | None = None,
                  max_iter: int = MAX_ROUNDS, channels: Sequence[str] = MF.STAGE3_CHANNELS,
                  parallelism: int = 5, refit: bool = True) -> dict[str, StageModel]:
-    """T4: one GBT regressor per channel on logit(share), fitted concurrently on one cached frame.
+    """T4: one boosted regressor per channel on logit(share), fitted concurrently on one set of blocks.
 
     Share baselines of the rounds-choosing fit come from the years before validation; with ``refit``
     each channel is then fitted on all years with their baselines (which scoring looks up).
     """
-    nz = C.positive_rate(df_train)
-    valid = F.col(S.YEAR).isin(list(valid_years))
-    long = share_baselines_long(nz, channels)
-    chosen = _fit_channels(join_share_baselines(nz, share_baselines_long(nz.filter(~valid), channels), channels)
-                           .withColumn("is_valid", valid), channels, params, max_iter, parallelism)
-    if refit:
-        rounds = {ch: m.pipeline.stages[-1].getNumTrees for ch, m in chosen.items()}
-        chosen = _fit_channels(join_share_baselines(nz, long, channels), channels, params, max_iter, parallelism, rounds)
-    for model in chosen.values():
-        model.lookups = {"share_baseline": long}
-    return chosen
-
-
-def _fit_channels(data: DataFrame, channels: Sequence[str], params: dict | None, max_iter: int, parallelism: int,
-                  rounds: dict[str, int] | None = None) -> dict[str, StageModel]:
-    """All channel models on one prepared frame: early-stopped on ``is_valid``, or of given numbers of rounds."""
-    nums, cats = MF.numeric_and_categorical(MF.STAGE1_FEATURES + MF.STAGE3_EXTRA, data.columns)
-    all_nums = nums + [c for ch in channels for c in channel_baseline_cols(ch)]
-    prepared = (MF.prepare_numeric(MF.cast_categoricals(data, cats), all_nums)
-                .select(*[f"_n_{c}" for c in all_nums], *cats, *[c for c in ["is_valid"] if rounds is None], *channels, S.RATE)
-                .repartition(data.sparkSession.sparkContext.defaultParallelism).persist())
-    bins = _bins_for(prepared, cats)
+    prepared, names, long = prepare_stage3(df_train, valid_years, channels)
 
-    def fit_one(ch):
+    def fit_one(k_ch):
+        k, ch = k_ch
         p = dict(DEFAULT_CHANNEL_PARAMS.get(ch, DEFAULT_REG_PARAMS) if params is None else params)
-        d = prepared.withColumn(f"label_{ch}", clipped_logit(F.col(ch) / F.col(S.RATE), S.LOGIT_EPS_STAGE3))
-        ch_nums = nums + channel_baseline_cols(ch)
-        est = GBTRegressor(featuresCol=f"features_{ch}", labelCol=f"label_{ch}", predictionCol=f"raw_{ch}",
-                           **gbt_params(p, rounds[ch] if rounds else max_iter)).setMaxBins(bins)
-        if rounds is None:
-            est.setValidationIndicatorCol("is_valid")
-        pipe = Pipeline(stages=MF.feature_stages(ch_nums, cats, out=f"features_{ch}", tag=ch) + [est]).fit(d)
-        return ch, StageModel(pipe, ch_nums, cats, p, {})
+        return ch, StageModel(prepared.fit(names[ch], p, max_iter, target=k, refit=refit), p, {"share_baseline": long})
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            return dict(pool.map(fit_one, channels))
-    finally:
-        prepared.unpersist()
+    with prepared, ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return dict(pool.map(fit_one, enumerate(channels)))
 
 
-# ---------------------------------------------------------------------------
-# Parameter search
-# ---------------------------------------------------------------------------
-
-def draw_trials(n: int, seed: int = S.SEED, space: dict = SEARCH_SPACE) -> list[dict]:
-    """Seeded random draws from the search space (log-uniform where marked)."""
-    rng = np.random.default_rng(seed)
-    trials = []
-    for _ in range(n):
-        p = {}
-        for k, (lo, hi, log, integer) in space.items():
-            v = float(np.exp(rng.uniform(np.log(lo), np.log(hi)))) if log else float(rng.uniform(lo, hi))
-            p[k] = int(round(v)) if integer else v
-        trials.append(p)
-    return trials
-
-
-def search_stage1(df_train: DataFrame, valid_years: Sequence[int], n_trials: int, max_iter: int,
-                  seed: int = S.SEED, parallelism: int = 4, dump_to: str | None = None) -> DataFrame:
-    """Fit n seeded trials on the training years, score average precision on the
-    validation fold; returns the trial table sorted best first (S9: ``dump_to`` writes it as JSON)."""
-    spark = df_train.sparkSession
-    fit_part = df_train.filter(~F.col(S.YEAR).isin(list(valid_years)))
-    valid = df_train.filter(F.col(S.YEAR).isin(list(valid_years)))
-    inner_valid = sorted({int(r[0]) for r in fit_part.agg(F.max(S.YEAR)).collect()})
-
-    def run(i_p):
-        i, p = i_p
-        m = train_stage1(fit_part, inner_valid, p, max_iter)
-        from yieldcast.models.score import score_stage1
-        scored = score_stage1(m, valid).withColumn("label", C.binary_label())
-        ap = M.average_precision(scored, "p_nonzero", "label").first()[0]
-        return (i, json.dumps(p, sort_keys=True), float(ap) if ap is not None else None)
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, enumerate(draw_trials(n_trials, seed))))
-    table = spark.createDataFrame(rows, "trial int, params string, value double")
-    table = table.orderBy(F.desc_nulls_last("value"), "trial")
-    if dump_to:
-        from yieldcast.sources.files import write_json
-        write_json(table, dump_to)
-    return table
+def train_all(df_train: DataFrame, valid_years: Sequence[int], channels: bool = True, max_iter: int = MAX_ROUNDS):
+    """All stages with their defaults, fitted side by side: (stage 1, stage 2, stage 3 or None)."""
+    jobs = [lambda: train_stage1(df_train, valid_years, max_iter=max_iter), lambda: train_stage2(df_train, valid_years, max_iter=max_iter)]
+    if channels:
+        jobs.append(lambda: train_stage3(df_train, valid_years, max_iter=max_iter))
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        done = [j.result() for j in [pool.submit(job) for job in jobs]]
+    return (*done, None)[:3]

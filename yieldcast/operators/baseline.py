@@ -20,7 +20,6 @@ from yieldcast.functions.scalar import fixed_point_mean
 
 PAIR = [S.SITE, S.GL]
 BASELINE_COLS = ["site_gl_mean_rate", "site_gl_std_rate", "site_gl_n_nonzero_weeks"]
-SHARE_BASELINE_COLS = ["baseline_share_mean", "baseline_share_std", "baseline_share_count"]
 
 
 def _mean(t, decimals):
@@ -80,6 +79,24 @@ def fill_baseline(df: DataFrame, priors: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def join_pairs(df: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """Left join of a table with one row per (site, GL); null keys match each other."""
+    right = looked_up.select(*[F.col(k).alias(f"_{k}") for k in PAIR], *[c for c in looked_up.columns if c not in PAIR])
+    on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PAIR]
+    return df.join(right, on, "left").drop(*[f"_{k}" for k in PAIR])
+
+
+def with_baselines(df: DataFrame, baseline: DataFrame, priors: dict[str, DataFrame], min_support: int | None = None) -> DataFrame:
+    """J2, J3 and optionally C5: baseline columns of the wide rows by one join.
+
+    Fallbacks are resolved on the distinct (site, GL) pairs, so the wide rows are shuffled once, by the pair.
+    """
+    pairs = fill_baseline(join_baseline(df.select(*PAIR).distinct(), baseline), priors)
+    if min_support:
+        pairs = shrink_low_support(pairs, priors, min_support)
+    return join_pairs(df.drop(*BASELINE_COLS), pairs)
+
+
 def shrink_low_support(df: DataFrame, priors: dict[str, DataFrame], min_support: int = S.MIN_SUPPORT) -> DataFrame:
     """Pairs seen in fewer than ``min_support`` weeks fall back to the priors."""
     low = F.col("site_gl_n_nonzero_weeks") < min_support
@@ -117,9 +134,7 @@ def hash_rank(df: DataFrame, key_cols: Sequence[str], seed: int = S.SEED,
     only. A stratum holding a third of all rows is still spread over all
     buckets. The result is exact and repeatable for a given seed.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
-    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
-    hashed = df.select("*", h.alias("_h")).withColumn("_b", F.shiftright("_h", 60 - HASH_BUCKET_BITS))
+    hashed = df.select("*", _hash_order(key_cols, seed).alias("_h")).withColumn("_b", F.shiftright("_h", 60 - HASH_BUCKET_BITS))
     counts = hashed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*strata, "_b", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off"))
@@ -135,22 +150,71 @@ def holdout_pairs(baseline: DataFrame, fraction: float = S.HOLDOUT_FRACTION, see
     return ranked.crossJoin(F.broadcast(n)).filter(F.col("_rank") <= F.col("_k")).select(*PAIR)
 
 
+def holdout_share(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows, rows whose (site, GL) pair is held out, and their share."""
+    marked = join_pairs(df.select(*PAIR), pairs.select(*PAIR, F.lit(1).alias("_held")))
+    held = F.count("_held")
+    return marked.agg(F.count(F.lit(1)).alias("n_rows"), held.alias("n_held_out"), F.try_divide(held.cast("double"), F.count(F.lit(1))).alias("held_out_share"))
+
+
 def remove_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
     """Anti join on (site, GL)."""
     return df.join(pairs, on=PAIR, how="left_anti")
 
 
+def _hash_order(key_cols: Sequence[str], seed: int):
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def mark_sample(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = S.SEED, strata: Sequence[str] = (),
+                per_stratum: bool = False) -> DataFrame:
+    """Add ``_picked``: whether a row is among the n first of its stratum by the hash order of ``hash_rank``.
+
+    With ``per_stratum`` n is shared out: max(1, n // #strata) each. Wide rows are not shuffled. Rows per (stratum, hash bucket) tell in which bucket
+    the n-th row lies; the hashes of that bucket alone are ranked, which gives the hash of the n-th row. A row is picked if its hash is
+    smaller; the few rows with just that hash are ranked by their keys.
+    """
+    strata = list(strata)
+    hashed = df.withColumn("_h", _hash_order(key_cols, seed))
+    null_safe = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_s{i}") for i, c in enumerate(strata)]
+    null_safe += [F.col(c).isNull().alias(f"_z{i}") for i, c in enumerate(strata)]
+    keys = [f"_s{i}" for i in range(len(strata))] + [f"_z{i}" for i in range(len(strata))]
+    slim = hashed.select(*null_safe, "_h", F.shiftright("_h", 60 - HASH_BUCKET_BITS).alias("_b"))
+    counts = slim.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    quota = F.lit(n).cast("bigint")
+    if per_stratum:
+        share = slim.select(*keys).distinct().agg(F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(n) / F.count(F.lit(1)))).alias("_q"))
+        counts, quota = counts.crossJoin(F.broadcast(share)), F.col("_q")
+    counts = counts.withColumn("_off", F.coalesce(F.sum("_n").over(run), F.lit(0).cast("bigint"))).withColumn("_want", quota - F.col("_off"))
+    last = counts.where((F.col("_want") > 0) & (F.col("_want") <= F.col("_n"))).select(*keys, "_b", "_want")
+    at = Window.partitionBy(*keys).orderBy("_h")
+    ranked = slim.join(last, [*keys, "_b"]).withColumn("_r", F.row_number().over(at)).withColumn("_lo", F.rank().over(at))
+    edge = ranked.where("_r = _want").select(*keys, F.col("_h").alias("_edge"), (F.col("_want") - F.col("_lo") + 1).alias("_ties"))
+    if not strata:
+        # one row at most: all rows are taken where there are fewer than n
+        edge = edge.agg(F.first("_edge").alias("_edge"), F.first("_ties").alias("_ties"))
+        both = hashed.crossJoin(F.broadcast(edge))
+    else:
+        both = hashed.select("*", *null_safe).join(edge, keys, "left")
+    none = n <= 0
+    by_key = Window.partitionBy(*keys).orderBy(*key_cols)
+    sure = both.where(F.col("_edge").isNull() | (F.col("_h") != F.col("_edge")))
+    sure = sure.select(*df.columns, (F.lit(not none) & (F.col("_edge").isNull() | (F.col("_h") < F.col("_edge")))).alias("_picked"))
+    tied = both.where(F.col("_h") == F.col("_edge")).withColumn("_k", F.row_number().over(by_key))
+    return sure.unionAll(tied.select(*df.columns, (F.col("_k") <= F.col("_ties")).alias("_picked")))
+
+
 def sample_rows(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = S.SEED) -> DataFrame:
     """M3: n rows (all when fewer), by seeded hash order."""
-    return hash_rank(df, key_cols, seed).filter(F.col("_rank") <= n).drop("_rank")
+    return mark_sample(df, n, key_cols, seed).filter("_picked").drop("_picked")
 
 
 def stratified_sample(df: DataFrame, n: int, stratum: str, key_cols: Sequence[str],
                       seed: int = S.SEED) -> DataFrame:
     """M2: equal count per stratum, max(1, n // #strata), capped by stratum size."""
-    quota = df.agg(F.greatest(F.lit(1), F.floor(F.lit(n) / F.count_distinct(F.col(stratum)))).alias("_q"))
-    ranked = hash_rank(df, key_cols, seed, strata=[stratum])
-    return ranked.crossJoin(F.broadcast(quota)).filter(F.col("_rank") <= F.col("_q")).drop("_rank", "_q")
+    return mark_sample(df, n, key_cols, seed, [stratum], per_stratum=True).filter("_picked").drop("_picked")
 
 
 def band_sample(df: DataFrame, n: int, key_cols: Sequence[str], rate: str = S.RATE,
@@ -206,19 +270,6 @@ def exclude_constant_sites(df: DataFrame, values: Sequence[float] = (1.0,), rate
     return df
 
 
-def channel_share(df_nz: DataFrame, channel: str, rate: str = S.RATE) -> DataFrame:
-    """Stage 3 target: a channel's share of the recovered rate (rows with rate > 0)."""
-    return df_nz.withColumn("_share", F.col(channel) / F.col(rate))
-
-
-def share_baseline(df_share: DataFrame) -> DataFrame:
-    """Per (site, GL) mean, std and count of the channel share."""
-    s = F.col("_share")
-    return df_share.groupBy(*PAIR).agg(F.avg(s).alias("baseline_share_mean"),
-                                       F.stddev_samp(s).alias("baseline_share_std"),
-                                       F.count(s).alias("baseline_share_count"))
-
-
 def semi_join_keys(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keep rows whose key is in ``keys_df`` (IN (subquery))."""
     return df.join(keys_df.select(*on), on=list(on), how="left_semi")

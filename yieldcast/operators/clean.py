@@ -126,9 +126,9 @@ def binary_label(rate: str = S.RATE) -> F.Column:
     return (F.col(rate) > 0).cast("double")
 
 
-def resolve_features(df: DataFrame, wanted: Sequence[str]) -> list[str]:
-    """The wanted feature names present in the frame, in wanted order."""
-    have = set(df.columns)
+def resolve_features(present: Sequence[str], wanted: Sequence[str]) -> list[str]:
+    """The wanted names among those present, in wanted order."""
+    have = set(present)
     return [c for c in wanted if c in have]
 
 
@@ -153,6 +153,24 @@ def data_checks(df: DataFrame, rate: str = S.RATE, units: str = "units_total",
     return df.agg(*checks)
 
 
+def require_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The frame itself, or an error that names the columns it lacks."""
+    lacking = sorted(set(names) - set(df.columns))
+    if lacking:
+        raise ValueError(f"missing columns: {lacking}")
+    return df
+
+
+def row_counts(**frames: DataFrame) -> DataFrame:
+    """Rows of each named frame, and whether all hold equally many."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("frame"), "n_rows") for name, df in frames.items()]
+    table = parts[0]
+    for p in parts[1:]:
+        table = table.unionAll(p)
+    same = table.agg((F.min("n_rows") == F.max("n_rows")).alias("equal"))
+    return table.crossJoin(F.broadcast(same))
+
+
 def drop_gap_rows(df: DataFrame) -> DataFrame:
     """Remove the gap rows added by the week grid (no week number)."""
     return df.dropna(subset=[S.WEEK])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
-from yieldcast.functions.scalar import majority_flag, quarter, rate_bucket
+from yieldcast.functions.scalar import fixed_point_mean, majority_flag, quarter, rate_bucket
 
 REC, UNITS = "units_recovered", "units_total"
 
@@ -67,6 +67,18 @@ def pivot_rate(df: DataFrame, key: str, by_col, values: Sequence, names: Sequenc
     return p.select(key, *[F.coalesce(F.col(f"`{v}`"), F.lit(0.0)).alias(nm) for v, nm in zip(values, names)])
 
 
+def overall_rates(df: DataFrame, channels: Sequence[str] = S.RECOVERY_CHANNELS) -> DataFrame:
+    """One row: units, weighted rate, and the plain means of the rate and of each channel's rate."""
+    return df.agg(F.sum(UNITS).alias("units_total"), F.sum(REC).alias("units_recovered"),
+                  F.try_divide(F.sum(REC).cast("double"), F.sum(UNITS)).alias("recovery_rate"),
+                  *[fixed_point_mean(c).alias(f"mean_{c}") for c in [S.RATE, *channels]])
+
+
+def restrict_to_top(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows of the n keys with the highest weighted rate."""
+    return df.join(top_keys(df, key, n), on=key, how="left_semi")
+
+
 def monthly_pivot(df: DataFrame, key: str = S.SITE) -> DataFrame:
     return pivot_rate(df, key, F.col(S.MONTH), list(range(1, 13)), [f"m{m:02d}" for m in range(1, 13)])
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
 from yieldcast.functions.scalar import fixed_point_mean, nan_to_null, rate_bucket_order, volume_bucket_order
+from yieldcast.operators.quantiles import quantiles
 
 ACTUAL, PRED, ERR = "prob_recovered", "combined_rate", "abs_err"
 
@@ -28,9 +29,17 @@ def mae_by_bucket(pred: DataFrame, bucket: str) -> DataFrame:
                 .withColumn("bucket_order", order))
 
 
-def stratified_error(pred: DataFrame, by: str, units: str = "units_total") -> DataFrame:
-    """MAE, median AE, units and rows per stratum, rounded to 4 places."""
+def stratified_error(pred: DataFrame, by: str, units: str = "units_total", rounded: bool = True) -> DataFrame:
+    """MAE, median AE, units and rows per stratum, rounded to 4 places.
+
+    Errors of the predictions table are rounded, so a median's map of values is bounded; of errors that are not (``rounded=False``) the
+    median is found by distributed selection.
+    """
     e = nan_to_null(ERR)
+    if not rounded:
+        sums = pred.groupBy(by).agg(F.round(F.avg(e), 4).alias("mae"), F.sum(units).alias("units"), F.count(F.lit(1)).alias("n"))
+        middle = quantiles(pred, [by], ERR, [0.5]).select(F.col(by).alias("_by"), F.round("q0", 4).alias("median_ae"))
+        return sums.join(middle, F.col(by).eqNullSafe(F.col("_by")), "left").select(by, "mae", "median_ae", "units", "n")
     return pred.groupBy(by).agg(F.round(F.avg(e), 4).alias("mae"), F.round(F.median(e), 4).alias("median_ae"),
                                 F.sum(units).alias("units"), F.count(F.lit(1)).alias("n"))
 
@@ -66,6 +75,22 @@ def weekly_trend(pred: DataFrame, key: str, n: int = 5, value: str = PRED, actua
                 .agg(fixed_point_mean(value).alias("mean_pred_rate"), fixed_point_mean(actual).alias("mean_actual_rate")))
 
 
+def channel_trends(pred: DataFrame, key: str, channels: Sequence[str], n: int = 5) -> DataFrame:
+    """The weekly series of every channel, each with its own top-n groups, as one table.
+
+    Rows are unpivoted once, so that all channels are ranked and averaged in the same two shuffles.
+    """
+    base = without_full_groups(pred)
+    per = F.array(*[F.struct(F.lit(ch).alias("channel"), F.col(f"pred_{ch}").cast("double").alias("pred"),
+                             (F.col(ch) if ch in pred.columns else F.lit(None)).cast("double").alias("actual")) for ch in channels])
+    long = base.select(key, S.WEEK, F.explode(per).alias("c")).select(key, S.WEEK, "c.*")
+    ranked = long.groupBy("channel", key).agg(fixed_point_mean("pred").alias("_m"))
+    place = F.row_number().over(Window.partitionBy("channel").orderBy(F.desc("_m"), key))
+    top = ranked.withColumn("_r", place).where(F.col("_r") <= n).select("channel", key)
+    return (long.join(top, ["channel", key], "left_semi").groupBy("channel", key, S.WEEK)
+                .agg(fixed_point_mean("pred").alias("mean_pred_rate"), fixed_point_mean("actual").alias("mean_actual_rate")))
+
+
 def monthly_actual_vs_pred(pred: DataFrame, key: str, n: int = 20, min_units: float = 5_000) -> DataFrame:
     """Plain mean actual and predicted rate and rows per month for the top-n groups by weighted prediction."""
     top = weighted_pred_rate(pred, [key], min_units, n).select(key)
@@ -91,10 +116,9 @@ def bucket_means(pred: DataFrame, baseline: str = "baseline_rate", deviation: st
 
 def deviation_quantiles(pred: DataFrame, deviation: str = "deviation", prob: str = "p_nonzero", above: float = 0.5) -> DataFrame:
     """5% / 95% quantiles, mean absolute and mean signed deviation contribution where ``prob`` exceeds ``above``."""
-    d = F.col(deviation)
-    return (pred.filter(F.col(prob) > above)
-            .agg(F.percentile(d, [0.05, 0.95]).alias("_q"), F.avg(F.abs(d)).alias("mean_abs"), F.avg(d).alias("mean_signed"))
-            .select(F.col("_q")[0].alias("q05"), F.col("_q")[1].alias("q95"), "mean_abs", "mean_signed"))
+    d, likely = F.col(deviation), pred.filter(F.col(prob) > above)
+    q = quantiles(likely, [], deviation, [0.05, 0.95]).select(F.col("q0").alias("q05"), F.col("q1").alias("q95"))
+    return q.crossJoin(F.broadcast(likely.agg(F.avg(F.abs(d)).alias("mean_abs"), F.avg(d).alias("mean_signed"))))
 
 
 def site_deviation(pred: DataFrame, n: int = 5, baseline: str = "baseline_rate", deviation: str = "deviation") -> DataFrame:

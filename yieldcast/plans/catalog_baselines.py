@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from yieldcast import schema as S
 from yieldcast.functions import scalar as FN
+from yieldcast.models import train as T
 from yieldcast.operators import baseline as B
 from yieldcast.operators import clean as C
 from yieldcast.operators import metrics as M
+from yieldcast.operators import temporal as W
 from yieldcast.plans import oracles as O
-from yieldcast.plans.common import TEST_YEARS, TRAIN_YEARS, finalize, weekly
+from yieldcast.plans.common import TEST_YEARS, TRAIN_YEARS, finalize, raw, weekly
 
 PK = [S.SITE, S.GL, S.YEAR, S.MONTH, S.WEEK]
 
@@ -33,7 +35,7 @@ def _baseline_inputs(spark, sf):
 
 def _filled_test(spark, sf):
     train_nz, test_nz, bl, pri = _baseline_inputs(spark, sf)
-    return B.fill_baseline(B.join_baseline(test_nz, bl), pri)
+    return B.with_baselines(test_nz, bl, pri)
 
 
 def _scored_test(spark, sf):
@@ -61,7 +63,7 @@ def q_baseline_fill(spark, sf):
 
 def q_min_support_shrinkage(spark, sf):
     train_nz, test_nz, bl, pri = _baseline_inputs(spark, sf)
-    df = B.shrink_low_support(B.fill_baseline(B.join_baseline(test_nz, bl), pri), pri)
+    df = B.with_baselines(test_nz, bl, pri, S.MIN_SUPPORT)
     return finalize(df.select(*PK, *B.BASELINE_COLS))
 
 
@@ -70,6 +72,11 @@ def q_unseen_pair_share(spark, sf):
     return finalize(B.unseen_share(B.join_baseline(test_nz, bl)))
 
 
+def q_holdout_share(spark, sf):
+    train_nz, _, bl, _ = _baseline_inputs(spark, sf)
+    return finalize(B.holdout_share(train_nz, B.holdout_pairs(bl)))
+
+
 def q_holdout_pairs(spark, sf):
     return B.holdout_pairs(_baseline_inputs(spark, sf)[2])
 
@@ -134,20 +141,24 @@ def q_channel_share_target(spark, sf):
 
 def q_share_baseline(spark, sf):
     train, _ = _train_test(spark, sf)
-    nz = C.positive_rate(train)
-    pairs = ", ".join(f"'{ch}', {ch} / {S.RATE}" for ch in S.RECOVERY_CHANNELS)
-    long = nz.selectExpr(S.SITE, S.GL, f"stack({len(S.RECOVERY_CHANNELS)}, {pairs}) AS (channel, _share)")
-    s = F.col("_share")
-    out = long.groupBy("channel", S.SITE, S.GL).agg(
-        F.avg(s).alias("baseline_share_mean"), F.stddev_samp(s).alias("baseline_share_std"),
-        F.count(s).alias("baseline_share_count"))
-    return finalize(out)
+    return finalize(T.share_baselines_long(C.positive_rate(train), S.RECOVERY_CHANNELS))
 
 
 def q_data_checks(spark, sf):
     return C.data_checks(weekly(spark, sf))
 
 
+def q_row_counts(spark, sf):
+    """The weekly table and its gridded form without gap rows hold equally many rows, with the columns that scoring needs."""
+    df = C.require_columns(weekly(spark, sf), [*PK, S.RATE, "units_total", *S.RECOVERY_CHANNELS])
+    return C.row_counts(weekly=df, gridded=C.drop_gap_rows(W.fill_week_grid(df)))
+
+
+def q_marketplace_check(spark, sf):
+    """Records whose marketplace differs from their country."""
+    return C.marketplace_mismatches(raw(spark, sf)).groupBy("country", "marketplace_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_regression_metrics(spark, sf):
     return finalize(M.regression_metrics(_filled_test(spark, sf), "site_gl_mean_rate", S.RATE))
 
@@ -190,6 +201,7 @@ QUERIES = {
     "min_support_shrinkage": q_min_support_shrinkage,
     "unseen_pair_share": q_unseen_pair_share,
     "holdout_pairs": q_holdout_pairs,
+    "holdout_share": q_holdout_share,
     "stratified_sample": q_stratified_sample,
     "uniform_sample": q_uniform_sample,
     "band_sample": q_band_sample,
@@ -203,6 +215,8 @@ QUERIES = {
     "channel_share_target": q_channel_share_target,
     "share_baseline": q_share_baseline,
     "data_checks": q_data_checks,
+    "row_counts": q_row_counts,
+    "marketplace_check": q_marketplace_check,
     "regression_metrics": q_regression_metrics,
     "prob_mae": q_prob_mae,
     "roc_auc": q_roc_auc,
@@ -305,6 +319,11 @@ def _h(*keys: str) -> str:
 _ROW_H = _h("hashed_fc", "gl_product_group", "year", "month", "week")
 
 ORACLES = {
+    "holdout_share": base(f", r AS (SELECT hashed_fc, gl_product_group, row_number() OVER (ORDER BY {_h('hashed_fc', 'gl_product_group')}, "
+                          "hashed_fc, gl_product_group) AS rk, count(*) OVER () AS n FROM bl), "
+                          f"o AS (SELECT hashed_fc, gl_product_group, 1 AS held FROM r WHERE rk <= floor(n * {S.HOLDOUT_FRACTION!r})) "
+                          "SELECT count(*) AS n_rows, count(held) AS n_held_out, round(CAST(count(held) AS DOUBLE) / count(*), 6) + 0.0 AS held_out_share "
+                          "FROM train_nz LEFT JOIN o USING (hashed_fc, gl_product_group)"),
     "holdout_pairs": base(f", r AS (SELECT hashed_fc, gl_product_group, row_number() OVER (ORDER BY {_h('hashed_fc', 'gl_product_group')}, "
                           "hashed_fc, gl_product_group) AS rk, count(*) OVER () AS n FROM bl) "
                           f"SELECT hashed_fc, gl_product_group FROM r WHERE rk <= floor(n * {S.HOLDOUT_FRACTION!r})"),
@@ -354,6 +373,10 @@ ORACLES = {
         f", long AS ({_SHARE_LONG}) SELECT channel, hashed_fc, gl_product_group, round(avg(_share), 6) + 0.0 AS baseline_share_mean, "
         "round(stddev_samp(_share), 6) + 0.0 AS baseline_share_std, count(_share) AS baseline_share_count "
         "FROM long GROUP BY channel, hashed_fc, gl_product_group"),
+    "row_counts": O.with_ctes(O.GRID_CTES + ", a AS (SELECT 'weekly' AS frame, count(*) AS n_rows FROM weekly UNION ALL "
+                              "SELECT 'gridded', count(*) FROM g WHERE week IS NOT NULL) "
+                              "SELECT frame, n_rows, (SELECT min(n_rows) = max(n_rows) FROM a) AS equal FROM a"),
+    "marketplace_check": O.with_ctes("SELECT country, marketplace_id, count(*) AS n FROM raw WHERE country <> marketplace_id GROUP BY ALL", "raw"),
     "data_checks": base("SELECT count(*) AS n_rows, count_if(units_total <= 0) AS n_units_not_positive, "
                         "count_if(prob_recovered < 0 OR prob_recovered > 1) AS n_rate_out_of_range, "
                         "count_if(prob_recovered IS NULL) AS n_rate_null FROM weekly"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from yieldcast import schema as S
+from yieldcast.functions.scalar import fmt_value, round_half_away, short_label
 from yieldcast.operators import explore as X
 from yieldcast.operators import report as R
 from yieldcast.operators.aggregate import conditional_sum, conditional_sums
 from yieldcast.plans import oracles as O
 from yieldcast.plans.baseline_predictor import baseline_predictions
-from yieldcast.plans.catalog_baselines import BASE_CTES
+from yieldcast.plans.catalog_baselines import BASE_CTES, PK
 from yieldcast.plans.common import TEST_YEARS, TRAIN_YEARS, cleaned, finalize, weekly
 
 CORR_COLS = ["prob_recovered", "share_hazmat", "share_FBA", "share_food", "share_non_food", "share_pet_food", "share_RETAIL",
@@ -31,6 +32,21 @@ def _quartiles(spark, sf):
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
+def _display(spark, sf):
+    """the shortlist's pairs as shown in tables: short site, GL as text, rate and units formatted."""
+    df = X.shortlist(weekly(spark, sf))
+    return df.select(S.SITE, S.GL, short_label(S.SITE, 6).alias("site"), F.concat(F.lit("GL "), F.col(S.GL).cast("string")).alias("gl"),
+                     fmt_value(F.lit("prob_recovered"), F.round("vw_rate", 6)).alias("rate"), fmt_value(F.lit("units_total"), "units").alias("units_text"))
+
+
+def _channel_trends(spark, sf, key):
+    """A19 per channel, on stand-in predictions: the baseline's rate split by each row's own units."""
+    df = weekly(spark, sf)
+    split = [round_half_away(F.col("combined_rate") * F.least(F.lit(1.0), F.coalesce(F.col(ch), F.lit(0.0)))).alias(f"pred_{ch}") for ch in S.RECOVERY_CHANNELS]
+    pred = _pred(spark, sf).join(df.select(*PK, *S.RECOVERY_CHANNELS), PK)
+    return R.channel_trends(pred.select("*", *split), key, S.RECOVERY_CHANNELS, 3)
+
+
 def _pred(spark, sf):
     return baseline_predictions(weekly(spark, sf), TRAIN_YEARS, TEST_YEARS)
 
@@ -42,6 +58,12 @@ QUERIES = {
     "vw_rate_by_year": lambda sp, sf: finalize(X.yearly_totals(weekly(sp, sf))),
     "monthly_pivot": lambda sp, sf: finalize(X.monthly_pivot(weekly(sp, sf))),
     "quarterly_pivot": lambda sp, sf: finalize(X.quarterly_pivot(weekly(sp, sf))),
+    "monthly_pivot_type": lambda sp, sf: finalize(X.monthly_pivot(weekly(sp, sf), "site_type")),
+    "monthly_pivot_country": lambda sp, sf: finalize(X.monthly_pivot(weekly(sp, sf), "country")),
+    "quarterly_pivot_type": lambda sp, sf: finalize(X.quarterly_pivot(weekly(sp, sf), "site_type")),
+    "quarterly_pivot_top_gl": lambda sp, sf: finalize(X.quarterly_pivot(X.restrict_to_top(weekly(sp, sf), S.GL, 20), S.GL)),
+    "overall_rates": lambda sp, sf: finalize(X.overall_rates(weekly(sp, sf))),
+    "display_keys": lambda sp, sf: _display(sp, sf),
     "week_profile": lambda sp, sf: finalize(X.week_profile(weekly(sp, sf))),
     "year_week_profile": lambda sp, sf: finalize(X.year_week_profile(weekly(sp, sf))),
     "monthly_profile": lambda sp, sf: finalize(X.monthly_profile(weekly(sp, sf))),
@@ -68,6 +90,8 @@ QUERIES = {
     "top_groups": lambda sp, sf: finalize(R.top_groups(_pred(sp, sf), S.SITE, 10)),
     "always_full_groups": lambda sp, sf: R.always_full_groups(_pred(sp, sf), S.SITE),
     "weekly_trend": lambda sp, sf: finalize(R.weekly_trend(_pred(sp, sf), S.SITE, 5)),
+    "channel_trend": lambda sp, sf: finalize(_channel_trends(sp, sf, S.SITE)),
+    "channel_trend_gl": lambda sp, sf: finalize(_channel_trends(sp, sf, S.GL)),
     "weekly_trend_gl": lambda sp, sf: finalize(R.weekly_trend(_pred(sp, sf), S.GL, 5)),
     "monthly_actual_vs_pred": lambda sp, sf: finalize(R.monthly_actual_vs_pred(_pred(sp, sf), S.SITE)),
     "weighted_pred_rate": lambda sp, sf: finalize(R.weighted_pred_rate(_pred(sp, sf), [S.GL], min_units=100, n=3)),
@@ -180,6 +204,24 @@ def _trend(key: str) -> str:
              f"SELECT {key}, week, round({_mean('combined_rate')}, 6) + 0.0 AS mean_pred_rate, round({_mean('prob_recovered')}, 6) + 0.0 AS mean_actual_rate "
              f"FROM base WHERE {key} IN (SELECT {key} FROM top) GROUP BY {key}, week")
 
+
+
+def _quarters(key: str, src: str) -> str:
+    return (f", c AS (SELECT {key}, 'Q' || CAST(CAST(ceil(month / 3.0) AS INTEGER) AS VARCHAR) AS q, {_RATE} AS r FROM {src} GROUP BY {key}, q) "
+            f"SELECT {key}, {_QS} FROM c GROUP BY {key}")
+
+
+def _channel_trend_sql(key: str) -> str:
+    each = " UNION ALL ".join(f"SELECT '{ch}' AS channel, {key}, week, round(combined_rate * least(1.0, coalesce({ch}, 0.0)), 6) AS pred, {ch} AS actual FROM base"
+                              for ch in S.RECOVERY_CHANNELS)
+    full = _ALWAYS_FULL.replace("hashed_fc", "gl_product_group")
+    return P(f", base AS (SELECT pred.*, {', '.join('w.' + ch for ch in S.RECOVERY_CHANNELS)} FROM pred JOIN weekly w USING (hashed_fc, gl_product_group, year, month, week) "
+             f"WHERE hashed_fc NOT IN ({_ALWAYS_FULL}) AND gl_product_group NOT IN ({full})), long AS ({each}), "
+             f"rk AS (SELECT channel, {key}, row_number() OVER (PARTITION BY channel ORDER BY {_mean('pred')} DESC, {key}) AS r FROM long GROUP BY channel, {key}) "
+             f"SELECT channel, {key}, week, round({_mean('pred')}, 6) + 0.0 AS mean_pred_rate, round({_mean('actual')}, 6) + 0.0 AS mean_actual_rate "
+             f"FROM long WHERE (channel, {key}) IN (SELECT channel, {key} FROM rk WHERE r <= 3) GROUP BY channel, {key}, week")
+
+
 ORACLES = {
     "vw_rate_by_site": W(_wr("hashed_fc")),
     "vw_rate_by_gl": W(_wr("gl_product_group", "HAVING sum(units_total) >= 1000")),
@@ -189,6 +231,15 @@ ORACLES = {
                        f"SELECT hashed_fc, {_MONTHS} FROM c GROUP BY hashed_fc"),
     "quarterly_pivot": W(f", c AS (SELECT gl_product_group, 'Q' || CAST(CAST(ceil(month / 3.0) AS INTEGER) AS VARCHAR) AS q, "
                          f"{_RATE} AS r FROM weekly GROUP BY gl_product_group, q) SELECT gl_product_group, {_QS} FROM c GROUP BY gl_product_group"),
+    "monthly_pivot_type": W(f", c AS (SELECT site_type, month, {_RATE} AS r FROM weekly GROUP BY site_type, month) SELECT site_type, {_MONTHS} FROM c GROUP BY site_type"),
+    "monthly_pivot_country": W(f", c AS (SELECT country, month, {_RATE} AS r FROM weekly GROUP BY country, month) SELECT country, {_MONTHS} FROM c GROUP BY country"),
+    "quarterly_pivot_type": W(_quarters("site_type", "weekly")),
+    "quarterly_pivot_top_gl": W(_quarters("gl_product_group", f"(SELECT * FROM weekly WHERE gl_product_group IN {_top('gl_product_group', 20)})")),
+    "overall_rates": W(f"SELECT CAST(sum(units_total) AS BIGINT) AS units_total, CAST(sum(units_recovered) AS BIGINT) AS units_recovered, round({_RATE}, 6) + 0.0 AS recovery_rate, "
+                       + ", ".join(f"round({_mean(c)}, 6) + 0.0 AS mean_{c}" for c in ["prob_recovered", *S.RECOVERY_CHANNELS]) + " FROM weekly"),
+    "display_keys": W(f", p AS (SELECT * FROM ({_PAIRS}) ORDER BY units_recovered DESC, hashed_fc, gl_product_group LIMIT 15) "
+                      "SELECT hashed_fc, gl_product_group, CASE WHEN length(hashed_fc) > 6 THEN hashed_fc[1:6] || chr(8230) ELSE hashed_fc END AS site, "
+                      "'GL ' || CAST(gl_product_group AS VARCHAR) AS gl, format('{:.1f}%', round(vw_rate, 6) * 100) AS rate, format('{:,}', units) AS units_text FROM p"),
     "week_profile": W(f", p AS ({_wr('week')}) SELECT *, recovery_rate > (SELECT median(recovery_rate) FROM p) AS above_median FROM p"),
     "year_week_profile": W(f", p AS ({_wr('year, week')}) SELECT *, row_number() OVER (ORDER BY year, week) AS week_index FROM p"),
     "monthly_profile": W(_wr("month")),
@@ -239,6 +290,8 @@ ORACLES = {
     "always_full_groups": P(_ALWAYS_FULL),
     "weekly_trend": _trend("hashed_fc"),
     "weekly_trend_gl": _trend("gl_product_group"),
+    "channel_trend": _channel_trend_sql("hashed_fc"),
+    "channel_trend_gl": _channel_trend_sql("gl_product_group"),
     "monthly_actual_vs_pred": P(
         ", top AS (SELECT hashed_fc FROM pred GROUP BY hashed_fc HAVING sum(units_total) >= 5000 "
         "ORDER BY sum(combined_rate * units_total) / sum(units_total) DESC, hashed_fc LIMIT 20) "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,18 +43,32 @@ def _first_line(spark: SparkSession, path: str) -> str:
         reader.close()
 
 
-def header_groups(spark: SparkSession, paths: Sequence[str], sep: str = CSV_DELIMITER) -> dict[tuple[str, ...], list[str]]:
-    """Files under ``paths`` grouped by their header's column names; empty files are left out."""
+def header_groups(spark: SparkSession, paths: Sequence[str], sep: str = CSV_DELIMITER,
+                  parallelism: int = 64) -> dict[tuple[str, ...], list[str]]:
+    """Files under ``paths`` grouped by their header's column names; empty files are left out.
+
+    One line is read of each file, ``parallelism`` files at a time; no data pass is needed for it.
+    """
     files = sorted(spark.read.text(list(paths)).inputFiles())
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        line = _first_line(spark, f).lstrip("\ufeff")
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f).lstrip("\ufeff"), files))
+    for f, line in zip(files, lines):
         if line:
             names = tuple(n.strip().strip('"') for n in line.split(sep))
             groups.setdefault(names, []).append(f)
     return groups
 
 
+def require_equal_columns(groups: dict[tuple[str, ...], list[str]]) -> None:
+    """S3: files that are stacked must hold the same columns, in any order; else an error that names the file and the columns."""
+    first, files = next(iter(groups.items()), ((), []))
+    for names, others in groups.items():
+        lacking, extra = sorted(set(first) - set(names)), sorted(set(names) - set(first))
+        if lacking or extra:
+            raise ValueError(f"{others[0]} lacks columns {lacking} and has columns {extra} beyond those of {files[0]}")
+
+
 def typed_columns(present: Sequence[str], schema: T.StructType) -> list:
     """Declared columns cast from text by name; ones that are not present are null."""
     return [(F.col(f"`{f.name}`").cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -61,17 +76,20 @@ def typed_columns(present: Sequence[str], schema: T.StructType) -> list:
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], sep: str = CSV_DELIMITER,
-                 schema: T.StructType = S.RAW_SCHEMA) -> DataFrame:
+                 schema: T.StructType = S.RAW_SCHEMA, allow_missing: bool = False) -> DataFrame:
     """Delimited files with a header, declared schema (no inference).
 
     Every file's header line is read first. Files with one header form a
     reader of their own, whose columns are matched to the declared ones by
-    name and cast (ANSI: malformed numbers fail the job); a declared column that a
-    header lacks is null in its files. The parts are stacked. Columns are pruned at parse time.
+    name and cast (ANSI: malformed numbers fail the job); a declared column that all
+    headers lack is null. Files with other columns than the rest are an error, unless ``allow_missing``: then
+    what a file lacks is null in it. The parts are stacked. Columns are pruned at parse time.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    out = None
-    for names, files in header_groups(spark, paths, sep).items():
+    groups, out = header_groups(spark, paths, sep), None
+    if not allow_missing:
+        require_equal_columns(groups)
+    for names, files in groups.items():
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         part = (spark.read.schema(text).option("header", True).option("sep", sep).option("mode", "FAILFAST")
                 .csv(files).select(typed_columns(names, schema)))
@@ -122,10 +140,3 @@ def write_csv(df: DataFrame, path: str, sep: str = CSV_DELIMITER, mode: str = "e
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Metrics / parameter tables as JSON lines."""
     df.write.mode(mode).json(path)
-
-
-def normalize_values(c) -> F.Column:
-    """S8 on values: lower-case, trim, whitespace runs to '_' (RETAIL/FBA kept)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c.isin("RETAIL", "FBA"), c).otherwise(
-        F.regexp_replace(F.lower(F.trim(c)), r"\s+", "_"))

@@ -16,12 +16,23 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Whether a committed table or model stands at ``path``."""
     fs, hadoop_path = _fs(spark, path)
     return fs.exists(hadoop_path(path, "_SUCCESS"))
 
 
+def commit(spark: SparkSession, path: str) -> None:
+    """Mark a folder of several tables as whole, as writers of single tables do."""
+    fs, hadoop_path = _fs(spark, path)
+    fs.create(hadoop_path(path, "_SUCCESS")).close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _fs(spark, path)
+    fs.delete(hadoop_path(path), True)
+
+
 def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Let ``write`` fill a folder of its own, then move it to ``path``.
 
@@ -32,12 +43,12 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
     fs, hadoop_path = _fs(spark, path)
     try:
         write(building)
-        if not _exists(spark, path):
+        if not exists(spark, path):
             target = hadoop_path(path)
             if fs.exists(target):
                 fs.delete(target, True)
             fs.mkdirs(target.getParent())
-            if not fs.rename(hadoop_path(building), target) and not _exists(spark, path):
+            if not fs.rename(hadoop_path(building), target) and not exists(spark, path):
                 raise OSError(f"cannot move {building} to {path}")
     finally:
         fs.delete(hadoop_path(building), True)
@@ -50,6 +61,6 @@ def stage_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
     An error of the build is raised as it is. The returned frame is always the re-read table (lineage cut at the
     stage boundary, so a lost executor recomputes from the stored table).
     """
-    if not _exists(spark, path):
+    if not exists(spark, path):
         publish(spark, path, lambda to: write_table(build(), to, partition_by=partition_by))
     return spark.read.parquet(path)
