@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from functools import cache
 
 WORD, GAP, BREAK = 0, 1, 2
-PART_BYTES = 1 << 20         # bytes worked on at once; one longer text is a part of its own
+PART_BYTES = 1 << 18         # bytes worked on at once; one longer text is a part of its own
 _ODD = 0x9E3779B97F4A7C15    # base of the polynomial over a word's bytes
 
 

@@ -1,6 +1,6 @@
 """Phrase collocations from an FM-index per shard.
 
-A shard is a stretch of a language's words, about a million, as a sequence of word ids with separators between pieces. Its
+A shard is a stretch of a language's words, about a quarter of a million, as a sequence of word ids with separators between pieces. Its
 FM-index holds, for the sequence and for its reverse, the LF mapping of the Burrows-Wheeler transform sorted to the depth of the longest
 phrase. A phrase is an interval in both; one step of LF extends all intervals by a word to the left (or, in the reverse, to the
 right) and gives the counts of all longer phrases, without a sort. Counts of a length are summed over shards and phrases below the threshold
@@ -24,7 +24,8 @@ from yieldcast.llm.common import scratch
 LONGEST = 5                      # words of a phrase
 LEAST_COUNT = 100
 TOP = 2000                       # phrases of a language
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
+ROWS_AT_ONCE = 256               # rows whose texts are copied at once
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 GAPS = b" \t"
 _ODD = 0x9E3779B97F4A7C15
@@ -60,10 +61,14 @@ def _stretches(batches: Iterator) -> Iterator:
         many.pop(lang)
         shift = np.cumsum([0, *map(len, data[:-1])])
         pieces = np.cumsum([0, *[p[-1] + 1 if len(p) else 0 for p in piece[:-1]]])
-        return lang, (np.concatenate(key), np.concatenate([p + s for p, s in zip(piece, pieces)]),
-                      np.concatenate([a + s for a, s in zip(start, shift)]), np.concatenate([a + s for a, s in zip(end, shift)]), np.concatenate(data))
 
-    for batch in batches:
+        def joined(arrays, by):
+            return np.concatenate([x + s for x, s in zip(arrays, by)])
+
+        return lang, (np.concatenate(key), joined(piece, pieces), joined(start, shift), joined(end, shift), np.concatenate(data))
+
+    slices = (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE))
+    for batch in slices:
         names = batch.column(0).dictionary_encode()
         which, names = np.asarray(names.indices), names.dictionary.to_pylist()
         for number, lang in enumerate(names):
