@@ -75,6 +75,19 @@ def scratch(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Remove scratch tables that no later plan reads, and let Spark drop the shuffle files of plans that are no longer referred to.
+
+    Shuffle files go when the driver collects their plans, which a driver with little to do puts off.
+    """
+    import gc
+
+    while paths:
+        remove(spark, paths.pop())
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """Connected components of an undirected edge list: one row (node, root) per node with an edge.
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from yieldcast.llm.common import connected_components, scratch, word_array
+from yieldcast.llm.common import connected_components, release, scratch, word_array
 
 BLOCK = 256              # sets of a family in one block
 LEAF = 8                 # sets in a leaf of a tree
@@ -136,8 +136,8 @@ def signatures(s, percent: int):
     return np.concatenate(out), np.concatenate(marks)
 
 
-def _candidate_pairs(sigs: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the sets of each signature. ``sigs``: sig, mark, fp.
+def _candidate_pairs(sigs: DataFrame, paths: list[str]) -> DataFrame:
+    """Edges (a, b) that connect the sets of each signature. ``sigs``: sig, mark, fp. ``paths`` gets the folder that the edges are read from.
 
     Passages that many texts share make common signatures, which would chain unlinked sets. A set with no more common
     signatures than its mark allows leaves them out: a linked pair agrees in one class more than both kinds
@@ -146,7 +146,7 @@ def _candidate_pairs(sigs: DataFrame) -> DataFrame:
     make an edge; no list of members is built.
     """
     count = F.count(F.lit(1)).over(Window.partitionBy("sig"))
-    shared = scratch(sigs.withColumn("k", count).where("k > 1"))
+    shared = scratch(sigs.withColumn("k", count).where("k > 1"), paths)
     common = shared.where(F.col("k") > COMMON)
     full = common.groupBy("fp", "mark").agg(F.count(F.lit(1)).alias("h")).where("h > mark % 1048576 - 1").select("fp", "mark")
     kept = shared.where(F.col("k") <= COMMON).drop("k").unionByName(common.drop("k").join(full, ["fp", "mark"]))
@@ -335,19 +335,22 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hashed = _word_hashes(base, "text", lower)
-    rows = scratch(hashed.select("id", "w").mapInArrow(
+    done: list[str] = []
+    signed = scratch(hashed.select("id", "w").mapInArrow(
         partial(_read_task, width=width, percent=percent),
-        f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<struct<sig:long,mark:int>>"))
+        f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<struct<sig:long,mark:int>>"), done)
+    rows = scratch(signed.drop("sigs"))
 
     # Candidate families: sets that are connected by shared signatures.
-    pairs = _candidate_pairs(rows.select(F.explode("sigs").alias("s"), "fp").select("s.sig", "s.mark", "fp"))
+    pairs = _candidate_pairs(signed.select(F.explode("sigs").alias("s"), "fp").select("s.sig", "s.mark", "fp"), done)
     family = connected_components(pairs)
+    del signed, pairs
+    release(base.sparkSession, done)
 
     # One representative row per candidate set, found by its id, gives the set again.
     members = rows.join(family, F.col("fp") == F.col("node"))
     reps = scratch(members.groupBy("sid", "n", "root").agg(F.min("id").alias("id")))
     labels = _links(base, reps, width, percent, lower)
-    rows = rows.drop("sigs")
 
     grouped = rows.join(labels, "sid", "left") if labels is not None else rows.withColumn("top", F.lit(None).cast("binary"))
     grouped = grouped.withColumn("top", F.coalesce("top", "sid"))
@@ -371,13 +374,16 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
     sets = (found.select("w").mapInArrow(partial(_set_task, width=width), "sid binary, items binary, n long")
             .join(reps.select("sid", "root"), "sid").dropDuplicates(["sid"]))
     many = reps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    held = scratch(sets.join(many, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))))
+    done: list[str] = []
+    held = scratch(sets.join(many, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))), done)
+    release(base.sparkSession, [])
     task, pair = partial(_block_links, percent=percent), "a binary, b binary"
     fields = ["sid", "n", "items", "comp"]
 
     inside = held.select("root", "block", "sid", "n", "items", F.col("sid").alias("comp"), F.lit(0).alias("side"))
-    edges = scratch(inside.groupBy("root", "block").applyInPandas(task, pair))
-    labels = scratch(_tops(edges))
+    edges = scratch(inside.groupBy("root", "block").applyInPandas(task, pair), done)
+    release(base.sparkSession, [])
+    labels = _tops(edges)
 
     large = held.where("blocks > 1")
     if not large.isEmpty():
@@ -385,10 +391,11 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
         ring = now.withColumn("at", F.explode(F.array(
             F.struct(F.col("block").alias("x"), F.lit(0).alias("side")),
             F.struct(F.pmod(F.col("block") - 1, F.col("blocks")).alias("x"), F.lit(1).alias("side")))))
-        edges = scratch(edges.unionAll(ring.select("root", "at.x", "at.side", *fields).groupBy("root", "x").applyInPandas(task, pair)))
-        labels = scratch(_tops(edges))
+        edges = scratch(edges.unionAll(ring.select("root", "at.x", "at.side", *fields).groupBy("root", "x").applyInPandas(task, pair)), done)
+        release(base.sparkSession, [])
+        labels = _tops(edges)
 
-        now = scratch(_labelled(large, labels))
+        now = scratch(_labelled(large, labels), done)
         main = (now.groupBy("root", "comp").agg(F.count(F.lit(1)).alias("k"))
                 .groupBy("root").agg(F.max_by("comp", F.struct("k", "comp")).alias("main")))
         outside = now.join(main, "root").where("comp != main").drop("main")
@@ -399,7 +406,9 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
         across = (left.select("root", "chunk", "y", F.lit(0).alias("side"), *fields)
                   .unionAll(right.select("root", "chunk", F.col("block").alias("y"), F.lit(1).alias("side"), *fields)))
         edges = edges.unionAll(across.groupBy("root", "chunk", "y").applyInPandas(task, pair))
-        labels = scratch(_tops(edges))
+        labels = _tops(edges)
+    del held, edges
+    release(base.sparkSession, done)
     return labels
 
 
