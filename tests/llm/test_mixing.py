@@ -76,3 +76,16 @@ def test_mix_routes_overlapping_sources(spark):
     got = mixing.mix(table(spark, rows), members, F.col("words"), weights=lambda names: [1] * len(names)).collect()
     # 900 words, 450 a source: every pattern once, and nothing is repeated
     assert sum(r.taken for r in got) == 900 and {r.passes for r in got} == {1}
+
+
+def test_many_sources_and_many_linked_sets(spark):
+    """No bound on patterns: 10,500 sources of their own, and 60 pairs of sources that share documents."""
+    rows = [(k, [f"s{k:05d}"], 1 + k % 4) for k in range(10_500)]
+    for k in range(60):
+        rows += [(20_000 + 3 * k, [f"a{k}"], 6), (20_001 + 3 * k, [f"b{k}"], 6), (20_002 + 3 * k, [f"a{k}", f"b{k}"], 6)]
+    df = spark.createDataFrame(rows, "doc_id long, members array<string>, words long").repartition(4)
+    out = mixing.mix(df, F.col("members"), F.col("words"), weights=lambda names: [1] * len(names)).select("doc_id", "size", "taken", "target").collect()
+    assert len(out) == len(rows) and all(0 <= r["taken"] <= 3 * r["size"] for r in out)
+    linked = {r["doc_id"]: r for r in out if r["doc_id"] >= 20_000}
+    assert sum(r["taken"] for r in linked.values()) > 0
+    assert all(abs(r["taken"] - r["target"]) <= r["size"] for r in out if r["doc_id"] < 10_500)

@@ -10,16 +10,16 @@ last part goes to documents in a seeded order.
 from __future__ import annotations
 
 from collections import deque
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from yieldcast.llm.common import scratch
+from yieldcast.llm.common import connected_components, scratch
 
 MAX_PASSES = 3
-MAX_PATTERNS = 10_000    # patterns are held on the driver; more raise an error
 SEED = 20_231
 _BUCKETS = 4096
 
@@ -102,14 +102,15 @@ def min_cost_flow(supply: list[int], members: list[list[int]], quota: list[int],
 def _boundaries(slim: DataFrame, wanted: DataFrame) -> DataFrame:
     """Key tuple up to which each pattern's documents, in seeded order, make up the wanted tokens.
 
+    Tables with a row per pattern are written, so that Spark broadcasts them by their known size or not at all.
     ``slim``: pattern, size and the order keys o0, o1, ... (each key tells apart what the ones before leave
     equal). ``wanted``: pattern, rest. Each level sums per key inside the last boundary only, so no task
     orders more than one level's distinct keys of a pattern.
     """
     levels = [c for c in slim.columns if c[0] == "o"]
-    found = wanted
+    found = scratch(wanted)
     for k, key in enumerate(levels):
-        inside = slim.join(F.broadcast(found), ["pattern", *levels[:k]]).where("rest > 0")
+        inside = slim.join(found, ["pattern", *levels[:k]]).where("rest > 0")
         sums = inside.groupBy("pattern", *levels[:k], key).agg(F.sum("size").alias("held"), F.first("rest").alias("rest"))
         w = Window.partitionBy("pattern").orderBy(key)
         upto = sums.withColumn("past", F.sum("held").over(w))
@@ -120,6 +121,47 @@ def _boundaries(slim: DataFrame, wanted: DataFrame) -> DataFrame:
     return found
 
 
+def _split_flow(part, passes: int, quota: dict[int, int]):
+    """Passes and further tokens of the patterns of one set of linked sources, by min-cost flow."""
+    import pandas as pd
+
+    part = part.sort_values("pattern")
+    sources = sorted({int(i) for m in part["members"] for i in m})
+    place = {i: k for k, i in enumerate(sources)}
+    supply = [int(s) for s in part["supply"]]
+    flow = min_cost_flow(supply, [[place[int(i)] for i in m] for m in part["members"]], [quota[i] for i in sources], passes)
+    sent = [sum(f) for f in flow]
+    return pd.DataFrame({"pattern": part["pattern"], "base": [f // s if s else 0 for f, s in zip(sent, supply)],
+                         "rest": [f % s if s else 0 for f, s in zip(sent, supply)]})
+
+
+def _planned(patterns: DataFrame, index: DataFrame, quota: dict[int, int], passes: int) -> DataFrame:
+    """(pattern, base, rest): whole passes of each pattern and tokens of one more.
+
+    A pattern whose only source belongs to no other pattern sends what that source wants. Other patterns share sources; sources that
+    patterns link form independent flows, each solved in a task of its own.
+    """
+    member = patterns.select("pattern", F.posexplode("m").alias("at", "x"))
+    known = member.join(index.withColumnRenamed("name", "n"), F.col("x").eqNullSafe(F.col("n"))).select("pattern", "at", "i", "quota")
+    listed = known.groupBy("pattern").agg(F.array_sort(F.collect_list("i")).alias("members"), F.max("quota").alias("quota"))
+    supplied = scratch(patterns.select("pattern", F.col("s").alias("supply")).join(listed, "pattern"))
+    shared = (supplied.select("pattern", F.explode("members").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("k"))
+              .where("k > 1").select("i"))
+    alone = supplied.where(F.size("members") == 1).withColumn("i", F.col("members")[0]).join(shared, "i", "left_anti")
+    sent = F.least("quota", F.lit(passes) * F.col("supply"))
+    whole = F.when(F.col("supply") > 0, F.call_function("div", sent, F.col("supply"))).otherwise(0).cast("long")
+    rest = F.when(F.col("supply") > 0, sent % F.col("supply")).otherwise(0).cast("long")
+    simple = alone.select("pattern", whole.alias("base"), rest.alias("rest"))
+    linked = supplied.join(alone.select("pattern"), "pattern", "left_anti")
+    if linked.isEmpty():
+        return simple
+    pairs = linked.where(F.size("members") > 1).select(F.col("members")[0].alias("a"), F.explode("members").alias("b")).where("a != b")
+    roots = connected_components(pairs)
+    group = F.coalesce("root", F.col("members")[0])
+    grouped = linked.join(roots, F.col("members")[0] == F.col("node"), "left").select("pattern", "members", "supply", group.alias("group"))
+    return simple.unionByName(grouped.groupBy("group").applyInPandas(partial(_split_flow, passes=passes, quota=quota), "pattern string, base long, rest long"))
+
+
 def mix(docs: DataFrame, members: Column, size: Column, doc_id: str = "doc_id", *,
         weights=None, seed: int = SEED, passes: int = MAX_PASSES) -> DataFrame:
     """One row per input row: its columns, size, source_size, target, taken and passes taken.
@@ -130,7 +172,7 @@ def mix(docs: DataFrame, members: Column, size: Column, doc_id: str = "doc_id",
     total size; source_size and target are those of the row's first source. A row is taken whole, 0 to ``passes`` times.
     The seeded order depends on the id and, among equal ids, the size, so reruns agree however rows are split
     over tasks; equal rows are interchangeable. Sizes of 0 are taken 0. An empty table gives an empty result.
-    Input columns named like a result column are replaced. On the driver: a row per pattern, at most MAX_PATTERNS.
+    Input columns named like a result column are replaced. On the driver: a row per source (its size and target).
     """
     results = ["size", "source_size", "target", "taken", "passes"]
     keep = [c for c in docs.columns if c not in results]
@@ -144,33 +186,27 @@ def mix(docs: DataFrame, members: Column, size: Column, doc_id: str = "doc_id",
         u.alias("o2"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_BUCKETS)).alias("o3"),
         F.monotonically_increasing_id().alias("o4")))
 
-    found = slim.groupBy("pattern").agg(F.first("pattern_of").alias("m"), F.sum("size").alias("s")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    patterns = sorted((r for r in found if r["m"]), key=lambda r: r["pattern"])
-    names = sorted({x for r in patterns for x in r["m"]}, key=lambda x: (x is None, x))
-    index = {x: i for i, x in enumerate(names)}
-    sizes = {x: sum(r["s"] for r in patterns if x in r["m"]) for x in names}
-    total = sum(r["s"] for r in patterns)
+    patterns = scratch(slim.groupBy("pattern").agg(F.first("pattern_of").alias("m"), F.sum("size").alias("s")).where(F.size("m") > 0))
+    sizes = {r["x"]: r["s"] for r in patterns.select(F.explode("m").alias("x"), "s").groupBy("x").agg(F.sum("s").alias("s")).collect()}
+    names = sorted(sizes, key=lambda x: (x is None, x))
+    total = patterns.agg(F.sum("s")).first()[0] or 0
     given = weights(names) if weights else [1 + i % 3 for i in range(len(names))]
     target = share_targets(sizes, dict(zip(names, given)), total, passes)
-
-    flow = min_cost_flow([r["s"] for r in patterns], [[index[x] for x in r["m"]] for r in patterns],
-                         [round(target[x]) for x in names], passes)
     spark = docs.sparkSession
-    plan = [(r["pattern"], sum(f) // r["s"] if r["s"] else 0, sum(f) % r["s"] if r["s"] else 0) for r, f in zip(patterns, flow)]
-    planned = spark.createDataFrame(plan, "pattern string, base long, rest long")
+    quota = {i: round(target[x]) for i, x in enumerate(names)}
+    index = spark.createDataFrame([(x, i, quota[i]) for i, x in enumerate(names)], "name string, i long, quota long")
+    planned = scratch(_planned(patterns, index, quota, passes))
     order = ["o0", "o1", "o2", "o3", "o4"]
     edge = _boundaries(slim.select("pattern", "size", *order), planned.select("pattern", "rest"))
     edge = edge.select("pattern", F.struct(*order).alias("edge"),
                        (2 * F.col("rest") >= F.col("held")).alias("edge_in"))     # nearest: the last one goes in if half of it fits
-    by_pattern = planned.select("pattern", "base").join(edge, "pattern", "left")
+    by_pattern = scratch(planned.select("pattern", "base").join(edge, "pattern", "left"))
     by_source = spark.createDataFrame([(x, sizes[x], target[x]) for x in names], T.StructType([
         T.StructField("first", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())]))
     here = F.struct(*order)
     more = F.coalesce((here < F.col("edge")) | ((here == F.col("edge")) & F.col("edge_in")), F.lit(False))
-    done = (slim.join(F.broadcast(by_pattern), "pattern", "left")
-            .join(F.broadcast(by_source.withColumnRenamed("first", "f")), F.col("first").eqNullSafe(F.col("f")), "left")
+    done = (slim.join(by_pattern, "pattern", "left")
+            .join(by_source.withColumnRenamed("first", "f"), F.col("first").eqNullSafe(F.col("f")), "left")
             .withColumn("passes", F.coalesce(F.col("base") + more.cast("long"), F.lit(0))))
     return done.select(*[F.col("row").getField(c).alias(c) for c in keep], "size", "source_size", "target",
                        (F.col("size") * F.col("passes")).alias("taken"), "passes")
