@@ -53,3 +53,20 @@ def test_risk_never_goes_below_zero_and_prior_moves_scores():
     u = np.vstack([gen.normal(1.5, 1, (600, C._N_STATS)), neg])
     model = C.fit_nnpu(p, u, 0.6)
     assert C.score_statistics(p, model).mean() > 0.9 and C.score_statistics(neg, model).mean() < 0.1
+
+
+def test_clashing_names_repeated_and_null_ids(spark, words, rng):
+    """A column named id beside the key, one id on all rows, and ids that are null."""
+    good = [" ".join(rng.choice(words) for _ in range(60)) + "." for _ in range(40)]
+    bad = ["$$$ ### " * 30 for _ in range(40)]
+    rows = [(k % 3 if k % 5 else None, t, 7, "x") for k, t in enumerate(good + bad)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id long, _key string")
+    labels = spark.createDataFrame([(0, 1, 9), (1, 1, 9), (2, 0, 9), (None, 1, 9)], "doc_id long, quality int, id long")
+    model = C.train(docs, labels)
+    assert model is not None and C.score(docs.drop("_key"), model).count() == 80
+
+
+def test_thinned_samples_spread_over_equal_rows(spark):
+    rows = spark.createDataFrame([(1, "same")] * 20000, "_id long, _text string").repartition(4)
+    assert abs(C._thinned(rows, 20000, 5000).count() - 5000) < 400
+    assert C._thinned(rows, 20000, 50000).count() == 20000

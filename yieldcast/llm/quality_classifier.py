@@ -104,18 +104,24 @@ def score_statistics(stats, model):
     return 1 / (1 + np.exp(-np.clip(_design(stats, centre, scale) @ w, -35, 35)))
 
 
-def _sample(docs: DataFrame, doc_id: str, ids: DataFrame | None, most: int) -> DataFrame:
-    """Texts of at most ``most`` rows, spread by a hash of the id; ``ids`` limits them to those ids."""
+def _thinned(rows: DataFrame, total: int, most: int) -> DataFrame:
+    """About ``most`` of ``total`` rows (all if fewer), by a hash of id, text and place: equal rows are told apart, none is cut off at an end."""
+    cut = int(min(1.0, most / max(total, 1)) * 2 ** 31)
+    if cut == 2 ** 31:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit(SEED), "_id", "_text", F.monotonically_increasing_id()), F.lit(2 ** 31)) < cut)
+
+
+def _sample(docs: DataFrame, doc_id: str, text: str, ids: DataFrame | None, most: int) -> DataFrame:
+    """(_id, _text) of about ``most`` rows spread over the table; ``ids`` limits them to those ids, of which ``most`` are looked up."""
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
     if ids is not None:
-        few = ids.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(most)
-        return docs.join(F.broadcast(few), F.col(doc_id) == F.col("id"), "left_semi").limit(2 * most)
-    total = docs.count()
-    share = min(1.0, most / max(total, 1))
-    cut = int(share * 2 ** 31)
-    return docs.where(F.pmod(F.xxhash64(F.lit(SEED), doc_id), F.lit(2 ** 31)) < cut).limit(2 * most)
+        few = ids.orderBy(F.xxhash64(F.lit(SEED), "_key"), "_key").limit(most)
+        rows = rows.join(F.broadcast(few), F.col("_id") == F.col("_key"), "left_semi")
+    return _thinned(rows, rows.select("_id").count(), most)
 
 
-def _statistics_of(sample: DataFrame, text: str):
+def _statistics_of(sample: DataFrame):
     import numpy as np
 
     def task(batches: Iterator) -> Iterator:
@@ -126,7 +132,7 @@ def _statistics_of(sample: DataFrame, text: str):
                 stats = text_statistics(batch.column(0).slice(at, 256).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(list(stats), pa.list_(pa.float64()))], ["stats"])
 
-    rows = sample.select(F.col(text).cast("string").alias("text")).mapInArrow(task, "stats array<double>").collect()
+    rows = sample.select("_text").mapInArrow(task, "stats array<double>").collect()
     return np.array([r[0] for r in rows], dtype=float).reshape(len(rows), _N_STATS)
 
 
@@ -135,16 +141,17 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     """Fit on ``labels`` (all of whose rows are taken as training rows) and the texts of ``docs`` as unlabelled web text.
 
     The class prior is the share of positives among the labelled rows unless one is given; with no negative
-    among them, 0.9. Without positives or texts there is no model (None): every score is then 0.5.
+    among them, 0.9. Without positives or texts there is no model (None): every score is then 0.5. Repeated rows and ids count as often as
+    they stand; other columns, whatever their names, are not read. Samples hold about MAX_POSITIVES and MAX_UNLABELLED rows.
     """
-    marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).alias("mark"))
+    marked = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_key"), F.col(label).alias("mark"))
     share = marked.agg(F.avg((F.col("mark") == 1).cast("double"))).first()[0]
     if share is None or share == 0:
         return None
     if prior is None:
         prior = share if share < 1 else 0.9
-    positive = _statistics_of(_sample(docs, doc_id, marked.where("mark = 1").select("id"), MAX_POSITIVES), text)
-    unlabelled = _statistics_of(_sample(docs, doc_id, None, MAX_UNLABELLED), text)
+    positive = _statistics_of(_sample(docs, doc_id, text, marked.where("mark = 1").select("_key").distinct(), MAX_POSITIVES))
+    unlabelled = _statistics_of(_sample(docs, doc_id, text, None, MAX_UNLABELLED))
     if not len(positive) or not len(unlabelled):
         return None
     return fit_nnpu(positive, unlabelled, prior)
