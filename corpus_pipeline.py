@@ -7,6 +7,7 @@ returns the pieces of packed sequences.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +31,18 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return scored.where("score >= 0.5").select([F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """(row, line), written once: every later scan sees the same line for a row, however it is split into tasks."""
-    return scratch(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("line")))
+def _placed(docs: DataFrame) -> DataFrame:
+    """(row, line): line is a row's place, its file and number there, the same in every scan however files are split.
+
+    A frame that is no scan of files is written first.
+    """
+    def places(df):
+        return df.select(F.struct("*").alias("row"), F.struct("_metadata.file_path", "_metadata.row_index").alias("line"))
+
+    try:
+        return places(docs)
+    except AnalysisException:
+        return places(scratch(docs))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +50,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Documents without words have no duplicates and all stay.
     """
-    rows = _numbered(docs)
+    rows = _placed(docs)
     keyed = rows.select(F.struct("row.doc_id", "line").alias("key"), "row.text")
     part = ngram_join.jaccard_components(keyed, doc_id="key", width=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = part.where("key != component_id").select("key.line")
@@ -49,7 +59,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (0 to 3 times), sources weighed 1, 2, 3, ... in code point order."""
-    rows = _numbered(docs)
+    rows = _placed(docs)
     keys = rows.select("row.doc_id", "row.source", word_count(F.col("row.text")).alias("words"), "line")
     taken = mixing.mix(keys, F.array("source"), F.col("words")).where("passes > 0").select("line", "passes")
     often = rows.join(taken, "line").withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("passes"))))
