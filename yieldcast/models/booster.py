@@ -1,6 +1,6 @@
 """Second-order gradient boosting on binned blocks, as Spark jobs.
 
-Every level of a tree is one pass over the blocks: tasks add up gradients and hessians per (node, feature, code), the sums of a slab of
+Every level of a tree is one pass over the blocks (rows that make up one partition go through all levels in its task): tasks add up gradients and hessians per (node, feature, code), the sums of a slab of
 features are reduced in one place, and only the best split of each node reaches the driver. Gradients are rounded to a fixed number of
 binary places and added as whole numbers, so a fit does not depend on partitions, their order or lost executors.
 
@@ -30,7 +30,7 @@ from yieldcast.models.binning import Binning
 
 SCALE = float(1 << 24)           # gradients, hessians and losses are counted in units of 1 / SCALE
 LEAST_GAIN = 1e-6
-CELLS = 4_000_000                # codes of a partition (rows x features)
+CELLS = 16_000_000               # codes of a partition (rows x features)
 REBASE = 10                      # rounds after which rows carry their margin
 WHOLE = 10                       # every so many of these, margins are worked out from all trees again
 DEFAULTS = {"max_depth": 6, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_weight": 1.0, "gamma": 0.0,
@@ -313,6 +313,38 @@ def _run_pass(blocks: RDD, task: _Pass, category, params: dict, slabs: int):
     return found or [], loss, n
 
 
+def _chosen(features: list[int], share: float, seed: int, round_: int) -> list[int]:
+    """The features that a round's tree may use."""
+    k = max(1, int(share * len(features)))
+    if k == len(features):
+        return features
+    return sorted(int(f) for f in np.random.default_rng([seed, round_]).choice(features, k, replace=False))
+
+
+def _rounds_in_task(blocks: RDD, start: _Pass, rounds: list[tuple[int, list[int]]], category, p: dict) -> list[tuple]:
+    """Several rounds over rows that make up one partition: (tree, validation loss, validation rows) of each.
+
+    The sums of that partition are the whole sums, so its task goes through the levels and rounds without the driver. ``rounds`` holds
+    each round's seed and features.
+    """
+    def part(rows):
+        held = [b | {"margin": _margin(b, start)} for b in rows]
+        out = []
+        for seed, features in rounds:
+            def run(growing, open_nodes, chosen, evaluate):
+                task = _Pass(start.objective, start.target, start.base, [], growing, open_nodes, chosen, start.sample, seed, evaluate and start.evaluate,
+                             start.slots, start.every_row)
+                hist, loss, n = _sums(held, task)
+                return best_splits(hist, chosen, category[chosen], p), loss, n
+
+            out.append(_grow(run, features, start.slots, p))
+            for b in held:
+                b["margin"] = b["margin"] + out[-1][0].output(b["codes"])
+        yield out
+
+    return blocks.mapPartitions(part).collect()[0]
+
+
 def as_blocks(table: DataFrame, binning: Binning, n_labels: int) -> RDD:
     """Blocks as numpy records, in partitions of about ``CELLS`` codes, kept in memory or on disk."""
     width, dtype = len(binning.names), binning.dtype
@@ -433,19 +465,27 @@ def boost(blocks: RDD, binning: Binning, objective: str, params: dict, max_round
             best = (value, len(ensemble.trees))
         return value
 
-    stopped = False
-    for _ in range(max_rounds):
-        rng = np.random.default_rng([seed, len(ensemble.trees)])
-        k = max(1, int(p["colsample_bytree"] * len(every)))
-        chosen = every if k == len(every) else sorted(int(f) for f in rng.choice(every, k, replace=False))
-        tree, loss, n = _grow(run, chosen, slots, p)
-        if patience is not None:
-            value = measured(loss, n)
-            if len(ensemble.trees) - best[1] >= patience or (watch and watch(len(ensemble.trees), value)):
-                stopped = True
-                break
-        ensemble.trees.append(tree)
-        if len(ensemble.trees) % REBASE == 0:
+    def planned(round_):
+        return seed * 1_000_003 + round_, _chosen(every, float(p["colsample_bytree"]), seed, round_)
+
+    stopped, one = False, blocks.getNumPartitions() == 1
+    while len(ensemble.trees) < max_rounds and not stopped:
+        done = len(ensemble.trees)
+        if one:
+            start = _Pass(objective, target, ensemble.base, ensemble.trees[carried:], None, [], [], float(p["subsample"]), 0, patience is not None, slots, every_row)
+            grown = _rounds_in_task(rows, start, [planned(r) for r in range(done, min(done + REBASE, max_rounds))], category, p)
+            while stale:
+                stale.pop().unpersist()
+        else:
+            grown = [_grow(run, planned(done)[1], slots, p)]
+        for tree, loss, n in grown:
+            if patience is not None:
+                value = measured(loss, n)
+                if len(ensemble.trees) - best[1] >= patience or (watch and watch(len(ensemble.trees), value)):
+                    stopped = True
+                    break
+            ensemble.trees.append(tree)
+        if not stopped and len(ensemble.trees) % REBASE == 0:
             carry()
     if patience is not None:
         if not stopped:
