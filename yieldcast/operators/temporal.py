@@ -121,8 +121,8 @@ def fill_week_grid(df: DataFrame, keys: Sequence[str] = S.SERIES_KEYS) -> DataFr
 POS = "_pos"
 SEG = "_seg"
 NEGLIGIBLE = 1e-30       # weight, relative to the latest value's, below which old values are left out
-MICRO = 6                # places of the values that rolling means add up (those of the feature table)
-LARGEST = 1e24           # magnitudes from here on count as infinite in rolling means and EWMA
+MICRO = 12               # places of the values that rolling means add up
+LARGEST = 1e18           # magnitudes from here on count as infinite in rolling means and EWMA
 _HIGH = 1 << 32          # two counts share a long
 
 
@@ -187,7 +187,7 @@ class _Running:
                 present += f" + IF(isnan({x}), {_HIGH}L, 0L)"
                 out.append(f"sum(IF({x} >= {LARGEST}D AND NOT isnan({x}), 1L, 0L) + IF({x} <= -{LARGEST}D, {_HIGH}L, 0L)) {over} AS h{i}")
             else:
-                micro = f"CAST({x} AS DECIMAL(25, 0)) * CAST({10 ** MICRO} AS DECIMAL(7, 0))"
+                micro = f"CAST({x} AS DECIMAL(25, 0)) * CAST({10 ** MICRO} AS DECIMAL(13, 0))"
             out += [f"sum({micro}) {over} AS s{i}", f"sum({present}) {over} AS k{i}"]
             for j, a in enumerate(self.alphas):
                 if a < 1.0:
@@ -260,7 +260,7 @@ def temporal_features(df: DataFrame, cols: Sequence[str] | None = None,
 
     * lag n: the value n gridded rows back (null when that row is a gap);
     * rolling n: mean of the previous n rows when at least max(1, n // 2) are present, for the long sizes
-      ``S.LONG_MIN_PERIODS``; exact on values of 6 places;
+      ``S.LONG_MIN_PERIODS``; exact on values of 12 places;
     * EWMA: for row t sum_{j<t} x_j (1-a)^(t-1-j) / sum_{j<t, x_j present} (1-a)^(t-1-j), null when fewer than
       ``min_periods`` values precede or the previous row is missing. Values and counts reach back to the start of the
       previous segment, at least ``segment_length`` rows.

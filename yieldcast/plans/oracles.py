@@ -164,13 +164,13 @@ def temporal_sql(cols, lags=(), rolling=(), rolling_long=(), alphas=(), extra=()
 def temporal_all_sql(cols, digits: int) -> str:
     """All lags, rolling means and EWMA of all columns on the gridded series.
 
-    Rolling means are sums of whole micro-units; a window's NaN and infinite values are counted in one packed sum.
+    Rolling means are sums in whole units of 1e-12; a window's NaN and infinite values are counted in one packed sum.
     """
     real = set(_DOUBLE_COLS)
     prep, feats, names = [], [], []
     for c in cols:
         finite = f"CASE WHEN isfinite({c}) THEN {c} END" if c in real else c
-        prep += [f"CAST(round({finite} * 1000000.0) AS HUGEINT) AS m_{c}" if c in real else f"CAST({c} AS HUGEINT) * 1000000 AS m_{c}"]
+        prep += [f"CAST(round({finite} * 1000000000000.0::DOUBLE) AS HUGEINT) AS m_{c}" if c in real else f"CAST({c} AS HUGEINT) * 1000000000000 AS m_{c}"]
         if c in real:
             prep.append(f"CASE WHEN {c} IS NULL THEN 0 WHEN isnan({c}) THEN 1 WHEN {c} = 'inf'::DOUBLE THEN 1000000 "
                         f"WHEN {c} = '-inf'::DOUBLE THEN 1000000000000 ELSE 0 END AS f_{c}")
@@ -188,7 +188,7 @@ def temporal_all_sql(cols, digits: int) -> str:
             names.append(f"{c}_lag_{n}w")
         for n, m in [(n, max(1, n // 2)) for n in S.ROLLING_WEEKS] + [(n, S.LONG_MIN_PERIODS) for n in S.ROLLING_WEEKS_LONG]:
             fr = f"(w ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
-            mean = f"CAST(coalesce(sum(m_{c}) OVER {fr}, 0) AS DOUBLE) / CAST(count({c}) OVER {fr} AS DOUBLE) / 1000000.0::DOUBLE"
+            mean = f"CAST(coalesce(sum(m_{c}) OVER {fr}, 0) AS DOUBLE) / CAST(count({c}) OVER {fr} AS DOUBLE) / 1000000000000.0::DOUBLE"
             feats.append(f"CASE WHEN count({c}) OVER {fr} >= {m} THEN {settled(c, fr, mean)} END AS {c}_rolling_{n}w")
             names.append(f"round({c}_rolling_{n}w, 6) + 0.0 AS {c}_rolling_{n}w")
         for a in S.EWMA_ALPHAS:
