@@ -148,3 +148,19 @@ def test_pipeline_resumes_at_the_first_missing_stage(spark, tmp_path, monkeypatc
     monkeypatch.setattr(PL.SC, "predict", fails)
     again = PL.run(spark, ["x"], f"{tmp_path}/out", **args)
     assert again["overall_mae"].first() == out["overall_mae"].first()
+
+
+def test_training_rows_of_one_class_are_fitted(spark):
+    """Without negative rows all rows weigh 1, and stage 1 expects what it saw; its margin counts trees without a split."""
+    from yieldcast.operators import baseline as B
+
+    rows = [(f"s{i % 3}", "g", 1999 + i // 100, 1, i % 50 + 1, float(i % 7), 0.25 + 0.01 * (i % 9)) for i in range(200)]
+    df = spark.createDataFrame(rows, "hashed_fc string, gl_product_group string, year int, month int, week int, units_total double, prob_recovered double")
+    weighted = B.with_class_weight(df.selectExpr("*", "1.0D as label"))
+    assert {r["weight"] for r in weighted.select("weight").collect()} == {1.0}
+    m = T.train_stage1(df, [2000], max_iter=5)
+    assert m.rounds >= 1
+    got = SC.score_stage1(m, df).selectExpr("min(p_nonzero)", "max(p_nonzero)").first()
+    assert 0.999 < got[0] <= got[1] <= 1.0
+    margin = df.select(m.margin(df).alias("m")).first()[0]
+    assert margin == pytest.approx(m.ensemble.base + sum(float(t.value[0]) for t in m.ensemble.trees))

@@ -101,7 +101,7 @@ class Ensemble:
         """The margin as a column over ``df``; only the columns that trees use go to Python, in Arrow batches."""
         used = sorted({int(f) for t in self.trees for f in t.feature if f >= 0})
         if not used:
-            return F.lit(self.base)
+            return F.lit(float(self.margin(np.zeros((0, 1), self.binning.dtype))[0]))
         place = {f: i for i, f in enumerate(used)}
         packed = [Tree(np.array([place.get(int(f), -1) for f in t.feature]), t.left, t.right, t.side, t.value, t.cover, t.gain) for t in self.trees]
         shared = df.sparkSession.sparkContext.broadcast((self.binning, used, packed, self.base))

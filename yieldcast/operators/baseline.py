@@ -236,8 +236,11 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "label", weight: str = "weight") -> DataFrame:
-    """Positive rows weighted by scale_pos_weight (one-row table, broadcast)."""
-    bal = class_balance(df, label).select("scale_pos_weight")
+    """Positive rows weighted by scale_pos_weight (one-row table, broadcast).
+
+    Without negative rows that weight is 0 and would leave no row to fit: there is nothing to balance, all rows weigh 1.
+    """
+    bal = class_balance(df, label).select(F.when(F.col("n_neg") > 0, F.col("scale_pos_weight")).otherwise(F.lit(1.0)).alias("scale_pos_weight"))
     return (df.crossJoin(F.broadcast(bal))
               .withColumn(weight, F.when(F.col(label) == 1, F.col("scale_pos_weight")).otherwise(F.lit(1.0)))
               .drop("scale_pos_weight"))
