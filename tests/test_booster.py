@@ -192,3 +192,30 @@ def test_no_rows_to_fit(spark):
     df = frame(spark).withColumn("is_valid", F.lit(True))
     with prepared(spark, "squared", df) as p, pytest.raises(ValueError):
         BO.boost(p.blocks, p.binning, "squared", {}, 2)
+
+
+def test_of_two_sibling_nodes_only_the_smaller_one_is_added_up(spark, monkeypatch):
+    added = []
+    plain = BO._Growth.add_up
+
+    def counted(self, nodes):
+        added.append((len(self.g), sum(len(self.rows[n]) for n in nodes)))
+        return plain(self, nodes)
+
+    monkeypatch.setattr(BO._Growth, "add_up", counted)
+    with prepared(spark, "squared") as p:
+        whole = [b | {"margin": BO._margin(b, BO._Pass("squared", 0, 0.0, [], None, [], [], 1.0, 0, False, p.binning.slots))} for b in p.blocks.collect()]
+        task = BO._Pass("squared", 0, 0.0, [], None, [0], [0, 1, 2], 1.0, 7, False, p.binning.slots)
+        block = BO._merged(whole)
+        growth, params = BO._Growth(block, task), BO.DEFAULTS | {"max_depth": 5}
+
+        def run(growing, open_nodes, chosen, evaluate):
+            sums = growth.level(growing, open_nodes)
+            again = BO._Pass("squared", 0, 0.0, [], growing, open_nodes, chosen, 1.0, 7, False, p.binning.slots)
+            assert np.array_equal(sums, BO._sums(iter([block]), again)[0])
+            return BO.best_splits(sums, chosen, p.binning.is_category[chosen], params), 0, 0
+
+        tree, *_ = BO._grow(run, [0, 1, 2], p.binning.slots, params)
+        assert np.array_equal(growth.output(tree), tree.output(block["codes"]))
+    assert len(added) == 5 and added[0][0] == added[0][1]
+    assert all(n <= every // 2 for every, n in added[1:])

@@ -31,7 +31,9 @@ from yieldcast.models.binning import Binning
 SCALE = float(1 << 24)           # gradients, hessians and losses are counted in units of 1 / SCALE
 LEAST_GAIN = 1e-6
 CELLS = 16_000_000               # codes of a partition (rows x features)
-REBASE = 10                      # rounds after which rows carry their margin
+TOGETHER = 4                     # nodes whose splits are searched at once, so that their sums stay near the processor
+REBASE = 10                      # rounds after which rows carry their margin; up to MOST times as many in the task of a single partition
+MOST = 5
 WHOLE = 10                       # every so many of these, margins are worked out from all trees again
 DEFAULTS = {"max_depth": 6, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0, "min_child_weight": 1.0, "gamma": 0.0,
             "reg_alpha": 0.0, "reg_lambda": 1.0, "max_delta_step": 0.0}
@@ -53,12 +55,14 @@ class Tree:
     def nodes(self, codes: np.ndarray) -> np.ndarray:
         """The node where each row (column of ``codes``) ends."""
         at = np.zeros(codes.shape[1], dtype=np.int32)
-        rows = np.arange(codes.shape[1])
-        while len(rows):
-            rows = rows[self.feature[at[rows]] >= 0]
-            now = at[rows]
-            go = self.side[now, codes[self.feature[now], rows]]
-            at[rows] = np.where(go, self.left[now], self.right[now])
+        held = [(0, np.arange(codes.shape[1]))]
+        while held:
+            node, rows = held.pop()
+            if self.feature[node] < 0 or not len(rows):
+                at[rows] = node
+                continue
+            go = self.side[node][codes[self.feature[node]][rows]]
+            held += [(int(self.left[node]), rows[go]), (int(self.right[node]), rows[~go])]
         return at
 
     def output(self, codes: np.ndarray) -> np.ndarray:
@@ -150,7 +154,7 @@ def _whole(x):
 # -- splits --------------------------------------------------------------------
 
 def leaf_weight(g, h, p: dict):
-    shrunk = np.sign(g) * np.maximum(np.abs(g) - p["reg_alpha"], 0.0)
+    shrunk = np.copysign(np.maximum(np.abs(g) - p["reg_alpha"], 0.0), g)
     weight = -shrunk / np.maximum(h + p["reg_lambda"], 1e-16)
     step = p["max_delta_step"]
     return np.clip(weight, -step, step) if step else weight
@@ -158,44 +162,73 @@ def leaf_weight(g, h, p: dict):
 
 def score(g, h, p: dict):
     w = leaf_weight(g, h, p)
-    return -(2.0 * g * w + (h + p["reg_lambda"]) * w * w + 2.0 * p["reg_alpha"] * np.abs(w))
+    out, curve = 2.0 * g, h + p["reg_lambda"]
+    out *= w
+    curve *= w
+    curve *= w
+    out += curve
+    out += 2.0 * p["reg_alpha"] * np.abs(w)
+    return -out
 
 
 def best_splits(sums, features: Sequence[int], category, p: dict) -> list[tuple]:
     """Per node the best split of a slab of features: (gain, feature, left codes, G left, H left, G, H); feature -1 without one.
 
     ``sums``: gradient and hessian sums (2, nodes, features, slots) in units of 1 / SCALE, the last slot for missing
-    values. Of equal gains the first feature wins, then missing values to the right, then the smaller cut.
+    values. Of equal gains the first feature wins, then missing values to the right, then the smaller cut. Cuts that move no row are not
+    scored: they cannot win against the one before, nor missing values on the left where there are none.
     """
+    if sums.shape[1] > TOGETHER:
+        return [found for a in range(0, sums.shape[1], TOGETHER) for found in best_splits(sums[:, a:a + TOGETHER], features, category, p)]
     g, h = sums.astype(np.float64) / SCALE
-    order = np.broadcast_to(np.arange(g.shape[2] - 1), (*g.shape[:2], g.shape[2] - 1))
+    nodes, width, cuts = g.shape[0], g.shape[1], g.shape[2] - 1
+    order, moved_g, moved_h = {}, g[:, :, :-1], h[:, :, :-1]
     cat = np.flatnonzero(np.asarray(category, dtype=bool))
     if len(cat):
-        order = order.copy()
         held = h[:, cat, :-1]
         ratio = np.where(held > 0, g[:, cat, :-1] / np.maximum(held + p["reg_lambda"], 1e-16), np.inf)
-        order[:, cat] = np.argsort(ratio, axis=2, kind="stable")
-    left_g = np.cumsum(np.take_along_axis(g[:, :, :-1], order, 2), axis=2)
-    left_h = np.cumsum(np.take_along_axis(h[:, :, :-1], order, 2), axis=2)
-    total_g, total_h = left_g[:, :1, -1:] + g[:, :1, -1:], left_h[:, :1, -1:] + h[:, :1, -1:]
+        by_ratio = np.argsort(ratio, axis=2, kind="stable")
+        order = {int(f): by_ratio[:, i] for i, f in enumerate(cat)}
+        moved_g, moved_h = moved_g.copy(), moved_h.copy()
+        moved_g[:, cat] = np.take_along_axis(moved_g[:, cat], by_ratio, 2)
+        moved_h[:, cat] = np.take_along_axis(held, by_ratio, 2)
+    left_g, left_h = np.cumsum(moved_g, axis=2), np.cumsum(moved_h, axis=2)
+    total_g, total_h = left_g[:, 0, -1] + g[:, 0, -1], left_h[:, 0, -1] + h[:, 0, -1]
     least = max(float(p["min_child_weight"]), 1e-16)
-    gains = []
-    for missing in (0.0, 1.0):
-        gl, hl = left_g + missing * g[:, :, -1:], left_h + missing * h[:, :, -1:]
-        gr, hr = total_g - gl, total_h - hl
-        gain = score(gl, hl, p) + score(gr, hr, p) - score(total_g, total_h, p)
-        gains.append(np.where((hl >= least) & (hr >= least), gain, -np.inf))
-    gain = np.stack(gains, axis=2)                       # node, feature, missing side, cut
-    flat = gain.reshape(gain.shape[0], -1)
+    moves = (moved_g != 0) | (moved_h != 0)
+    moves[:, :, 0] = True
+    whole, missed = score(total_g, total_h, p), ((g[:, :, -1:] != 0) | (h[:, :, -1:] != 0))
+    found = []                                           # per side of missing values: place in (node, feature, side, cut) order, gain, ends of nodes
+    for side in (0, 1):
+        hl = left_h + h[:, :, -1:] if side else left_h
+        hr = total_h[:, None, None] - hl
+        allowed = (hl >= least) & (hr >= least) & moves
+        if side:
+            allowed &= missed
+        at = np.flatnonzero(allowed)
+        pair = at // cuts
+        node = pair // width
+        gl = left_g.ravel()[at]
+        if side:
+            gl = gl + g[:, :, -1].ravel()[pair]
+        gain = score(gl, hl.ravel()[at], p) + score(total_g[node] - gl, hr.ravel()[at], p) - whole[node]
+        found.append((at + (pair + side) * cuts, gain, np.searchsorted(at, np.arange(nodes + 1) * (width * cuts))))
     out = []
-    for node, at in enumerate(flat.argmax(axis=1)):
-        f, missing, cut = np.unravel_index(at, gain.shape[1:])
-        go = np.zeros(g.shape[2], dtype=bool)
-        go[order[node, f, :cut + 1]] = True
+    for node in range(nodes):
+        won, place = -np.inf, 0
+        for places, gain, ends in found:
+            a, b = int(ends[node]), int(ends[node + 1])
+            if b > a:
+                best = a + int(gain[a:b].argmax())
+                if gain[best] > won or (gain[best] == won and places[best] < place):
+                    won, place = float(gain[best]), int(places[best])
+        _, f, missing, cut = (int(x) for x in np.unravel_index(place, (nodes, width, 2, cuts)))
+        go = np.zeros(cuts + 1, dtype=bool)
+        go[order[f][node, :cut + 1] if f in order else slice(cut + 1)] = True
         go[-1] = bool(missing)
         gl, hl = left_g[node, f, cut] + missing * g[node, f, -1], left_h[node, f, cut] + missing * h[node, f, -1]
-        found = flat[node, at] >= max(p["gamma"], LEAST_GAIN)
-        out.append((float(flat[node, at]), int(features[f]) if found else -1, go, float(gl), float(hl), float(total_g[node, 0, 0]), float(total_h[node, 0, 0])))
+        split = won >= max(p["gamma"], LEAST_GAIN)
+        out.append((won, int(features[f]) if split else -1, go, float(gl), float(hl), float(total_g[node]), float(total_h[node])))
     return out
 
 
@@ -321,6 +354,108 @@ def _chosen(features: list[int], share: float, seed: int, round_: int) -> list[i
     return sorted(int(f) for f in np.random.default_rng([seed, round_]).choice(features, k, replace=False))
 
 
+def _merged(blocks: list) -> dict:
+    """Blocks of one partition as one, which must carry their margin."""
+    if len(blocks) == 1:
+        return dict(blocks[0])
+    return {k: np.concatenate([b[k] for b in blocks], axis=-1) for k in ("codes", "y", "w", "valid", "keys", "margin")}
+
+
+class _Growth:
+    """The rows of a partition while one tree grows on it: rows and sums of every node.
+
+    Of two sibling nodes only the one with fewer rows is added up, the other one's sums are those of their parent less these
+    (whole numbers, so the same as added up). Rows stand by node, none walks down the tree twice.
+    """
+
+    def __init__(self, block, task: _Pass):
+        self.codes, self.slots = block["codes"], task.slots
+        y, valid = block["y"][task.target], block["valid"]
+        take = sampled(block["keys"], task.sample, task.seed)
+        if not task.every_row:
+            take = take & ~valid
+        self.features = task.features
+        # fitted rows have their gradients and the codes of this tree's features side by side
+        fitted = np.flatnonzero(take)
+        self.g, self.h = (_whole(x) for x in gradients(task.objective, block["margin"][fitted], y[fitted], _weight(block, task.target)[fitted]))
+        # hessians that are all alike are counted, not added up
+        self.alike = int(self.h[0]) if len(self.h) and (self.h == self.h[0]).all() else None
+        self.near = np.empty((len(task.features), len(fitted)), self.codes.dtype)
+        for i, f in enumerate(task.features):
+            np.take(self.codes[f], fitted, out=self.near[i])
+        self.place = {int(f): i for i, f in enumerate(task.features)}
+        self.rows = {0: np.arange(len(fitted))}                     # places among the fitted rows
+        self.others = {0: np.flatnonzero(~take)}                    # rows of the partition
+        self.fitted, self.sums, self.split = fitted, {}, 0
+
+    def follow(self, tree: Tree) -> None:
+        """Move rows through the splits that ``tree`` has gained."""
+        for node in range(self.split, len(tree.feature)):
+            if tree.feature[node] < 0 or node not in self.rows:
+                continue
+            f, side = tree.feature[node], tree.side[node]
+            for held, codes in ((self.rows, self.near[self.place[int(f)]]), (self.others, self.codes[f])):
+                mine = held.pop(node)
+                go = side[codes[mine]]
+                held[int(tree.left[node])], held[int(tree.right[node])] = mine[go], mine[~go]
+
+    def add_up(self, nodes: list[int]) -> None:
+        """Gradient and hessian sums (2, features, slots) of each of the nodes."""
+        if not nodes:
+            return
+        slots, cells = self.slots, len(nodes) * self.slots
+        mine = np.concatenate([self.rows[n] for n in nodes])
+        start = np.repeat(np.arange(len(nodes)) * slots, [len(self.rows[n]) for n in nodes])
+        every = len(mine) == len(self.g)
+        g, h = (self.g, self.h) if every and len(nodes) == 1 else (self.g[mine], self.h[mine])
+        out = np.zeros((2, len(self.features), cells), dtype=np.int64)
+        for i, near in enumerate(self.near):
+            spot = near if every and len(nodes) == 1 else near[mine]
+            spot = spot.astype(np.intp) if len(nodes) == 1 else start + spot
+            out[0, i] = np.bincount(spot, weights=g, minlength=cells)
+            if self.alike is None:
+                out[1, i] = np.bincount(spot, weights=h, minlength=cells)
+            else:
+                out[1, i] = np.bincount(spot, minlength=cells)
+        if self.alike is not None:
+            out[1] *= self.alike
+        out = out.reshape(2, len(self.features), len(nodes), slots)
+        for k, n in enumerate(nodes):
+            self.sums[n] = out[:, :, k]
+
+    def level(self, tree: Tree | None, open_nodes: list[int]) -> np.ndarray:
+        """Sums (2, nodes, features, slots) of the open nodes."""
+        if tree is None:
+            self.add_up(open_nodes)
+        else:
+            self.follow(tree)
+            wanted, parents = set(open_nodes), [n for n in self.sums if tree.feature[n] >= 0]
+            fewer, rest = [], []
+            for n in parents:
+                a, b = int(tree.left[n]), int(tree.right[n])
+                if a in wanted or b in wanted:
+                    few, many = (a, b) if len(self.rows[a]) <= len(self.rows[b]) else (b, a)
+                    fewer.append(few)
+                    if many in wanted:
+                        rest.append((n, few, many))
+            self.add_up(fewer)
+            for n, few, many in rest:
+                self.sums[many] = self.sums[n] - self.sums[few]
+            self.sums = {n: x for n, x in self.sums.items() if n in wanted}
+        self.split = min(open_nodes)
+        return np.stack([self.sums[n] for n in open_nodes], axis=1)
+
+    def output(self, tree: Tree) -> np.ndarray:
+        """The grown tree's value for every row of the partition."""
+        self.follow(tree)
+        out = np.zeros(self.codes.shape[1])
+        for node, mine in self.rows.items():
+            out[self.fitted[mine]] = tree.value[node]
+        for node, mine in self.others.items():
+            out[mine] = tree.value[node]
+        return out
+
+
 def _rounds_in_task(blocks: RDD, start: _Pass, rounds: list[tuple[int, list[int]]], category, p: dict) -> list[tuple]:
     """Several rounds over rows that make up one partition: (tree, validation loss, validation rows) of each.
 
@@ -328,28 +463,31 @@ def _rounds_in_task(blocks: RDD, start: _Pass, rounds: list[tuple[int, list[int]
     each round's seed and features.
     """
     def part(rows):
-        held = [b | {"margin": _margin(b, start)} for b in rows]
+        block = _merged([b | {"margin": _margin(b, start)} for b in rows])
+        y, valid = block["y"][start.target], block["valid"]
         out = []
         for seed, features in rounds:
+            loss = n = 0
+            if start.evaluate and valid.any():
+                loss, n = int(_whole(losses(start.objective, block["margin"][valid], y[valid])).sum()), int(valid.sum())
+            growth = _Growth(block, _Pass(start.objective, start.target, start.base, [], None, [0], features, start.sample, seed, False,
+                                          start.slots, start.every_row))
+
             def run(growing, open_nodes, chosen, evaluate):
-                task = _Pass(start.objective, start.target, start.base, [], growing, open_nodes, chosen, start.sample, seed, evaluate and start.evaluate,
-                             start.slots, start.every_row)
-                hist, loss, n = _sums(held, task)
-                return best_splits(hist, chosen, category[chosen], p), loss, n
+                return best_splits(growth.level(growing, open_nodes), chosen, category[chosen], p), loss, n
 
             out.append(_grow(run, features, start.slots, p))
-            for b in held:
-                b["margin"] = b["margin"] + out[-1][0].output(b["codes"])
+            block["margin"] = block["margin"] + growth.output(out[-1][0])
         yield out
 
     return blocks.mapPartitions(part).collect()[0]
 
 
-def as_blocks(table: DataFrame, binning: Binning, n_labels: int) -> RDD:
-    """Blocks as numpy records, in partitions of about ``CELLS`` codes, kept in memory or on disk."""
+def as_blocks(table: DataFrame, binning: Binning, n_labels: int, cells: int = CELLS) -> RDD:
+    """Blocks as numpy records, in partitions of about ``cells`` codes, kept in memory or on disk."""
     width, dtype = len(binning.names), binning.dtype
     size = table.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, min(table.rdd.getNumPartitions(), -(-size * max(1, width) // CELLS)))
+    parts = max(1, min(table.rdd.getNumPartitions(), -(-size * max(1, width) // cells)))
 
     def record(r):
         n = r["n"]
@@ -434,7 +572,7 @@ def boost(blocks: RDD, binning: Binning, objective: str, params: dict, max_round
     category, slots = binning.is_category, binning.slots
     slabs = max(1, blocks.getNumPartitions())
     ensemble = Ensemble(binning, [], base_margin(blocks, objective, target, every_row), objective)
-    rows, carried, stale = blocks, 0, []
+    rows, carried, links, stale = blocks, 0, 0, []
 
     def run(growing, open_nodes, chosen, evaluate):
         task = _Pass(objective, target, ensemble.base, ensemble.trees[carried:], growing, open_nodes, chosen, float(p["subsample"]),
@@ -446,8 +584,9 @@ def boost(blocks: RDD, binning: Binning, objective: str, params: dict, max_round
 
     def carry():
         """Give the rows the margin of all trees so far; every ``WHOLE`` times from the first blocks, so that lineage stays short."""
-        nonlocal rows, carried
-        afresh = (len(ensemble.trees) // REBASE) % WHOLE == 0
+        nonlocal rows, carried, links
+        links = (links + 1) % WHOLE
+        afresh = links == 0
         task = _Pass(objective, target, ensemble.base, ensemble.trees[0 if afresh else carried:], None, [], [], 1.0, 0, False, slots)
         source = blocks if afresh else rows
         moved = source.map(lambda b: b | {"margin": _margin(b, task)}).persist(StorageLevel.MEMORY_AND_DISK)
@@ -473,7 +612,8 @@ def boost(blocks: RDD, binning: Binning, objective: str, params: dict, max_round
         done = len(ensemble.trees)
         if one:
             start = _Pass(objective, target, ensemble.base, ensemble.trees[carried:], None, [], [], float(p["subsample"]), 0, patience is not None, slots, every_row)
-            grown = _rounds_in_task(rows, start, [planned(r) for r in range(done, min(done + REBASE, max_rounds))], category, p)
+            together = REBASE * min(MOST, 1 + done // (REBASE * WHOLE))      # few at first: a trial may soon be cut
+            grown = _rounds_in_task(rows, start, [planned(r) for r in range(done, min(done + together, max_rounds))], category, p)
             while stale:
                 stale.pop().unpersist()
         else:
@@ -485,7 +625,7 @@ def boost(blocks: RDD, binning: Binning, objective: str, params: dict, max_round
                     stopped = True
                     break
             ensemble.trees.append(tree)
-        if not stopped and len(ensemble.trees) % REBASE == 0:
+        if not stopped and (one or len(ensemble.trees) % REBASE == 0):
             carry()
     if patience is not None:
         if not stopped:
