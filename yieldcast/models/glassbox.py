@@ -16,6 +16,7 @@ strongest are fitted by the same boosting on top of the features' tables.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,6 +41,7 @@ REFRESH = 10             # rounds between two measurements of a log loss
 RIDGE = 1.0              # added to every hessian sum, so that thin bins take small steps
 PAIRS = 10               # pairs that are fitted
 PAIR_SEP = "__x__"
+CELLS = 500_000          # codes of a partition: a pass over pairs of features takes each code as often as there are features
 
 
 @dataclass
@@ -191,7 +193,8 @@ def _boost_terms(blocks: RDD, s: _State, rate: float, max_rounds: int, patience:
     if s.objective == "squared":
         slopes, losses, seen = _measure(blocks, s)
         own = _own_slopes(blocks, s)
-        for k in range(n):
+
+        def fit_bag(k: int) -> None:
             pair = whole - per_bag[k]
             h, slope, out = np.diag(pair).copy(), slopes[k].copy(), own[k].copy()
             vector, best, waited, loss = s.vectors[k].copy(), (losses[k], 0, s.vectors[k].copy()), 0, losses[k]
@@ -209,24 +212,31 @@ def _boost_terms(blocks: RDD, s: _State, rate: float, max_rounds: int, patience:
                     if waited >= patience:
                         break
             s.vectors[k], rounds[k] = best[2], best[1]
+
+        with ThreadPoolExecutor(max_workers=n) as pool:
+            list(pool.map(fit_bag, range(n)))
         return rounds
+    np.subtract(whole, per_bag, out=per_bag)             # sums of the rows outside each bag
     best = [(np.inf, 0, v.copy()) for v in s.vectors]
     open_bags, done = set(range(n)), 0
-    while True:
-        slopes, losses, _ = _measure(blocks, s)
-        for k in list(open_bags):
-            if losses[k] < best[k][0]:
-                best[k] = (losses[k], done, s.vectors[k].copy())
-            elif done - best[k][1] >= patience:
-                open_bags.discard(k)
-        if not open_bags or done >= max_rounds:
-            break
-        for k in open_bags:
-            pair = whole - per_bag[k]
-            h, slope = np.diag(pair).copy(), slopes[k].copy()
-            for _ in range(every):
-                _sweep(s.vectors[k], slope, pair, h, s.offsets, rate)
-        done += every
+    with ThreadPoolExecutor(max_workers=n) as pool:
+        while True:
+            slopes, losses, _ = _measure(blocks, s)
+            for k in list(open_bags):
+                if losses[k] < best[k][0]:
+                    best[k] = (losses[k], done, s.vectors[k].copy())
+                elif done - best[k][1] >= patience:
+                    open_bags.discard(k)
+            if not open_bags or done >= max_rounds:
+                break
+
+            def step_bag(k: int) -> None:
+                h, slope = np.diag(per_bag[k]).copy(), slopes[k].copy()
+                for _ in range(every):
+                    _sweep(s.vectors[k], slope, per_bag[k], h, s.offsets, rate)
+
+            list(pool.map(step_bag, open_bags))
+            done += every
     for k in range(n):
         rounds[k], s.vectors[k] = best[k][1], best[k][2]
     return rounds
@@ -290,7 +300,7 @@ def prepare_additive(df: DataFrame, features: Sequence[str], label: str, kind: s
     names = MF.resolve_features(df.columns, features)
     nums, cats = [c for c in names if c not in text], [c for c in names if c in text]
     data = df.withColumn("_none", F.lit(False))
-    return T.prepare(data, nums, cats, [label], "logistic" if kind == "classifier" else "squared", [weight] if weight else [], "_none", max_bins=bins)
+    return T.prepare(data, nums, cats, [label], "logistic" if kind == "classifier" else "squared", [weight] if weight else [], "_none", max_bins=bins, cells=CELLS)
 
 
 def fit_prepared(prepared: T.Prepared, bags: int = BAGS, rate: float = LEARNING_RATE, max_rounds: int = MAX_ROUNDS,

@@ -171,8 +171,8 @@ class Prepared:
 
 
 def prepare(df: DataFrame, nums: Sequence[str], cats: Sequence[str], labels: Sequence[str], objective: str, weights: Sequence[str] = (),
-            valid: str = "is_valid", early: Sequence[str] = (), max_bins: int = MAX_BINS) -> Prepared:
-    """Bin a stage's rows and write them as blocks. Cut points come from the fitted rows, categories from all."""
+            valid: str = "is_valid", early: Sequence[str] = (), max_bins: int = MAX_BINS, cells: int = BO.CELLS) -> Prepared:
+    """Bin a stage's rows and write them as blocks, read in partitions of about ``cells`` codes. Cut points come from the fitted rows, categories from all."""
     spark = df.sparkSession
     ship_package(spark)
     columns = list(dict.fromkeys([*nums, *cats, *labels, *weights, valid]))
@@ -185,7 +185,7 @@ def prepare(df: DataFrame, nums: Sequence[str], cats: Sequence[str], labels: Seq
         binned_blocks(narrow.repartition(spark.sparkContext.defaultParallelism), binning, labels, weights, valid).write.parquet(path)
     finally:
         narrow.unpersist()
-    blocks = BO.as_blocks(spark.read.parquet(path), binning, len(labels))
+    blocks = BO.as_blocks(spark.read.parquet(path), binning, len(labels), cells)
     return Prepared(spark, binning, blocks, path, objective, list(early))
 
 
