@@ -71,3 +71,14 @@ def test_both_directions_of_the_index_agree_with_counts(rng):
         keys, n = C.shard_phrases(vocab, counts, C._lf(t), C._lf(t[::-1]), depth, [every] * (depth - 1))
         real = Counter(tuple(int(x) * 11 for x in t[s:s + depth]) for s in range(len(t) - depth + 1) if (t[s:s + depth] > 0).all())
         assert {tuple(map(int, k)): int(c) for k, c in zip(keys, n)} == dict(real)
+
+
+def test_tasks_get_few_rows_at_once(spark, monkeypatch):
+    """Batches are held beside the executor's heap, so they stay small however many rows a partition has."""
+    rows_of = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, met, plain = spark.conf.get(rows_of), [], C.scratch
+    monkeypatch.setattr(C, "scratch", lambda *a: met.append(int(spark.conf.get(rows_of))) or plain(*a))
+    rows = [(i, "alpha beta gamma delta epsilon zeta", "en") for i in range(8)]
+    assert got(spark, rows, 5, 50) == brute(rows, 5, 50)
+    assert C.ROWS_AT_ONCE in met and met.count(C.SHARDS_AT_ONCE) == C.LONGEST - 1
+    assert spark.conf.get(rows_of) == before

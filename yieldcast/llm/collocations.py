@@ -19,13 +19,14 @@ from pyspark.sql.window import Window
 
 from yieldcast.llm import bit_filter
 from yieldcast.llm.byte_words import BREAK, kinds, mix, parts, split_words
-from yieldcast.llm.common import scratch
+from yieldcast.llm.common import remove, scratch, small_batches
 
 LONGEST = 5                      # words of a phrase
 LEAST_COUNT = 100
 TOP = 2000                       # phrases of a language
 SHARD_WORDS = 1 << 18
 ROWS_AT_ONCE = 256               # rows whose texts are copied at once
+SHARDS_AT_ONCE = 2               # shards sent to a task at once, some 2 MB each
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 GAPS = b" \t"
 _ODD = 0x9E3779B97F4A7C15
@@ -278,12 +279,15 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     descending, phrase by its UTF-8 bytes. Null texts are empty; a null language is ``und``; an empty table gives an empty
     result. Repeated rows count as often as they stand. Scores are exact up to counts of 17 digits. Only the two named columns are read.
     """
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    sc = spark.sparkContext
     base = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    words = scratch(base.mapInArrow(_count_task, "h long, n long").groupBy("h").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
+    with small_batches(spark, ROWS_AT_ONCE):
+        words = scratch(base.mapInArrow(_count_task, "h long, n long").groupBy("h").agg(F.sum("n").alias("a")).where(F.col("a") >= least))
     filters = [sc.broadcast(bit_filter.build(words, "h"))]
-    shards = scratch(base.mapInArrow(partial(_index_task, frequent=filters[0]),
-                                     "lang string, words long, vocab array<long>, texts array<string>, counts array<int>, left binary, right binary"))
+    with small_batches(spark, ROWS_AT_ONCE):
+        shards = scratch(base.mapInArrow(partial(_index_task, frequent=filters[0]),
+                                         "lang string, words long, vocab array<long>, texts array<string>, counts array<int>, left binary, right binary"))
     sizes = shards.groupBy("lang").agg(F.sum("words").alias("n"))
     spelt = shards.select("lang", F.explode(F.arrays_zip("vocab", "texts")).alias("v")).select("lang", F.col("v.vocab").alias("h"), F.col("v.texts").alias("word"))
     spelt = spelt.groupBy("h").agg(F.min(F.struct("lang", "word")).alias("v"))
@@ -294,9 +298,11 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     for depth in range(2, LONGEST + 1):
         task = partial(_phrase_task, depth=depth, filters=list(filters))
         counted = shards.select("vocab", "counts", "left", "right").mapInArrow(task, "prefix long, word long, n long")
-        kept = (counted.groupBy("prefix", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-                .mapInArrow(_hash_task, "prefix long, word long, a long, h long"))
-        found = scratch(kept)
+        summed: list[str] = []
+        with small_batches(spark, SHARDS_AT_ONCE):
+            kept = scratch(counted.groupBy("prefix", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least), summed)
+        found = scratch(kept.mapInArrow(_hash_task, "prefix long, word long, a long, h long"))
+        remove(spark, summed.pop())
         if depth < LONGEST:
             filters.append(sc.broadcast(bit_filter.build(found, "h")))
         shorter = levels[-1]
