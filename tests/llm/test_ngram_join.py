@@ -135,3 +135,23 @@ def test_connected_components_of_paths_stars_and_nothing(spark):
     got = dict(tuple(r) for r in connected_components(df).collect())
     assert got == {i: 0 for i in range(41)} | {100 + k: 100 for k in range(30)} | {499: 499, 500: 499}
     assert connected_components(df.where(F.lit(False))).collect() == []
+
+
+def test_copies_in_several_batches_give_signatures_once():
+    import pyarrow as pa
+
+    flat = np.arange(300, dtype=np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.ListArray.from_arrays(pa.array([0, 300], pa.int32()), pa.array(flat))], ["id", "w"])
+    one, two = N._read_task(iter([batch, batch]), 3, 90)
+    assert len(one.column(4)[0]) > 0 and len(two.column(4)[0]) == 0
+    assert one.column(1) == two.column(1)
+
+
+def test_tasks_get_few_rows_at_once(spark, monkeypatch):
+    rows_of = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, met, plain = spark.conf.get(rows_of), [], N.scratch
+    monkeypatch.setattr(N, "scratch", lambda *a: met.append(int(spark.conf.get(rows_of))) or plain(*a))
+    rows = [(i, "one two three four five six seven eight " * 3) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in N.jaccard_components(docs, width=3, percent=90).collect()) == sorted(brute(rows, 3, 90))
+    assert N.ROWS_AT_ONCE in met and spark.conf.get(rows_of) == before

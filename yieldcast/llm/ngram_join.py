@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from yieldcast.llm.common import connected_components, release, scratch, word_array
+from yieldcast.llm.common import connected_components, release, scratch, small_batches, word_array
 
 BLOCK = 256              # sets of a family in one block
 LEAF = 8                 # sets in a leaf of a tree
 FANOUT = 4
 BITS = 4096              # width of a node's bitmap
 RANGE = 1.5              # ratio of a size range's ends
+ROWS_AT_ONCE = 256       # rows sent to a task at once
 COMMON = 3               # a signature of more sets than this may be passed over
 _MASK = (1 << 64) - 1
 
@@ -291,12 +292,13 @@ def _word_hashes(docs: DataFrame, text: str, lower: bool) -> DataFrame:
 
 
 def _read_task(batches: Iterator, width: int, percent: int) -> Iterator:
-    """Set fingerprint, size and signatures of each row; a set that a batch holds again gives no signatures again."""
+    """Set fingerprint, size and signatures of each row; a set that the task met before gives no signatures again."""
     import numpy as np
     import pyarrow as pa
 
+    seen = set()
     for batch in batches:
-        sids, sizes, sigs, marks, seen = [], [], [], [], set()
+        sids, sizes, sigs, marks = [], [], [], []
         for s in _sets(batch, width):
             sid = _fingerprint(s) if len(s) else None
             sids.append(sid)
@@ -336,9 +338,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     base = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hashed = _word_hashes(base, "text", lower)
     done: list[str] = []
-    signed = scratch(hashed.select("id", "w").mapInArrow(
-        partial(_read_task, width=width, percent=percent),
-        f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<struct<sig:long,mark:int>>"), done)
+    with small_batches(base.sparkSession, ROWS_AT_ONCE):
+        signed = scratch(hashed.select("id", "w").mapInArrow(
+            partial(_read_task, width=width, percent=percent),
+            f"id {dict(base.dtypes)['id']}, sid binary, fp long, n long, sigs array<struct<sig:long,mark:int>>"), done)
     rows = scratch(signed.drop("sigs"))
 
     # Candidate families: sets that are connected by shared signatures.
@@ -375,7 +378,8 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
             .join(reps.select("sid", "root"), "sid").dropDuplicates(["sid"]))
     many = reps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     done: list[str] = []
-    held = scratch(sets.join(many, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))), done)
+    with small_batches(base.sparkSession, ROWS_AT_ONCE):
+        held = scratch(sets.join(many, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks"))), done)
     release(base.sparkSession, [])
     task, pair = partial(_block_links, percent=percent), "a binary, b binary"
     fields = ["sid", "n", "items", "comp"]
