@@ -82,3 +82,30 @@ def test_tasks_get_few_rows_at_once(spark, monkeypatch):
     assert got(spark, rows, 5, 50) == brute(rows, 5, 50)
     assert C.ROWS_AT_ONCE in met and met.count(C.SHARDS_AT_ONCE) == C.LONGEST - 1
     assert spark.conf.get(rows_of) == before
+
+
+def test_packed_codes_are_read_back():
+    gen = np.random.default_rng(8)
+    for runs in (C.LEAST_RUNS, 1 << 12):
+        h = np.concatenate([gen.integers(0, 2 ** 64, 5000, dtype=np.uint64), np.array([0, 2 ** 64 - 1], np.uint64)])
+        codes, n = C._summed(C._code(np.concatenate([h, h[:2500]])), np.ones(len(h) + 2500, np.int64))
+        rows = list(C.pack(codes, n * 90, runs, 100))
+        back, counts = (np.concatenate(x) for x in zip(*[C.unpack(*r, runs) for r in rows]))
+        assert back.tolist() == codes.tolist() and counts.tolist() == np.minimum(n * 90, 100).tolist()
+    assert list(C.pack(codes[:0], n[:0], runs, 100)) == []
+
+
+def test_rare_phrases_are_not_sent_whole(spark, monkeypatch):
+    sent, plain = spark.sparkContext.accumulator(0), C._phrase_task
+
+    def counting(batches, **kw):
+        for batch in plain(batches, **kw):
+            sent.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(C, "_phrase_task", counting)
+    gen = np.random.default_rng(9)
+    rows = [(i, "new york " + " ".join(f"w{k}" for k in gen.integers(0, 300, 40)), "en") for i in range(200)]
+    assert got(spark, rows, 12, 50) == brute(rows, 12, 50)
+    # each of about 8,000 pairs stands in 200 texts of frequent words, but few come often enough
+    assert 0 < sent.value < 2000

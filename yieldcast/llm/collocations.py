@@ -6,6 +6,9 @@ phrase. A phrase is an interval in both; one step of LF extends all intervals by
 right) and gives the counts of all longer phrases, without a sort. Counts of a length are summed over shards and phrases below the threshold
 dropped; the next length is extended from the rest only, since a frequent phrase holds frequent phrases only. Tasks learn of the rest
 by a filter of bounded size, whose false members the next sum drops.
+
+Most phrases of a shard are rare, so a length is summed twice. First by a code of 40 bits of the phrase's hash, sent as packed sorted runs of
+some three bytes a phrase: the sum of a code is at least that of each of its phrases. Then exactly, by whole hashes, for phrases whose code reaches the threshold.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql.window import Window
 
 from yieldcast.llm import bit_filter
 from yieldcast.llm.byte_words import BREAK, kinds, mix, parts, split_words
-from yieldcast.llm.common import remove, scratch, small_batches
+from yieldcast.llm.common import release, remove, scratch, small_batches
 
 LONGEST = 5                      # words of a phrase
 LEAST_COUNT = 100
@@ -27,6 +30,10 @@ TOP = 2000                       # phrases of a language
 SHARD_WORDS = 1 << 18
 ROWS_AT_ONCE = 256               # rows whose texts are copied at once
 SHARDS_AT_ONCE = 2               # shards sent to a task at once, some 2 MB each
+CODE_BITS = 40                   # of a phrase's hash, in the first sum
+LEAST_RUNS = 1 << 8              # runs of codes that a length is dealt into at least: 32 bits of a code are left in a run
+RUN_WORDS = 1 << 20              # words of the input for each run
+CODES_AT_ONCE = 1 << 21          # codes of neighbouring shards that are summed before they are sent
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 GAPS = b" \t"
 _ODD = 0x9E3779B97F4A7C15
@@ -235,10 +242,9 @@ def shard_phrases(vocab, counts, left, right, depth: int, filters: list):
     return vocab[words], size
 
 
-def _phrase_task(batches: Iterator, depth: int, filters) -> Iterator:
-    """(prefix, word, n) of the phrases of ``depth`` words of each shard: hash of all words but the last, and its key."""
+def _phrases(batches: Iterator, depth: int, filters) -> Iterator:
+    """(prefix, word, hash, n) of the phrases of ``depth`` words of each shard: hash of all words but the last, its key, and the hash of all."""
     import numpy as np
-    import pyarrow as pa
 
     held = [f.value for f in filters]
     for batch in batches:
@@ -247,9 +253,111 @@ def _phrase_task(batches: Iterator, depth: int, filters) -> Iterator:
             counts = np.asarray(batch.column(1)[k].values)
             left, right = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=np.int32) for c in (2, 3))
             keys, n = shard_phrases(vocab, counts, left, right, depth, held)
-            prefix = _phrase_hash(keys[:, :-1])
-            yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(np.ascontiguousarray(keys[:, -1]).view(np.int64)),
-                                              pa.array(n, pa.int64())], ["prefix", "word", "n"])
+            prefix, word = _phrase_hash(keys[:, :-1]), np.ascontiguousarray(keys[:, -1])
+            yield prefix, word, _chain(prefix, word), n
+
+
+def _phrase_task(batches: Iterator, depth: int, filters, likely) -> Iterator:
+    """(prefix, word, n) of the phrases of ``depth`` words of each shard whose code may have reached the threshold."""
+    import numpy as np
+    import pyarrow as pa
+
+    for prefix, word, h, n in _phrases(batches, depth, filters):
+        keep = bit_filter.may_hold(likely.value, _code(h))
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep].view(np.int64)) for x in (prefix, word)] + [pa.array(n[keep], pa.int64())], ["prefix", "word", "n"])
+
+
+def _code(h):
+    """The first bits of a hash."""
+    import numpy as np
+
+    return h >> np.uint64(64 - CODE_BITS)
+
+
+def _summed(codes, n):
+    """Distinct codes in order, and the sums of their counts."""
+    import numpy as np
+
+    order = np.argsort(codes)
+    codes, n = codes[order], n[order]
+    new = np.flatnonzero(np.concatenate([np.ones(min(1, len(codes)), dtype=bool), codes[1:] != codes[:-1]]))
+    return codes[new], np.add.reduceat(n, new) if len(new) else n
+
+
+def pack(codes, n, runs: int, least: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(run, codes, counts) of sorted distinct codes: those of a run as differences, byte by place, compressed. Counts beyond ``least`` count as it."""
+    import zlib
+
+    import numpy as np
+
+    low = CODE_BITS - (runs.bit_length() - 1)
+    n = np.minimum(n, least).astype(np.uint32)
+    run = (codes >> np.uint64(low)).astype(np.int64)
+    rest = (codes & np.uint64((1 << low) - 1)).astype(np.uint32)
+    edges = np.append(np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])), len(run)) if len(run) else np.zeros(1, np.int64)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        step = np.diff(rest[a:b], prepend=np.uint32(0))
+        yield int(run[a]), *[zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), 1) for x in (step, n[a:b])]
+
+
+def unpack(run: int, codes: bytes, counts: bytes, runs: int):
+    """(codes, counts) of one row of ``pack``."""
+    import zlib
+
+    import numpy as np
+
+    low = CODE_BITS - (runs.bit_length() - 1)
+    step, n = (np.ascontiguousarray(np.frombuffer(zlib.decompress(x), np.uint8).reshape(4, -1).T).view(np.uint32).ravel() for x in (codes, counts))
+    return np.cumsum(step, dtype=np.uint64) + np.uint64(run << low), n.astype(np.int64)
+
+
+def _code_task(batches: Iterator, depth: int, filters, runs: int, least: int) -> Iterator:
+    """(run, codes, counts): sums over neighbouring shards of a task by the codes of phrases, packed."""
+    import numpy as np
+    import pyarrow as pa
+
+    held, many = [], 0
+
+    def flush():
+        rows = list(pack(*_summed(*[np.concatenate(x) for x in zip(*held)]), runs, least))
+        held.clear()
+        run, codes, counts = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(run, pa.int64()), pa.array(codes, pa.binary()), pa.array(counts, pa.binary())], ["run", "codes", "counts"])
+
+    for _, _, h, n in _phrases(batches, depth, filters):
+        held.append((_code(h), n))
+        many += len(n)
+        if many >= CODES_AT_ONCE:
+            many = 0
+            yield flush()
+    if held:
+        yield flush()
+
+
+def _likely_codes(table, runs: int, least: int):
+    """Codes of one run whose counts reach the threshold."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [unpack(r["run"], r["codes"], r["counts"], runs) for r in table.to_pylist()]
+    codes, n = _summed(*[np.concatenate(x) for x in zip(*rows)])
+    return pa.table({"code": pa.array(codes[n >= least].view(np.int64))})
+
+
+def _likely(shards: DataFrame, depth: int, filters: list, runs: int, least: int):
+    """Filter of the codes whose phrases may reach the threshold; other phrases of ``depth`` words do not."""
+    task = partial(_code_task, depth=depth, filters=list(filters), runs=runs, least=least)
+
+    def reach(table):
+        return _likely_codes(table, runs, least)
+
+    packed = shards.mapInArrow(task, "run long, codes binary, counts binary")
+    paths: list[str] = []
+    with small_batches(shards.sparkSession, 1):
+        codes = scratch(packed.groupBy("run").applyInArrow(reach, "code long"), paths)
+    bits = bit_filter.build(codes, "code")
+    remove(shards.sparkSession, paths.pop())
+    return bits
 
 
 def _hash_task(batches: Iterator) -> Iterator:
@@ -287,8 +395,12 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     filters = [sc.broadcast(bit_filter.build(words, "h"))]
     with small_batches(spark, ROWS_AT_ONCE):
         shards = scratch(base.mapInArrow(partial(_index_task, frequent=filters[0]),
-                                         "lang string, words long, vocab array<long>, texts array<string>, counts array<int>, left binary, right binary"))
+                                         "lang string, words long, vocab array<long>, texts array<string>, counts array<int>, left binary, right binary"),
+                         None, "zstd")
+    release(spark, [])
     sizes = shards.groupBy("lang").agg(F.sum("words").alias("n"))
+    total = shards.agg(F.sum("words")).first()[0] or 0
+    runs = min(1 << 20, max(LEAST_RUNS, 1 << (total // RUN_WORDS).bit_length()))
     spelt = shards.select("lang", F.explode(F.arrays_zip("vocab", "texts")).alias("v")).select("lang", F.col("v.vocab").alias("h"), F.col("v.texts").alias("word"))
     spelt = spelt.groupBy("h").agg(F.min(F.struct("lang", "word")).alias("v"))
     words = scratch(spelt.join(words, "h").select("h", "v.lang", F.col("v.word").alias("phrase"), "a"))
@@ -296,13 +408,16 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     levels = [words.withColumn("before", F.array("a")).withColumn("after", F.array("a"))]
     last = words.select(F.col("h").alias("word"), F.col("phrase").alias("spelt"))
     for depth in range(2, LONGEST + 1):
-        task = partial(_phrase_task, depth=depth, filters=list(filters))
-        counted = shards.select("vocab", "counts", "left", "right").mapInArrow(task, "prefix long, word long, n long")
+        index = shards.select("vocab", "counts", "left", "right")
+        likely = sc.broadcast(_likely(index, depth, filters, runs, least))
+        counted = index.mapInArrow(partial(_phrase_task, depth=depth, filters=list(filters), likely=likely), "prefix long, word long, n long")
         summed: list[str] = []
         with small_batches(spark, SHARDS_AT_ONCE):
             kept = scratch(counted.groupBy("prefix", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least), summed)
         found = scratch(kept.mapInArrow(_hash_task, "prefix long, word long, a long, h long"))
         remove(spark, summed.pop())
+        del counted, kept
+        release(spark, [])
         if depth < LONGEST:
             filters.append(sc.broadcast(bit_filter.build(found, "h")))
         shorter = levels[-1]
