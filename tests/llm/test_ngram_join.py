@@ -155,3 +155,18 @@ def test_tasks_get_few_rows_at_once(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(tuple(r) for r in N.jaccard_components(docs, width=3, percent=90).collect()) == sorted(brute(rows, 3, 90))
     assert N.ROWS_AT_ONCE in met and spark.conf.get(rows_of) == before
+
+
+def test_pairs_of_blocks_are_dealt_to_passes(spark):
+    fields = ["sid"]
+    left = spark.createDataFrame([(r, c, 4, f"{r}{c}") for r in (1, 2) for c in range(3)], "root long, chunk long, blocks long, sid string")
+    right = spark.createDataFrame([(r, 3, b, f"{r}-{b}") for r in (1, 2) for b in range(4)], "root long, chunks long, block long, sid string")
+    passes = N._passes(left, right, right)
+    assert passes == 6                       # 24 copies of each side, 8 sets held
+    dealt = [sorted(tuple(r) for r in N._crossed(left, right, k, passes, fields).collect()) for k in range(passes)]
+    every = [row for part in dealt for row in part]
+    assert sorted(every) == sorted([(r, c, y, 0, f"{r}{c}") for r in (1, 2) for c in range(3) for y in range(4)]
+                                   + [(r, c, y, 1, f"{r}-{y}") for r in (1, 2) for c in range(3) for y in range(4)])
+    assert all(len(part) < len(every) for part in dealt)
+    for part in dealt:                       # both sides of a pair stand in one pass
+        assert {x[:3] for x in part if x[3] == 0} == {x[:3] for x in part if x[3] == 1}

@@ -404,18 +404,44 @@ def _links(base: DataFrame, reps: DataFrame, width: int, percent: int, lower: bo
                 .groupBy("root").agg(F.max_by("comp", F.struct("k", "comp")).alias("main")))
         outside = now.join(main, "root").where("comp != main").drop("main")
         chunks = outside.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("chunks"))
-        left = (outside.join(chunks, "root").withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "sid"), F.col("chunks")))
-                .withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
-        right = now.join(chunks, "root").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-        across = (left.select("root", "chunk", "y", F.lit(0).alias("side"), *fields)
-                  .unionAll(right.select("root", "chunk", F.col("block").alias("y"), F.lit(1).alias("side"), *fields)))
-        edges = edges.unionAll(across.groupBy("root", "chunk", "y").applyInPandas(task, pair))
+        left = scratch(outside.join(chunks, "root").withColumn("chunk", F.pmod(F.xxhash64(F.lit(1), "sid"), F.col("chunks")))
+                       .select("root", "chunk", "blocks", *fields), done)
+        right = now.join(chunks, "root").select("root", "chunks", "block", *fields)
+        release(base.sparkSession, [])
+        passes = _passes(left, right, now)
+        for number in range(passes):
+            across = _crossed(left, right, number, passes, fields)
+            edges = edges.unionAll(scratch(across.groupBy("root", "chunk", "y").applyInPandas(task, pair), done))
+            del across
+            release(base.sparkSession, [])
         labels = _tops(edges)
+        del now, ring, main, outside, chunks, left, right
     del held, edges
     release(base.sparkSession, done)
     return labels
 
 
+def _passes(left: DataFrame, right: DataFrame, held: DataFrame) -> int:
+    """Passes over pairs of a chunk and a block, so that one copies about as many sets as are held: the disk of all would be that of their pairs."""
+    copies = left.agg(F.sum("blocks")).first()[0] or 0
+    copies += right.agg(F.sum("chunks")).first()[0] or 0
+    return max(1, -(-int(copies) // max(1, held.count())))
+
+
+def _crossed(left: DataFrame, right: DataFrame, number: int, passes: int, fields: list[str]) -> DataFrame:
+    """The sets of the chunk and of the block of every pair (root, chunk, y) that is dealt to this pass."""
+    def mine(chunk, y):
+        return F.pmod(F.xxhash64("root", chunk, y), F.lit(passes)) == number
+
+    def upto(count):
+        return F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+
+    one = left.select("root", "chunk", F.explode(F.filter(upto("blocks"), lambda y: mine(F.col("chunk"), y))).alias("y"), F.lit(0).alias("side"), *fields)
+    two = right.select("root", F.explode(F.filter(upto("chunks"), lambda c: mine(c, F.col("block")))).alias("chunk"), F.col("block").alias("y"),
+                       F.lit(1).alias("side"), *fields)
+    return one.unionAll(two)
+
+
 def _tops(edges: DataFrame) -> DataFrame:
     return connected_components(edges).select(F.col("node").alias("sid"), F.col("root").alias("top"))
 
