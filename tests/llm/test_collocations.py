@@ -109,3 +109,14 @@ def test_rare_phrases_are_not_sent_whole(spark, monkeypatch):
     assert got(spark, rows, 12, 50) == brute(rows, 12, 50)
     # each of about 8,000 pairs stands in 200 texts of frequent words, but few come often enough
     assert 0 < sent.value < 2000
+
+
+def test_stored_mappings_are_read_back_and_small():
+    import zlib
+
+    gen = np.random.default_rng(10)
+    t = np.concatenate([[0], gen.zipf(1.3, 20000) % 3000, [0]]).astype(np.int32)
+    lf = C._lf(t)
+    assert C.from_bytes(C.to_bytes(lf)).tolist() == lf.tolist()
+    assert len(zlib.compress(C.to_bytes(lf), 1)) < 0.75 * len(zlib.compress(lf.tobytes(), 1))
+    assert C.from_bytes(C.to_bytes(C._lf(np.zeros(1, np.int32)))).tolist() == [0]
