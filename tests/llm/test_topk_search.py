@@ -33,6 +33,15 @@ def test_equals_brute_force_over_many_cells(spark, rng, monkeypatch):
     assert run(spark, rows, 9) == brute(rows, 9)
 
 
+def test_many_annuli_of_several_cells_and_several_passes(spark, rng, monkeypatch):
+    monkeypatch.setattr(S, "CELL", 1)
+    monkeypatch.setattr(S, "PIVOTS", 40)
+    monkeypatch.setattr(S, "RINGS", 40)
+    monkeypatch.setattr(S, "PASS_BYTES", 4096, raising=False)
+    rows = vectors(rng, 2500, 3)
+    assert run(spark, rows, 100) == brute(rows, 100)
+
+
 def test_clustered_vectors_and_bounds_that_stop(spark, rng, monkeypatch):
     monkeypatch.setattr(S, "CELL", 32)
     rows = [(i, [(5.0 * (i % 4 == k)) + rng.gauss(0, 0.01) for k in range(4)]) for i in range(600)]

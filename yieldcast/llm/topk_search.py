@@ -21,12 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from yieldcast.llm.common import scratch
+from yieldcast.llm.common import release, scratch, small_batches
 
 PIVOTS = 32              # most pivots; fewer where the rows make fewer cells
 RINGS = 16               # most annuli per pivot
 CELL = 1024              # vectors in one cell; a larger annulus is split into several
-QUERY_BLOCK = 128        # queries answered together
+QUERY_BLOCK = 1024       # queries of one pivot answered together
+PASS_BYTES = 16 << 20    # query blocks sent to all tasks at once
+CELLS_AT_ONCE = 16       # cells or blocks in an Arrow batch
 FIRST_CELLS = 2          # annuli of the first round
 DIGIT = 20               # bits of a digit of a large component
 LIMIT = 1 << DIGIT       # vectors with a larger scaled component are not in the index: sums stay exact in doubles
@@ -35,16 +37,29 @@ _SLACK = 1e-6
 
 
 def _matrix(column):
-    """Rows of an Arrow list<long> column as a float matrix; shorter rows are filled with zeros."""
+    """Rows of an Arrow list<int> column as a float matrix; shorter rows are filled with zeros."""
     import numpy as np
 
-    rows = [np.asarray(v.values, dtype=np.float64) for v in column]
-    out = np.zeros((len(rows), max(map(len, rows), default=0)))
-    for o, r in zip(out, rows):
-        o[:len(r)] = r
+    ends = np.asarray(column.offsets)
+    length = np.diff(ends)
+    out = np.zeros((len(length), int(length.max(initial=0))))
+    out[np.arange(out.shape[1]) < length[:, None]] = np.asarray(column.values)[ends[0]:ends[-1]]
     return out
 
 
+def _unpacked(packed: bytes, rows: int, dim: int):
+    """A matrix of whole numbers from the bytes that ``_packed`` gave."""
+    import numpy as np
+
+    return np.frombuffer(packed, dtype=np.int32).reshape(rows, dim) if rows * dim else np.zeros((rows, dim), dtype=np.int32)
+
+
+def _packed(m) -> bytes:
+    import numpy as np
+
+    return m.astype(np.int32).tobytes()      # usable components are below LIMIT
+
+
 def _wide(m, dim: int):
     import numpy as np
 
@@ -101,106 +116,166 @@ def _key_task(batches: Iterator, pivots, top: float) -> Iterator:
             ["row", "vec_id", "v", "pivot", "dist"])
 
 
-def build_index(vectors: DataFrame) -> tuple[DataFrame, list, object, float]:
-    """(cells, annuli, pivots, top) for usable vectors. Cells: pivot, ring, slot, ids, vectors (packed int64 matrix).
+def _pack_task(batches: Iterator) -> Iterator:
+    """Cells as packed matrices, their vectors in the order of ids, null ids last."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        out = []
+        for cell in batch.column(1):
+            ids = cell.values.field("vec_id")
+            order = np.lexsort((ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)))
+            m = _matrix(cell.values.field("v"))[order]
+            out.append((ids.take(pa.array(order)), _packed(m), m.shape[1]))
+        ids, packed, dims = zip(*out) if out else ((), (), ())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.to_pylist() for x in ids], pa.list_(pa.int64())), pa.array(packed, pa.binary()),
+                                          pa.array(dims, pa.int32())], ["annulus", "ids", "m", "dim"])
+
+
+def build_index(vectors: DataFrame) -> tuple[DataFrame | None, dict, object, float]:
+    """(cells, annuli, pivots, top) for usable vectors. Cells: annulus, ids, m (packed matrix), dim.
 
     Pivots are up to PIVOTS rows, spread by a hash of the vector, so copies of one vector give one pivot. Annuli
-    (a row per pivot and ring) and pivots are bounded by PIVOTS * RINGS and held on the driver.
+    (arrays of their ends, -1 to -1 and none where no vector lies) and pivots are bounded by PIVOTS * RINGS and held on the driver.
     """
     import numpy as np
 
+    spark, done = vectors.sparkSession, []
     shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x.cast("long") * x)).alias("top"), F.max(F.size("v")).alias("dim")).first()
     if shape["dim"] is None:
-        return vectors, [], None, 0.0
+        return None, {}, None, 0.0
     top, dim = float(shape["top"]), int(shape["dim"])
     wanted = -(-shape["n"] // CELL)
     n_pivots = min(PIVOTS, math.isqrt(wanted - 1) + 1)
     n_rings = min(RINGS, -(-wanted // n_pivots))
-    chosen = vectors.select("v").groupBy(F.xxhash64("v").alias("h")).agg(F.first("v").alias("v")).orderBy("h").limit(n_pivots).collect()
-    raw = np.zeros((len(chosen), dim))
-    for o, r in zip(raw, chosen):
-        o[:len(r["v"])] = r["v"]
+    hashed = vectors.select("v", F.xxhash64("v").alias("h"))
+    hashes = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(n_pivots).collect()]
+    chosen = {r["h"]: r["v"] for r in hashed.where(F.col("h").isin(hashes)).groupBy("h").agg(F.first("v").alias("v")).collect()}
+    raw = np.zeros((len(hashes), dim))
+    for o, h in zip(raw, hashes):
+        o[:len(chosen[h])] = chosen[h]
     pivots = _lift(raw, top)
     keyed = scratch(vectors.mapInArrow(partial(_key_task, pivots=pivots, top=top),
-                                           "row long, vec_id long, v array<int>, pivot int, dist double"))
-    edges = {r["pivot"]: r["e"] for r in keyed.groupBy("pivot").agg(
+                                           "row long, vec_id long, v array<int>, pivot int, dist double"), done)
+    edges = {r["pivot"]: sorted(set(r["e"])) for r in keyed.groupBy("pivot").agg(
         F.percentile_approx("dist", [i / n_rings for i in range(1, n_rings)] or [1.0], 1000).alias("e")).collect()}
-    cuts = F.lit(None)
-    for p, e in edges.items():
-        inside = sum((F.col("dist") > F.lit(x)).cast("int") for x in sorted(set(e)))
-        cuts = F.when(F.col("pivot") == p, inside).otherwise(cuts)
-    ringed = keyed.withColumn("ring", cuts.cast("int"))
-    annuli = ringed.groupBy("pivot", "ring").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count(F.lit(1)).alias("n")).collect()
-    slots = F.lit(1)
-    for a in annuli:
-        if a["n"] > CELL:
-            slots = F.when((F.col("pivot") == a["pivot"]) & (F.col("ring") == a["ring"]), -(-a["n"] // CELL)).otherwise(slots)
-    cells = (ringed.withColumn("slot", F.pmod(F.xxhash64("row"), slots).cast("int"))
-             .groupBy("pivot", "ring", "slot").agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")))
-    return scratch(cells), annuli, pivots, top
-
-
-def _plan_task(batches: Iterator, pivots, top: float, annuli, first: bool) -> Iterator:
-    """For blocks of queries: the (pivot, ring) cells each still has to visit."""
+    cuts = F.array(*[F.array(*map(F.lit, edges.get(p, ()))).cast("array<double>") for p in range(len(hashes))])
+    ring = F.size(F.filter(F.element_at(cuts, F.col("pivot") + 1), lambda x: F.col("dist") > x))
+    ringed = keyed.withColumn("annulus", F.col("pivot") * n_rings + ring)
+    annuli = {"pivot": np.arange(len(hashes) * n_rings) // n_rings, "low": np.full(len(hashes) * n_rings, np.inf), "high": np.full(len(hashes) * n_rings, -np.inf)}
+    slots = [1] * (len(hashes) * n_rings)
+    for a in ringed.groupBy("annulus").agg(F.min("dist").alias("low"), F.max("dist").alias("high"), F.count(F.lit(1)).alias("n")).collect():
+        annuli["low"][a["annulus"]], annuli["high"][a["annulus"]] = a["low"], a["high"]
+        slots[a["annulus"]] = -(-a["n"] // CELL)
+    slot = F.pmod(F.xxhash64("row"), F.element_at(F.array(*map(F.lit, slots)), F.col("annulus") + 1))
+    cells = ringed.groupBy("annulus", slot.alias("slot")).agg(F.collect_list(F.struct("vec_id", "v")).alias("rows")).select("annulus", "rows")
+    with small_batches(spark, CELLS_AT_ONCE):
+        cells = scratch(cells.mapInArrow(_pack_task, "annulus int, ids array<long>, m binary, dim int"))
+    del keyed, ringed
+    release(spark, done)
+    return cells, annuli, pivots, top
+
+
+def _plan_task(batches: Iterator, pivots, top: float, annuli: dict, first: bool) -> Iterator:
+    """Blocks of queries as packed matrices, with the annuli each query still has to visit (bits by annulus) and those that any has to."""
     import numpy as np
     import pyarrow as pa
 
     dim = pivots.shape[1] - 1
-    where = np.array([a["pivot"] for a in annuli])
-    low, high = np.array([a["low"] for a in annuli]), np.array([a["high"] for a in annuli])
+    low, high = annuli["low"], annuli["high"]
     for batch in batches:
-        q = _wide(_matrix(batch.column(batch.schema.get_field_index("v"))), dim)
-        d = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivots)[:, where]
-        bound = np.maximum(np.maximum(low - d, d - high), 0)
-        order = np.argsort(bound, axis=1, kind="stable")
-        nearest = np.zeros_like(bound, dtype=bool)
-        np.put_along_axis(nearest, order[:, :FIRST_CELLS], True, axis=1)
-        if first:
-            visit = nearest
-        else:
-            kth = np.array([np.nan if x is None else x for x in batch.column(batch.schema.get_field_index("kth")).to_pylist()], dtype=float)
-            reach = np.sqrt(np.maximum((q * q).sum(axis=1) + top - 2 * kth, 0)) * (1 + _SLACK) + _SLACK
-            visit = ~nearest & ~(bound > reach[:, None])     # without k scores yet, nothing is ruled out
-        i, c = np.nonzero(visit)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(i)), batch.column(1).take(pa.array(i)), batch.column(2).take(pa.array(i)),
-             pa.array([annuli[x]["pivot"] for x in c], pa.int32()), pa.array([annuli[x]["ring"] for x in c], pa.int32()),
-             pa.array([-(-annuli[x]["n"] // CELL) for x in c], pa.int32())], ["row", "vec_id", "v", "pivot", "ring", "slots"])
+        out = []
+        for block in batch.column(0):
+            b = block.values
+            q = _wide(_matrix(b.field("v")), dim)
+            d = _distances(np.hstack([q, np.zeros((len(q), 1))]), pivots)[:, annuli["pivot"]]
+            bound = np.maximum(np.maximum(low - d, d - high), 0)
+            order = np.argsort(bound, axis=1, kind="stable")
+            nearest = np.zeros_like(bound, dtype=bool)
+            np.put_along_axis(nearest, order[:, :FIRST_CELLS], True, axis=1)
+            if first:
+                visit = nearest
+            else:
+                kth = np.array([np.nan if x is None else x for x in b.field("kth").to_pylist()], dtype=float)
+                reach = np.sqrt(np.maximum((q * q).sum(axis=1) + top - 2 * kth, 0)) * (1 + _SLACK) + _SLACK
+                visit = ~nearest & ~(bound > reach[:, None])     # without k scores yet, nothing is ruled out
+            visit &= low <= high
+            out.append((b.field("row").to_pylist(), b.field("vec_id").to_pylist(), b.field("kth").to_pylist(), _packed(q), q.shape[1],
+                        np.packbits(visit.T, axis=1).tobytes(), np.flatnonzero(visit.any(axis=0)).tolist()))
+        types = [pa.list_(pa.int64())] * 3 + [pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int32())]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else [()] * 7, types)],
+                                         ["row", "query_id", "kth", "q", "q_dim", "visits", "annuli"])
 
 
 def _scan_task(batches: Iterator, k: int) -> Iterator:
-    """The k best candidates of each query in one cell."""
+    """Candidates of the queries of a block in a cell that their annuli call for: the k best of each but those below k scores met before."""
     import numpy as np
     import pyarrow as pa
 
+    known: dict = {}                         # by block: the least score that can still be among a query's k best
     for batch in batches:
-        for cell, queries in zip(batch.column(0), batch.column(1)):
-            c, q = cell.values, queries.values
-            ids = np.asarray(c.field("vec_id"))
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            m = _matrix(c.field("v"))[order]
-            qm = _matrix(q.field("v"))
-            dim = max(m.shape[1], qm.shape[1])
-            scores = (_wide(qm, dim) @ _wide(m, dim).T).astype(np.int64)
-            own = np.asarray(q.field("vec_id"))[:, None] == ids[None, :]
-            scores = np.where(own, np.iinfo(np.int64).min, scores)
-            best = np.argsort(-scores.astype(np.float64), axis=1, kind="stable")[:, :k]
-            at = np.repeat(np.arange(len(qm)), best.shape[1])
-            best = best.ravel()
-            keep = ~own[at, best]
-            at, best = at[keep], best[keep]
-            yield pa.RecordBatch.from_arrays(
-                [q.field("row").take(pa.array(at)), q.field("vec_id").take(pa.array(at)), pa.array(ids[best]), pa.array(scores[at, best])],
-                ["row", "query_id", "vec_id", "score"])
-
-
-def _visit(visits: DataFrame, cells: DataFrame, k: int, parts: int) -> DataFrame:
-    blocks = (visits.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-              .groupBy("pivot", "ring", "slot", F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part"))
-              .agg(F.collect_list(F.struct("row", "vec_id", "v")).alias("queries")))
-    pairs = blocks.join(cells, ["pivot", "ring", "slot"]).select("rows", "queries")
-    found = pairs.mapInArrow(partial(_scan_task, k=k), "row long, query_id long, vec_id long, score long")
+        at = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+        for x in range(batch.num_rows):
+            rows, own = at["row"][x].values.to_numpy(), at["query_id"][x].values.to_numpy()
+            stride = -(-len(rows) // 8)
+            bits = np.frombuffer(at["visits"][x].as_buffer(), dtype=np.uint8)[at["annulus"][x].as_py() * stride:][:stride]
+            asked = np.flatnonzero(np.unpackbits(bits, count=len(rows)))
+            if not len(asked):
+                continue
+            least = known.get(rows[0])
+            if least is None:
+                least = known[rows[0]] = np.array([-np.inf if y is None else y for y in at["kth"][x].as_py()], dtype=np.float64)
+            ids = at["ids"][x].values
+            q = _unpacked(at["q"][x].as_buffer(), len(rows), at["q_dim"][x].as_py())[asked].astype(np.float64)
+            m = _unpacked(at["m"][x].as_buffer(), len(ids), at["dim"][x].as_py()).astype(np.float64)
+            dim = min(q.shape[1], m.shape[1])                    # beyond it one side is zero
+            # no sum of products passes the product of the norms, so small ones are exact in single precision
+            if (q * q).sum(axis=1).max() * (m * m).sum(axis=1).max() < 1 << 48:
+                q, m = q.astype(np.float32), m.astype(np.float32)
+            scores = q[:, :dim] @ m[:, :dim].T
+            named = ids.fill_null(0).to_numpy(zero_copy_only=False)[:len(ids) - ids.null_count]
+            first, last = np.searchsorted(named, own[asked]), np.searchsorted(named, own[asked], "right")
+            for i in np.flatnonzero(first < last):
+                scores[i, first[i]:last[i]] = -np.inf
+            floor = least[asked].astype(scores.dtype)
+            new = np.flatnonzero(floor == -np.inf)
+            if len(new) and len(ids) > k:
+                floor[new] = np.partition(scores[new], -k, axis=1)[:, -k]
+            hit = (scores >= floor[:, None]) & (scores > -np.inf)
+            for i in np.flatnonzero(hit.sum(axis=1) > 4 * k):
+                cut = np.partition(scores[i], -k)[-k]
+                hit[i] = scores[i] > cut
+                hit[i, np.flatnonzero(scores[i] == cut)[:k]] = True
+            i, c = np.nonzero(hit)
+            score = scores[i, c].astype(np.int64)
+            order = np.lexsort((c, -score, i))
+            i, c, score = i[order], c[order], score[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            full = place == k - 1
+            least[asked[i[full]]] = np.maximum(least[asked[i[full]]], score[full])
+            i, c, score = i[place < k], c[place < k], score[place < k]
+            yield pa.RecordBatch.from_arrays([pa.array(rows[asked[i]]), pa.array(own[asked[i]]), ids.take(pa.array(c)), pa.array(score)],
+                                             ["row", "query_id", "vec_id", "score"])
+
+
+def _visit(queries: DataFrame, cells: DataFrame, k: int, parts: list[int], passes: int, plan) -> DataFrame:
+    """(row, query_id, vec_id, score, rank) of the cells that ``plan`` gives. ``queries``: row, vec_id, v, pivot, kth.
+
+    Queries of a pivot make up blocks, since they visit much the same cells. Cells stay where they are: blocks are sent to them, in passes of
+    bounded size.
+    """
+    spark = cells.sparkSession
+    part = F.pmod(F.xxhash64("row"), F.element_at(F.array(*map(F.lit, parts)), F.col("pivot") + 1)).alias("part")
+    blocks = queries.groupBy("pivot", part).agg(F.collect_list(F.struct("row", "vec_id", "v", "kth")).alias("queries")).select("queries")
+    found = None
+    with small_batches(spark, CELLS_AT_ONCE):
+        blocks = scratch(blocks.mapInArrow(plan, "row array<long>, query_id array<long>, kth array<long>, q binary, q_dim int, visits binary, annuli array<int>"))
+        for number in range(passes):
+            sent = blocks.where(F.pmod(F.xxhash64(F.col("row")[0]), F.lit(passes)) == number)
+            pairs = cells.join(F.broadcast(sent), F.array_contains("annuli", F.col("annulus"))).drop("annuli")
+            one = scratch(pairs.mapInArrow(partial(_scan_task, k=k), "row long, query_id long, vec_id long, score long"))
+            found = one if found is None else found.unionAll(one)
     return _best(found, k)
 
 
@@ -333,14 +408,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256,
 def _indexed(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(row, query_id, vec_id, score, rank) by the index of ``rows``."""
     cells, annuli, pivots, top = build_index(rows)
-    if not annuli:
+    if cells is None:
         return rows.sparkSession.createDataFrame([], "row long, query_id long, vec_id long, score long, rank int")
-    annuli = [a.asDict() for a in annuli]
-    parts = max(1, -(-queries.count() // QUERY_BLOCK))
+    asked = scratch(queries.mapInArrow(partial(_key_task, pivots=pivots, top=top), "row long, vec_id long, v array<int>, pivot int, dist double"))
+    held = {r["pivot"]: r["count"] for r in asked.groupBy("pivot").count().collect()}
+    parts = [-(-held.get(p, 1) // QUERY_BLOCK) for p in range(len(pivots))]
+    row_bytes = 4 * pivots.shape[1] + len(annuli["low"]) // 8 + 24
+    passes = max(1, -(-sum(held.values()) * row_bytes // PASS_BYTES))
     plan = partial(_plan_task, pivots=pivots, top=top, annuli=annuli)
-    visits = "row long, vec_id long, v array<int>, pivot int, ring int, slots int"
-    first = scratch(_visit(queries.mapInArrow(partial(plan, first=True), visits), cells, k, parts))
+    first = scratch(_visit(asked.withColumn("kth", F.lit(None).cast("long")), cells, k, parts, passes, partial(plan, first=True)))
     kth = first.where(F.col("rank") == k).select("row", F.col("score").alias("kth"))
-    rest = queries.join(kth, "row", "left").select("row", "vec_id", "v", "kth").mapInArrow(partial(plan, first=False), visits)
-    both = first.drop("rank").unionAll(_visit(rest, cells, k, parts).drop("rank"))
-    return _best(both, k)
+    rest = _visit(asked.join(kth, "row", "left"), cells, k, parts, passes, partial(plan, first=False))
+    return _best(first.unionAll(rest).drop("rank"), k)
