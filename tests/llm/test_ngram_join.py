@@ -1,4 +1,5 @@
 import re
+from functools import partial
 
 import numpy as np
 import pytest
@@ -170,3 +171,27 @@ def test_pairs_of_blocks_are_dealt_to_passes(spark):
     assert all(len(part) < len(every) for part in dealt)
     for part in dealt:                       # both sides of a pair stand in one pass
         assert {x[:3] for x in part if x[3] == 0} == {x[:3] for x in part if x[3] == 1}
+
+
+def test_shared_passages_do_not_chain_unlinked_texts(spark, rng, words):
+    """Texts whose sets lie low in their size range and share some passages, few of them linked: candidate families stay small, links stay whole."""
+    passages = [rng.choices(words, k=9) for _ in range(6)]
+    texts = []
+    for _ in range(300):
+        text = rng.choices(words, k=rng.randint(126, 134))
+        for p in rng.sample(passages, 1):
+            text[10:10] = p
+        texts.append(text)
+    for i in range(0, 300, 10):
+        copy = list(texts[i])
+        copy[-1] = "other"
+        texts.append(copy)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    hashed = N._word_hashes(df.select(F.col("doc_id").alias("id"), "text"), "text", True)
+    schema = "id long, sid binary, fp long, n long, sigs array<struct<sig:long,mark:int>>"
+    signed = hashed.select("id", "w").mapInArrow(partial(N._read_task, width=5, percent=80), schema)
+    pairs = N._candidate_pairs(signed.select(F.explode("sigs").alias("s"), "fp").select("s.sig", "s.mark", "fp"), [])
+    sizes = [r["count"] for r in connected_components(pairs).groupBy("root").count().collect()]
+    assert sum(sizes) < 120 and max(sizes) < 30
+    got = {r.doc_id: r.component_id for r in N.jaccard_components(df, width=5, percent=80).collect()}
+    assert all(got[300 + i // 10] == got[i] == i for i in range(0, 300, 10)) and all(got[i] == i for i in range(300))

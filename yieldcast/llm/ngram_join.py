@@ -28,7 +28,6 @@ FANOUT = 4
 BITS = 4096              # width of a node's bitmap
 RANGE = 1.5              # ratio of a size range's ends
 ROWS_AT_ONCE = 256       # rows sent to a task at once
-COMMON = 3               # a signature of more sets than this may be passed over
 _MASK = (1 << 64) - 1
 
 
@@ -104,12 +103,20 @@ def _classes(i: int, percent: int) -> tuple[int, int, int]:
     return classes + spare, spare, least
 
 
+def _differ(size: int, i: int, percent: int) -> int:
+    """Most shingles in which a set of this size differs from a linked one, if the smaller of both is in range i."""
+    top = _range_low(i + 1) - 1
+    other = size * 100 // percent if size <= top else top      # the smaller set of the pair, or the larger one
+    return (100 - percent) * (size + other) // (100 + percent)
+
+
 def signatures(s, percent: int):
     """(signatures, marks) of a set: for every size range in which it can be one of a linked pair, a hash per class.
 
-    A class with few shingles says little and would gather unlinked sets. With at most
-    ``spare`` such weak classes they are left out: a linked pair still agrees in a strong one. A mark holds the
-    range and how many more of its classes may be passed over (see ``_candidate_pairs``), -1 if none.
+    A set that differs from any linked one in at most d shingles agrees with it in all classes but d, so
+    it may pass over one less than that. A class with few shingles says little and would gather unlinked sets: such weak
+    classes are left out first, if no more of them are there. A mark holds the range and how many more of its
+    classes may be passed over (see ``_candidate_pairs``), -1 if weak ones had to stay.
     """
     import numpy as np
 
@@ -128,7 +135,7 @@ def signatures(s, percent: int):
             tag = np.uint64((i + 1) * 0x100000001B3 & _MASK) + np.arange(m, dtype=np.uint64)
             sig = _mix(_mix(total + held.astype(np.uint64)) ^ _mix(tag))
         strong = held >= least
-        left = spare - int(m - strong.sum())
+        left = m - _differ(size, i, percent) - 1 - int(m - strong.sum())
         sig = sig[strong] if left >= 0 else sig
         out.append(sig)
         marks.append(np.full(len(sig), (i << 20) + max(left, -1) + 1, dtype=np.int32))
@@ -140,17 +147,16 @@ def signatures(s, percent: int):
 def _candidate_pairs(sigs: DataFrame, paths: list[str]) -> DataFrame:
     """Edges (a, b) that connect the sets of each signature. ``sigs``: sig, mark, fp. ``paths`` gets the folder that the edges are read from.
 
-    Passages that many texts share make common signatures, which would chain unlinked sets. A set with no more common
-    signatures than its mark allows leaves them out: a linked pair agrees in one class more than both kinds
-    of classes left out, so it shares a signature that is neither weak nor common. Members of large groups of
-    copies have only common ones and keep them all. Rows are sorted by signature (spilled if need be) and neighbours
+    Passages that many texts share make common signatures, which would chain unlinked sets. Every set passes over as many of its
+    signatures as its mark allows, the most common ones first. No link is lost: sets agree in one class more than either may
+    pass over, classes that they agree in stand in the same order in both, so the least common of these is
+    passed over by neither. Rows are sorted by signature (spilled if need be) and neighbours
     make an edge; no list of members is built.
     """
     count = F.count(F.lit(1)).over(Window.partitionBy("sig"))
     shared = scratch(sigs.withColumn("k", count).where("k > 1"), paths)
-    common = shared.where(F.col("k") > COMMON)
-    full = common.groupBy("fp", "mark").agg(F.count(F.lit(1)).alias("h")).where("h > mark % 1048576 - 1").select("fp", "mark")
-    kept = shared.where(F.col("k") <= COMMON).drop("k").unionByName(common.drop("k").join(full, ["fp", "mark"]))
+    place = F.dense_rank().over(Window.partitionBy("fp", "mark").orderBy(F.desc("k"), "sig"))
+    kept = shared.withColumn("place", place).where("place > mark % 1048576 - 1").select("sig", "fp")
     before = F.lag("fp").over(Window.partitionBy("sig").orderBy("fp"))
     return (kept.withColumn("before", before).where("before is not null and before != fp")
             .select(F.col("before").alias("a"), F.col("fp").alias("b")))
